@@ -12,7 +12,7 @@ def batch_date_from_name(name: Column) -> Column:
     """DATE encoded in a file name; NULL when absent or impossible (e.g. 31022024)."""
     digits = F.regexp_extract(name, FILENAME_DATE_PATTERN, 1)
     return F.when(digits == "", F.lit(None).cast("date")).otherwise(
-        F.try_to_date(digits, F.lit(FILENAME_DATE_FORMAT))
+        F.try_to_date(digits, FILENAME_DATE_FORMAT)
     )
 
 

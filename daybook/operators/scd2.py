@@ -37,7 +37,7 @@ from daybook.constants import CLOSE_ALL_VERSIONS, CLOSE_OPEN_ONLY, DELETED, LIVE
 from daybook.functions.dates import DateLike, as_ntz, close_ts, date_start, open_until
 from daybook.operators import diff as D
 from daybook.operators.surrogate import row_id
-from daybook.schemas import history_schema
+from daybook.schemas import empty_frame, history_schema
 
 
 def history_columns(keys: list[str], attrs: list[str]) -> list[str]:
@@ -45,7 +45,7 @@ def history_columns(keys: list[str], attrs: list[str]) -> list[str]:
 
 
 def empty_history(spark: SparkSession, keys: list[str], attrs: list[str], base: T.StructType) -> DataFrame:
-    return spark.createDataFrame([], history_schema(keys, attrs, base))
+    return empty_frame(spark, history_schema(keys, attrs, base))
 
 
 def is_open() -> Column:

@@ -9,6 +9,7 @@ fixture's current states: single-batch fraud queries stage the whole
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -38,6 +39,14 @@ from daybook.plans import oracle as O
 from daybook.plans.daily import DailyFeeds, Dimensions, initial_state, run_days
 from daybook.schemas import BLACKLIST, BLACKLIST_KEYS, TERMINAL_ATTRS, TERMINAL_KEYS, TERMINALS
 from daybook.sources.fixtures import Fixtures, batch_date
+from daybook.sources.store import materialize
+from daybook.sources.delimited import read_feed, write_delimited
+from daybook.sources.workbook import read_workbooks, write_workbooks
+from daybook.functions.coerce import coerce_by_name
+from daybook.functions.filenames import batch_date_from_name
+from daybook.operators.scd1 import scd1_upsert
+from daybook.session import scratch_path
+from daybook.schemas import TRANSACTIONS
 
 
 @dataclass(frozen=True)
@@ -77,10 +86,15 @@ def blacklist_hist(fx: Fixtures, days: int, mode: str) -> DataFrame:
 
 
 def fixture_enriched(fx: Fixtures, tx: DataFrame | None = None) -> DataFrame:
-    """Whole events table, black list of day 1 (first load), terminals of day 3."""
+    """Whole events table, black list of day 1 (first load), terminals of day 3.
+
+    The dimension side (card -> holder, terminal -> city) is written as
+    tables first, as a production run does, so the fact join is planned on
+    measured sizes.
+    """
     black = blacklist_current(blacklist_hist(fx, 1, CLOSE_OPEN_ONLY))
-    terms = fx.terminals(3)
-    holders = card_holders(fx.cards(), fx.accounts(), fx.clients(), black)
+    holders = materialize(card_holders(fx.cards(), fx.accounts(), fx.clients(), black), "card_holders")
+    terms = materialize(fx.terminals(3), "terminals_current")
     return enrich_transactions(fx.transactions() if tx is None else tx, holders, terms)
 
 
@@ -393,6 +407,142 @@ def q_daily_terminals(spark, sf_dir):
     return _three_days(spark, sf_dir).terminals.select(*HIST_T)
 
 
+# --- sources --------------------------------------------------------------------------
+@register(
+    "src_transactions_delimited",
+    O.with_fixtures(
+        body="""select transaction_id, transaction_date, amount, card_num, oper_type, oper_result, terminal
+            from transactions""",
+    ),
+)
+def q_src_delimited(spark, sf_dir):
+    """Transactions written as ';'-separated text with decimal comma, read back."""
+    fx = Fixtures(spark, sf_dir)
+    folder = scratch_path(spark, f"daybook/drops/{uuid.uuid4().hex}")
+    write_delimited(fx.transactions(), folder)
+    return read_feed(spark, folder, TRANSACTIONS)
+
+
+_RAW_TEXT = """
+    cast(event_id as varchar) as transaction_id_txt,
+    case when event_id % 11 = 0 then 'not a date' else cast(ts as varchar) end as transaction_date_txt,
+    case when event_type = 'error' then 'abc' when event_id % 7 = 0 then ''
+         else replace(cast(cast(value as decimal(12,2)) as varchar), '.', ',') end as amount_txt"""
+
+
+@register(
+    "coerce_lenient",
+    f"""with raw as (select event_id, {_RAW_TEXT} from events)
+        select event_id,
+               try_cast(transaction_date_txt as timestamp) as transaction_date,
+               try_cast(replace(trim(amount_txt), ',', '.') as decimal(10,2)) as amount
+        from raw""",
+)
+def q_coerce(spark, sf_dir):
+    ev = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", "ts", "event_type", "value")
+    e = F.col("event_id")
+    raw = ev.select(
+        e,
+        F.when(e % 11 == 0, F.lit("not a date")).otherwise(F.col("ts").cast("string")).alias("transaction_date"),
+        F.when(F.col("event_type") == "error", F.lit("abc"))
+        .when(e % 7 == 0, F.lit(""))
+        .otherwise(F.regexp_replace(F.col("value").cast("decimal(12,2)").cast("string"), r"\.", ","))
+        .alias("amount"),
+    )
+    return coerce_by_name(raw).select("event_id", "transaction_date", "amount")
+
+
+@register(
+    "batch_date_from_filename",
+    r"""with names as (
+          select event_id as transaction_id,
+                 case when event_id % 17 = 0 then 'transactions.txt'
+                      when event_id % 13 = 0 then 'transactions_3102' || strftime(ts, '%Y') || '.txt'
+                      else 'transactions_' || strftime(ts, '%d%m%Y') || '.txt' end as file_name
+          from events)
+        select transaction_id, file_name,
+               cast(try_strptime(regexp_extract(file_name, '_(\d{8})\.', 1), '%d%m%Y') as date) as batch_date
+        from names""",
+)
+def q_batch_date(spark, sf_dir):
+    ev = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", "ts")
+    e = F.col("event_id")
+    name = (
+        F.when(e % 17 == 0, F.lit("transactions.txt"))
+        .when(e % 13 == 0, F.concat(F.lit("transactions_3102"), F.date_format("ts", "yyyy"), F.lit(".txt")))
+        .otherwise(F.concat(F.lit("transactions_"), F.date_format("ts", "ddMMyyyy"), F.lit(".txt")))
+    )
+    return ev.select(e.alias("transaction_id"), name.alias("file_name")).withColumn(
+        "batch_date", batch_date_from_name(F.col("file_name"))
+    )
+
+
+@register("src_workbook_terminals", O.with_fixtures(body=f"select {O.T_COLS} from terminals_d2"))
+def q_src_workbook(spark, sf_dir):
+    """Terminal snapshot written as workbooks (one per partition), read back."""
+    fx = Fixtures(spark, sf_dir)
+    folder = scratch_path(spark, f"daybook/workbooks/{uuid.uuid4().hex}")
+    write_workbooks(fx.terminals(2), folder, prefix="terminals_20012024")
+    return read_workbooks(spark, folder, TERMINALS, glob="*terminals*.xlsx")
+
+
+# --- type-1 dimension ---------------------------------------------------------------
+_CLIENT_BATCH_SQL = """client_batch as (
+      select client_id, last_name, first_name, patronymic, passport_num, passport_valid_to,
+             case when cast(substr(client_id, 2) as bigint) % 4 = 0 then phone || '-2' else phone end as phone
+      from clients where cast(substr(client_id, 2) as bigint) % 2 = 0
+      union all
+      select 'N' || substr(client_id, 2), last_name, first_name, patronymic, passport_num, passport_valid_to, phone
+      from clients where cast(substr(client_id, 2) as bigint) % 25 = 0)"""
+
+
+@register(
+    "scd1_upsert_clients",
+    O.with_fixtures(
+        _CLIENT_BATCH_SQL,
+        body="""select coalesce(b.client_id, d.client_id) as client_id,
+                   coalesce(b.client_id, null) is not null as from_batch,
+                   case when b.client_id is null then d.phone else b.phone end as phone,
+                   case when d.client_id is null then date '2024-01-20' else null end as create_dt,
+                   case when d.client_id is not null and b.client_id is not null
+                             and (b.phone is distinct from d.phone
+                                  or b.last_name is distinct from d.last_name
+                                  or b.first_name is distinct from d.first_name
+                                  or b.patronymic is distinct from d.patronymic
+                                  or b.passport_num is distinct from d.passport_num
+                                  or b.passport_valid_to is distinct from d.passport_valid_to)
+                        then date '2024-01-20' else null end as update_dt
+            from clients d full outer join client_batch b on d.client_id = b.client_id""",
+    ),
+)
+def q_scd1(spark, sf_dir):
+    fx = Fixtures(spark, sf_dir)
+    dim = fx.clients().drop("date_of_birth")
+    num = F.substring("client_id", 2, 100).cast("bigint")
+    changed = (
+        dim.filter(num % 2 == 0)
+        .withColumn("phone", F.when(num % 4 == 0, F.concat("phone", F.lit("-2"))).otherwise(F.col("phone")))
+        .drop("create_dt", "update_dt")
+    )
+    new = (
+        dim.filter(num % 25 == 0)
+        .withColumn("client_id", F.concat(F.lit("N"), F.substring("client_id", 2, 100)))
+        .drop("create_dt", "update_dt")
+    )
+    out = scd1_upsert(dim, changed.unionByName(new), ["client_id"], "2024-01-20")
+    batch_keys = changed.unionByName(new).select("client_id", F.lit(True).alias("from_batch"))
+    return (
+        out.join(batch_keys, "client_id", "left")
+        .select(
+            "client_id",
+            F.coalesce("from_batch", F.lit(False)).alias("from_batch"),
+            "phone",
+            "create_dt",
+            "update_dt",
+        )
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: q.build for k, q in REGISTRY.items()}
 

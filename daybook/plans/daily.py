@@ -18,6 +18,7 @@ import datetime as _dt
 from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from daybook.constants import CLOSE_OPEN_ONLY
 from daybook.functions.dates import DateLike
@@ -33,6 +34,7 @@ from daybook.schemas import (
     TERMINAL_KEYS,
     TERMINALS,
     TRANSACTIONS,
+    empty_frame,
 )
 
 TX_KEYS = ["transaction_id"]
@@ -66,8 +68,8 @@ def initial_state(spark: SparkSession) -> DailyState:
     return DailyState(
         terminals=empty_history(spark, TERMINAL_KEYS, TERMINAL_ATTRS, TERMINALS),
         blacklist=empty_history(spark, BLACKLIST_KEYS, [], BLACKLIST),
-        transactions=spark.createDataFrame([], TRANSACTIONS),
-        report=spark.createDataFrame([], REP_FRAUD),
+        transactions=empty_frame(spark, TRANSACTIONS),
+        report=empty_frame(spark, REP_FRAUD),
     )
 
 
@@ -122,3 +124,53 @@ def run_days(
         if checkpoint_every and i % checkpoint_every == 0:
             state = cut_lineage(state)
     return state
+
+
+@dataclass(frozen=True)
+class StateRoots:
+    """Storage roots of a production run (shared file system paths)."""
+
+    terminals: str
+    blacklist: str
+    transactions: str
+    report: str
+
+
+def run_day_stored(
+    spark: SparkSession,
+    roots: StateRoots,
+    feeds: DailyFeeds,
+    dims: Dimensions,
+    batch_date: _dt.date,
+) -> DataFrame:
+    """One production day (``open_only`` mode) against stored state.
+
+    Each step writes its result before the next reads it, so a failure never
+    leaves a half-applied batch visible and a rerun of the same batch date
+    replaces exactly that batch's partitions.  The card -> holder dimension is
+    written as a table first so the planner sizes the fact join on real bytes.
+    """
+    from daybook.sources.store import FactStore, HistoryStore, ReportStore, materialize
+
+    term_store = HistoryStore(
+        spark, roots.terminals, TERMINAL_KEYS, TERMINAL_ATTRS,
+        empty_history(spark, TERMINAL_KEYS, TERMINAL_ATTRS, TERMINALS),
+    )
+    black_store = HistoryStore(
+        spark, roots.blacklist, BLACKLIST_KEYS, [], empty_history(spark, BLACKLIST_KEYS, [], BLACKLIST)
+    )
+    facts = FactStore(spark, roots.transactions, TX_KEYS, "transaction_date", empty_frame(spark, TRANSACTIONS))
+    staged_tx = materialize(feeds.transactions, "staged_transactions")
+    facts.append_unseen(staged_tx)
+    term_store.apply(feeds.terminals, batch_date)
+    black_store.apply(feeds.blacklist, batch_date, from_col="date")
+    holders = materialize(
+        card_holders(dims.cards, dims.accounts, dims.clients, blacklist_current(black_store.open_rows())),
+        "card_holders",
+    )
+    enriched = enrich_transactions(staged_tx, holders, terminals_current(term_store.open_rows()))
+    report = rep_fraud(enriched)
+    ReportStore(spark, roots.report).write(report, batch_date)
+    return ReportStore(spark, roots.report).read().filter(
+        F.col("batch_date") == F.lit(batch_date).cast("date")
+    ).drop("batch_date")

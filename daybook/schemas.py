@@ -75,6 +75,17 @@ REP_FRAUD = _struct(
 REP_FRAUD_COLS = [f.name for f in REP_FRAUD.fields]
 
 
+def empty_frame(spark, schema: T.StructType):
+    """An empty DataFrame with size statistics (0 rows).
+
+    ``createDataFrame([])`` is an RDD scan whose size the planner cannot
+    estimate, which blocks broadcast decisions for everything joined to it.
+    """
+    from pyspark.sql import functions as F
+
+    return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
 def history_schema(keys: list[str], attrs: list[str], base: T.StructType) -> T.StructType:
     """Schema of an SCD2 history table built over ``keys + attrs`` of ``base``."""
     by_name = {f.name: f.dataType for f in base.fields}
