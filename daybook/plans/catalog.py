@@ -46,7 +46,12 @@ from daybook.functions.coerce import coerce_by_name
 from daybook.functions.filenames import batch_date_from_name
 from daybook.operators.scd1 import scd1_upsert
 from daybook.session import scratch_path
-from daybook.schemas import TRANSACTIONS
+from daybook.schemas import REP_FRAUD_COLS, TRANSACTIONS
+from daybook.plans.daily import StateRoots
+from daybook.sources.store import ReportStore
+from daybook.streaming.drops import daily_drop_stream, transaction_file_stream, write_drop
+from daybook.streaming.city_hours import start_city_counts
+from daybook.streaming.unseen import start_append_unseen
 
 
 @dataclass(frozen=True)
@@ -183,7 +188,7 @@ def q_first_tx(spark, sf_dir):
 
 @register(
     "city_count_by_hour",
-    O.with_fixtures(*TX_VIEWS, O.hourgroups_cte(), body=O.CITYCOUNTS_CTE.split(" as (", 1)[1].rsplit(")", 1)[0]),
+    O.with_fixtures(*TX_VIEWS, O.hourgroups_cte(), body=O.CITYCOUNTS_BODY),
 )
 def q_city_count(spark, sf_dir):
     return city_count_by_hour(fixture_enriched(Fixtures(spark, sf_dir)))
@@ -543,6 +548,66 @@ def q_scd1(spark, sf_dir):
     )
 
 
+# --- streams (result read back from the sink once the stream has drained) -------------
+def _scratch(spark, name):
+    return scratch_path(spark, f"daybook/{name}/{uuid.uuid4().hex}")
+
+
+def _write_three_drops(fx: Fixtures, incoming: str) -> None:
+    for n in (1, 2, 3):
+        write_drop(incoming, batch_date(n), fx.transactions(n), fx.terminals(n), fx.blacklist(n))
+
+
+@register("stream_daily_drop", _daily_report_sql())
+def q_stream_drop(spark, sf_dir):
+    """Three daily drops consumed by the file stream; the stored report equals the batch fold."""
+    fx = Fixtures(spark, sf_dir)
+    base = _scratch(spark, "stream_drop")
+    incoming = f"{base}/incoming"
+    _write_three_drops(fx, incoming)
+    roots = StateRoots(f"{base}/terminals", f"{base}/blacklist", f"{base}/transactions", f"{base}/report")
+    dims = Dimensions(
+        materialize(fx.cards(), "cards"), materialize(fx.accounts(), "accounts"), materialize(fx.clients(), "clients")
+    )
+    q = daily_drop_stream(spark, incoming, roots, dims, f"{base}/_checkpoint", archive_dir=f"{base}/archive")
+    q.awaitTermination()
+    return ReportStore(spark, roots.report).read().select(*REP_FRAUD_COLS)
+
+
+@register(
+    "stream_city_count_by_hour",
+    O.with_fixtures(*TX_VIEWS, O.hourgroups_cte(), body=O.CITYCOUNTS_BODY),
+)
+def q_stream_city(spark, sf_dir):
+    """All transactions as one text drop, streamed through the watermarked hourly count."""
+    fx = Fixtures(spark, sf_dir)
+    base = _scratch(spark, "stream_city")
+    write_delimited(fx.transactions(), f"{base}/incoming/transactions_01022024.txt")
+    black = blacklist_current(blacklist_hist(fx, 1, CLOSE_OPEN_ONLY))
+    holders = materialize(card_holders(fx.cards(), fx.accounts(), fx.clients(), black), "card_holders")
+    terms = materialize(fx.terminals(3), "terminals_current")
+    tx = transaction_file_stream(spark, f"{base}/incoming").drop("batch_date")
+    q = start_city_counts(spark, tx, holders, terms, f"{base}/city_counts", f"{base}/_checkpoint")
+    q.awaitTermination()
+    return spark.read.parquet(f"{base}/city_counts").select("passport_num", "hour_group", "count_cities")
+
+
+@register(
+    "stream_transactions_unseen",
+    O.with_fixtures(body="select * from transactions"),
+)
+def q_stream_unseen(spark, sf_dir):
+    """Three overlapping daily transaction drops; the stored history keeps each id once."""
+    fx = Fixtures(spark, sf_dir)
+    base = _scratch(spark, "stream_unseen")
+    for n in (1, 2, 3):
+        write_delimited(fx.transactions(n), f"{base}/incoming/transactions_{batch_date(n):%d%m%Y}.txt")
+    tx = transaction_file_stream(spark, f"{base}/incoming", max_files=1).drop("batch_date")
+    q = start_append_unseen(spark, tx, f"{base}/facts", f"{base}/_checkpoint")
+    q.awaitTermination()
+    return spark.read.parquet(f"{base}/facts").drop("tx_day")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: q.build for k, q in REGISTRY.items()}
 

@@ -58,11 +58,12 @@ def read_feed(
 ) -> DataFrame:
     # Text under the header's own names (no positional schema, no inference).
     raw = read_delimited_text(spark, path, glob=glob)
-    keep = []
-    if with_batch_date:
-        raw = raw.withColumn("batch_date", batch_date_from_name(file_name_of_row()))
-        keep = ["batch_date"]
-    return conform(coerce_by_name(raw, decimal_comma=decimal_comma), schema, keep=keep)
+    if not with_batch_date:
+        return conform(coerce_by_name(raw, decimal_comma=decimal_comma), schema)
+    # The file name is carried under a name the date rule does not touch.
+    raw = raw.withColumn("_source_file", file_name_of_row())
+    typed = conform(coerce_by_name(raw, decimal_comma=decimal_comma), schema, keep=["_source_file"])
+    return typed.withColumn("batch_date", batch_date_from_name(F.col("_source_file"))).drop("_source_file")
 
 
 def write_delimited(df: DataFrame, path: str, decimal_comma: bool = True, mode: str = "overwrite") -> None:
