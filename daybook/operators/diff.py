@@ -65,7 +65,7 @@ def diff_join(
         .when(differ, F.lit(UPDATED))
         .otherwise(F.lit(SAME))
     )
-    return j.withColumn("change", change).drop("c__present", "s__present")
+    return j.select(*[F.col(f"c_{x}") for x in ccols], *[F.col(f"s_{x}") for x in scols], change.alias("change"))
 
 
 def snapshot_diff(

@@ -109,7 +109,8 @@ def scd2_apply(
         out = _apply_all_versions(hist, snapshot, keys, attrs, batch_date, from_col, null_safe)
     elif close == CLOSE_OPEN_ONLY:
         changes = scd2_open_changes(hist.filter(is_open()), snapshot, keys, attrs, batch_date, from_col, null_safe)
-        out = hist.filter(~is_open()).unionByName(changes.drop("part"))
+        cols = history_columns(keys, attrs)
+        return hist.filter(~is_open()).select(*cols).unionByName(changes.select(*cols))
     else:
         raise ValueError(f"unknown close mode {close!r}")
     return out.select(*history_columns(keys, attrs))
@@ -182,13 +183,19 @@ def scd2_open_changes(
     batch = date_start(batch_date)
     new_from = as_ntz(F.col(f"s_{from_col}")) if from_col else batch
 
-    def row(id_, side, eff_from, eff_to, flg):
+    def row(id_, side, eff_from, eff_to, flg, part):
+        vals = [F.col(f"{side}_{c}").alias(c) for c in [*keys, *attrs]]
+        eff_from = eff_from.cast("timestamp_ntz").alias("effective_from")
+        flg = (F.lit(flg) if isinstance(flg, int) else flg).cast("int").alias("deleted_flg")
+        # New rows get a content id; carried rows keep theirs.
+        rid = id_ if id_ is not None else F.xxhash64(*vals, eff_from, flg)
         return F.struct(
-            id_.cast("long").alias("id"),
-            *[F.col(f"{side}_{c}").alias(c) for c in [*keys, *attrs]],
-            eff_from.cast("timestamp_ntz").alias("effective_from"),
+            rid.cast("long").alias("id"),
+            *vals,
+            eff_from,
             eff_to.cast("timestamp_ntz").alias("effective_to"),
-            F.lit(flg).cast("int").alias("deleted_flg") if isinstance(flg, int) else flg.cast("int").alias("deleted_flg"),
+            flg,
+            part.alias("part"),
         )
 
     old = F.when(
@@ -199,15 +206,15 @@ def scd2_open_changes(
             F.col("c_effective_from"),
             F.when(close_o, close_ts(batch_date)).otherwise(open_until()),
             F.col("c_deleted_flg"),
+            F.when(close_o, F.lit("closed")).otherwise(F.lit("open")),
         ),
     )
-    null_id = F.lit(None)
-    new = F.when(new_version, row(null_id, "s", new_from, open_until(), LIVE)).when(
-        tombstone, row(null_id, "c", batch, open_until(), DELETED)
+    opened = F.lit("open")
+    new = F.when(new_version, row(None, "s", new_from, open_until(), LIVE, opened)).when(
+        tombstone, row(None, "c", batch, open_until(), DELETED, opened)
     )
-    emitted = j.select(F.explode(F.filter(F.array(old, new), lambda x: x.isNotNull())).alias("r")).select("r.*")
-    emitted = _with_ids(emitted, keys, attrs).select(*cols)
-    return emitted.withColumn("part", F.when(is_open(), F.lit("open")).otherwise(F.lit("closed")))
+    # Up to two history rows per joined row, in one generator.
+    return j.select(F.inline(F.filter(F.array(old, new), lambda x: x.isNotNull()))).select(*cols, "part")
 
 
 def terminals_current(hist: DataFrame) -> DataFrame:

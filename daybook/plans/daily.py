@@ -5,10 +5,9 @@ Order matters and follows the original load: diffs see the state *before*
 the apply; the report sees the state *after* it and covers the whole staged
 transaction batch.
 
-For long folds, ``cut_lineage`` writes each day's state to the cluster's
-shared checkpoint folder (``spark.checkpoint.dir``) with reliable
-``checkpoint()``, so plans stay small and a lost executor never forces a
-recomputation of earlier days.  Production runs read and write the state
+For folds, ``cut_lineage`` writes each day's state as tables in the
+cluster's shared checkpoint folder (``spark.checkpoint.dir``), so plans stay
+small and a lost executor never forces a recomputation of earlier days.  Production runs read and write the state
 through ``daybook.sources.store`` instead (each day a written table).
 """
 
@@ -101,13 +100,19 @@ def run_day(
 
 
 def cut_lineage(state: DailyState) -> DailyState:
-    """Materialise the state in the shared checkpoint folder (reliable, not local)."""
+    """Write the state as tables in the shared checkpoint folder and read them back.
+
+    Unlike an RDD checkpoint, a written Parquet table also gives the planner
+    its real size for the next day's join decisions.
+    """
+    from daybook.sources.store import materialize
+
     return replace(
         state,
-        terminals=state.terminals.checkpoint(eager=True),
-        blacklist=state.blacklist.checkpoint(eager=True),
-        transactions=state.transactions.checkpoint(eager=True),
-        report=state.report.checkpoint(eager=True),
+        terminals=materialize(state.terminals, "state_terminals"),
+        blacklist=materialize(state.blacklist, "state_blacklist"),
+        transactions=materialize(state.transactions, "state_transactions"),
+        report=materialize(state.report, "state_report"),
     )
 
 

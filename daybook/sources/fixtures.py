@@ -27,6 +27,9 @@ BATCHES = {
 # ------------------------------------------------------------------------------
 
 
+_TABLES: dict[tuple, DataFrame] = {}
+
+
 def _s(prefix: str, c: Column) -> Column:
     return F.concat(F.lit(prefix), c.cast("string"))
 
@@ -37,7 +40,12 @@ class Fixtures:
     sf_dir: str
 
     def _read(self, table: str, *cols: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{table}.parquet").select(*cols)
+        # One listing/footer read per table and session; DataFrames are immutable.
+        key = (id(self.spark), self.sf_dir, table)
+        base = _TABLES.get(key)
+        if base is None:
+            base = _TABLES[key] = self.spark.read.parquet(f"{self.sf_dir}/{table}.parquet")
+        return base.select(*cols)
 
     # dimensions ------------------------------------------------------------
     def clients(self) -> DataFrame:
@@ -89,7 +97,7 @@ class Fixtures:
         if batch is not None:
             _, lo, hi = BATCHES[batch]
             ev = ev.filter((F.col("ts") >= F.lit(lo).cast("timestamp_ntz")) & (F.col("ts") < F.lit(hi).cast("timestamp_ntz")))
-        n_terminals = self.spark.read.parquet(f"{self.sf_dir}/supplier.parquet").select(F.count(F.lit(1)))
+        n_terminals = self._read("supplier", "s_suppkey").select(F.count(F.lit(1)))
         e = F.col("event_id")
         return ev.select(
             e.alias("transaction_id"),
