@@ -349,19 +349,20 @@ def q_append_unseen(spark, sf_dir):
 
 
 # --- three-day run ------------------------------------------------------------------
-def _three_days(spark, sf_dir, mode=CLOSE_OPEN_ONLY):
+def _three_days(spark, sf_dir, mode=CLOSE_OPEN_ONLY, n_days=3):
     fx = Fixtures(spark, sf_dir)
     dims = Dimensions(fx.cards(), fx.accounts(), fx.clients())
     days = [
-        (DailyFeeds(fx.transactions(n), fx.terminals(n), fx.blacklist(n)), batch_date(n)) for n in (1, 2, 3)
+        (DailyFeeds(fx.transactions(n), fx.terminals(n), fx.blacklist(n)), batch_date(n))
+        for n in range(1, n_days + 1)
     ]
     return run_days(initial_state(spark), days, dims, close=mode, checkpoint_every=1)
 
 
-def _daily_report_sql() -> str:
+def _daily_report_sql(n_days: int = 3, mode: str = "open_only") -> str:
     parts = []
-    ctes = [*O.terminals_chain(3, "open_only"), *O.blacklist_chain(3, "open_only")]
-    for n in (1, 2, 3):
+    ctes = [*O.terminals_chain(n_days, mode), *O.blacklist_chain(n_days, mode)]
+    for n in range(1, n_days + 1):
         ctes.append(O.batch_tx(n))
         ctes.append(
             f"v_terminals_{n} as (select {O.T_COLS} from h_t{n} where effective_to = {O.OPEN} and deleted_flg = 0)"
@@ -393,6 +394,29 @@ def q_daily_report(spark, sf_dir):
     return _three_days(spark, sf_dir).report
 
 
+@register("rep_fraud_two_batches", _daily_report_sql(2))
+def q_report_two(spark, sf_dir):
+    """Report table after two daily runs (appended day by day)."""
+    return _three_days(spark, sf_dir, n_days=2).report
+
+
+@register("daily_run_report_all_versions", _daily_report_sql(3, "all_versions"))
+def q_daily_report_av(spark, sf_dir):
+    """Three daily runs with the reference close mode."""
+    return _three_days(spark, sf_dir, mode=CLOSE_ALL_VERSIONS).report
+
+
+@register(
+    "daily_run_blacklist_hist",
+    O.with_fixtures(
+        *O.blacklist_chain(3, "open_only"),
+        body="select passport, effective_from, effective_to, deleted_flg from h_b3",
+    ),
+)
+def q_daily_blacklist(spark, sf_dir):
+    return _three_days(spark, sf_dir).blacklist.select(*HIST_B)
+
+
 @register(
     "daily_run_transactions_hist",
     O.with_fixtures(

@@ -49,23 +49,20 @@ def upsert_into(table_root: str):
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        fresh = batch.withColumn("day", F.to_date("hour_start")).withColumn("_v", F.lit(batch_id))
+        fresh = batch.withColumn("day", F.to_date("hour_start"))
         try:
             stored = spark.read.parquet(table_root)
-            days = fresh.select("day").distinct()
-            # Only the touched days are read; the join on ``day`` prunes partitions.
-            stored = stored.join(days, "day", "left_semi").withColumn("_v", F.lit(-1))
-            merged = stored.unionByName(fresh)
         except Exception:  # noqa: BLE001 - first batch, no table yet
-            merged = fresh
-        from pyspark.sql import Window
-
-        newest = Window.partitionBy("day", *KEY).orderBy(F.col("_v").desc())
-        out = merged.withColumn("_r", F.row_number().over(newest)).filter("_r = 1").drop("_r", "_v")
-        # Materialise (reliable checkpoint in the shared folder) before
-        # overwriting the partitions that were just read.
-        out = out.checkpoint(eager=True)
-        out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(
+            stored = None
+        if stored is not None:
+            # Update mode emits each changed group once per micro-batch with its
+            # full current value: it replaces the stored row of the same group.
+            touched = stored.join(fresh.select("day").distinct(), "day", "left_semi")
+            kept = touched.join(fresh.select("day", *KEY), ["day", *KEY], "left_anti")
+            # Materialise (reliable checkpoint in the shared folder) before
+            # overwriting the partitions that were just read.
+            fresh = kept.unionByName(fresh).checkpoint(eager=True)
+        fresh.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(
             table_root
         )
 
