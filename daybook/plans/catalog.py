@@ -596,7 +596,9 @@ def q_stream_drop(spark, sf_dir):
     base = _scratch(spark, "stream_drop")
     incoming = f"{base}/incoming"
     _write_three_drops(fx, incoming)
-    roots = StateRoots(f"{base}/terminals", f"{base}/blacklist", f"{base}/transactions", f"{base}/report")
+    roots = StateRoots(
+        f"{base}/terminals", f"{base}/blacklist", f"{base}/transactions", f"{base}/report", fact_buckets=8
+    )
     dims = Dimensions(
         materialize(fx.cards(), "cards"), materialize(fx.accounts(), "accounts"), materialize(fx.clients(), "clients")
     )

@@ -140,6 +140,9 @@ class StateRoots:
     blacklist: str
     transactions: str
     report: str
+    # Cluster the fact history by transaction_id into this many buckets (size
+    # it to the history, e.g. thousands at 100 TB); None keeps a plain layout.
+    fact_buckets: int | None = None
 
 
 def run_day_stored(
@@ -165,7 +168,10 @@ def run_day_stored(
     black_store = HistoryStore(
         spark, roots.blacklist, BLACKLIST_KEYS, [], empty_history(spark, BLACKLIST_KEYS, [], BLACKLIST)
     )
-    facts = FactStore(spark, roots.transactions, TX_KEYS, "transaction_date", empty_frame(spark, TRANSACTIONS))
+    facts = FactStore(
+        spark, roots.transactions, TX_KEYS, "transaction_date", empty_frame(spark, TRANSACTIONS),
+        buckets=roots.fact_buckets,
+    )
     staged_tx = materialize(feeds.transactions, "staged_transactions")
     facts.append_unseen(staged_tx)
     term_store.apply(feeds.terminals, batch_date)

@@ -126,12 +126,43 @@ class HistoryStore:
 
 
 class FactStore:
-    """Insert-only fact history partitioned by day."""
-
-    def __init__(self, spark: SparkSession, root: str, keys: list[str], ts_col: str, empty: DataFrame):
+    """Insert-only fact history partitioned by day.
+
+    With ``buckets`` the history is a table clustered by the key
+    (``CLUSTERED BY key INTO n BUCKETS``, registered in the session catalog
+    over ``root``): the daily anti join then reads the stored keys bucket by
+    bucket without shuffling them, and only the day's batch is exchanged.
+    Without it, the stored key column is shuffled for the join.
+    """
+
+    def __init__(
+        self,
+        spark: SparkSession,
+        root: str,
+        keys: list[str],
+        ts_col: str,
+        empty: DataFrame,
+        buckets: int | None = None,
+        table: str | None = None,
+    ):
         self.spark, self.root, self.keys, self.ts_col, self.empty = spark, root, keys, ts_col, empty
+        self.buckets = buckets
+        self.table = table or ("daybook_facts_" + uuid.uuid5(uuid.NAMESPACE_URL, root).hex[:12] if buckets else None)
+        if buckets:
+            self._ensure_table()
+
+    def _ensure_table(self) -> None:
+        cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in self.empty.schema.fields)
+        keys = ", ".join(f"`{k}`" for k in self.keys)
+        self.spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {self.table} ({cols}, tx_day date) USING parquet "
+            f"PARTITIONED BY (tx_day) CLUSTERED BY ({keys}) INTO {self.buckets} BUCKETS "
+            f"LOCATION '{self.root}'"
+        )
 
     def read(self) -> DataFrame:
+        if self.table:
+            return self.spark.table(self.table).drop("tx_day")
         if not _exists(self.spark, self.root):
             return self.empty
         return self.spark.read.parquet(self.root).drop("tx_day")
@@ -139,12 +170,11 @@ class FactStore:
     def append_unseen(self, batch: DataFrame) -> None:
         new = unseen(self.read(), batch, self.keys)
         new = materialize(new, "unseen")  # read once, then append (the anti join reads the target)
-        (
-            new.withColumn("tx_day", F.to_date(self.ts_col))
-            .write.mode("append")
-            .partitionBy("tx_day")
-            .parquet(self.root)
-        )
+        rows = new.select(*self.empty.columns).withColumn("tx_day", F.to_date(self.ts_col))
+        if self.table:
+            rows.write.insertInto(self.table)
+        else:
+            rows.write.mode("append").partitionBy("tx_day").parquet(self.root)
 
 
 class ReportStore:

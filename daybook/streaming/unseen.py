@@ -25,8 +25,11 @@ def start_append_unseen(
     facts_root: str,
     checkpoint: str,
     keys: list[str] = ("transaction_id",),
+    buckets: int | None = None,
 ) -> StreamingQuery:
-    store = FactStore(spark, facts_root, list(keys), "transaction_date", empty_frame(spark, TRANSACTIONS))
+    store = FactStore(
+        spark, facts_root, list(keys), "transaction_date", empty_frame(spark, TRANSACTIONS), buckets=buckets
+    )
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         store.append_unseen(batch.select(*[f.name for f in TRANSACTIONS.fields]))

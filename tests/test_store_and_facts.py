@@ -54,3 +54,23 @@ def test_fact_store_append_is_idempotent(spark, tmpdir_path):
     store.append_unseen(tx(spark, [2, 3]))
     store.append_unseen(tx(spark, [2, 3]))
     assert sorted(r[0] for r in store.read().collect()) == [1, 2, 3]
+
+
+def test_bucketed_fact_store_reads_history_without_exchange(spark, tmpdir_path):
+    store = FactStore(
+        spark, f"{tmpdir_path}/bfacts", ["transaction_id"], "transaction_date", empty_frame(spark, TRANSACTIONS), buckets=4
+    )
+    store.append_unseen(tx(spark, [1, 2]))
+    store.append_unseen(tx(spark, [2, 3]))
+    assert sorted(r[0] for r in store.read().collect()) == [1, 2, 3]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = unseen(store.read(), tx(spark, [3, 4]), ["transaction_id"])._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(64 * 1024 * 1024))
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    scan = [line for line in plan.splitlines() if "daybook_facts" in line][0]
+    assert "Bucketed: true" in scan
+    # Exactly one exchange: the batch side.
+    assert plan.count("Exchange hashpartitioning") == 1

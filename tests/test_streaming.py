@@ -27,3 +27,21 @@ def test_stream_drop_equals_batch_fold(spark):
     streamed = E.queries()["stream_daily_drop"](spark, SF)
     batch = E.queries()["daily_run_report"](spark, SF)
     assert rows(streamed) == rows(batch)
+
+
+def test_dedupe_within_watermark_drops_near_repeats(spark, tmp_path):
+    import datetime as dt
+
+    from daybook.schemas import TRANSACTIONS
+    from daybook.sources.delimited import write_delimited
+    from daybook.streaming.drops import transaction_file_stream
+    from daybook.streaming.unseen import dedupe_within_watermark
+
+    rows_ = [(1, dt.datetime(2024, 1, 1, 10), None, "K", "pay", "OK", "T")] * 2 + [
+        (2, dt.datetime(2024, 1, 1, 11), None, "K", "pay", "OK", "T")
+    ]
+    write_delimited(spark.createDataFrame(rows_, TRANSACTIONS), f"{tmp_path}/in/transactions_01012024.txt")
+    stream = dedupe_within_watermark(transaction_file_stream(spark, f"{tmp_path}/in").drop("batch_date"), "1 hour")
+    q = stream.writeStream.format("memory").queryName("dedupe_out").trigger(availableNow=True).start()
+    q.awaitTermination()
+    assert sorted(r[0] for r in spark.sql("select transaction_id from dedupe_out").collect()) == [1, 2]
