@@ -127,7 +127,8 @@ def run_days(
     """Fold ``run_day`` over several days (oldest first)."""
     for i, (feeds, d) in enumerate(days, start=1):
         state, _ = run_day(state, feeds, dims, d, close=close)
-        if checkpoint_every and i % checkpoint_every == 0:
+        # Cut only where another day will build on this state.
+        if checkpoint_every and i % checkpoint_every == 0 and i < len(days):
             state = cut_lineage(state)
     return state
 

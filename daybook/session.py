@@ -64,3 +64,29 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path for intermediate tables, under the shared checkpoint folder."""
     return os.path.join(ensure_checkpoint_dir(spark), name)
+
+
+def cluster_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
+    """Settings sized for a cluster run over ``input_bytes`` of input.
+
+    Scan splits and shuffle partitions are sized so one task handles about
+    ``target_partition_bytes`` (fits executor memory, spills gracefully);
+    AQE starts from that many shuffle partitions, coalesces small ones and
+    splits skewed ones.  A multiple of the core count avoids a ragged last
+    wave.  Pass the result to ``SparkSession.builder.config(map=...)``.
+    """
+    waves = max(1, -(-input_bytes // (target_partition_bytes * total_cores)))
+    partitions = max(total_cores, waves * total_cores)
+    conf = dict(REQUIRED_CONF)
+    conf.update(
+        {
+            "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+            "spark.sql.shuffle.partitions": str(partitions),
+            "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+            # Object-hash aggregation (sets per group) spills to sort-based beyond this many keys.
+            "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "4096",
+        }
+    )
+    return conf
