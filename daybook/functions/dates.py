@@ -31,6 +31,12 @@ def as_ntz(c: Column) -> Column:
     return c.cast("timestamp_ntz")
 
 
+def ntz_lit(ts: _dt.datetime) -> Column:
+    """A wall-clock literal.  Built from text: a Python ``datetime`` literal is
+    a zoned TIMESTAMP, and casting it to NTZ would shift it by the session zone."""
+    return F.lit(ts.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def date_start(d: DateLike) -> Column:
     """Midnight at the start of ``d`` as TIMESTAMP_NTZ."""
     return as_ntz(as_date(d))
@@ -38,7 +44,7 @@ def date_start(d: DateLike) -> Column:
 
 def open_until() -> Column:
     """The open-validity sentinel (2999-12-31 00:00:00)."""
-    return F.lit(OPEN_UNTIL).cast("timestamp_ntz")
+    return ntz_lit(OPEN_UNTIL)
 
 
 def close_ts(batch_date: DateLike) -> Column:

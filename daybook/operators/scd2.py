@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from daybook.constants import CLOSE_ALL_VERSIONS, CLOSE_OPEN_ONLY, DELETED, LIVE
-from daybook.functions.dates import DateLike, as_ntz, close_ts, date_start, open_until
+from daybook.functions.dates import DateLike, as_ntz, close_ts, date_start, ntz_lit, open_until
 from daybook.operators import diff as D
 from daybook.operators.surrogate import row_id
 from daybook.schemas import empty_frame, history_schema
@@ -227,7 +227,7 @@ def blacklist_current(hist: DataFrame) -> DataFrame:
 
 def as_of(hist: DataFrame, ts: _dt.datetime | Column) -> DataFrame:
     """Rows valid at ``ts`` (not deleted), for point-in-time lookups."""
-    t = ts if isinstance(ts, Column) else F.lit(ts).cast("timestamp_ntz")
+    t = ts if isinstance(ts, Column) else ntz_lit(ts)
     return hist.filter(
         (F.col("effective_from") <= t) & (t <= F.col("effective_to")) & (F.col("deleted_flg") == F.lit(LIVE))
     )

@@ -16,7 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.functions.dates import as_ntz
+from daybook.functions.dates import as_ntz, ntz_lit
 
 # --- fixed values: batch calendar of the fixture (date, tx window [lo, hi)) ---
 BATCHES = {
@@ -96,7 +96,7 @@ class Fixtures:
         ev = self._read("events", "event_id", "ts", "user_id", "event_type", "value")
         if batch is not None:
             _, lo, hi = BATCHES[batch]
-            ev = ev.filter((F.col("ts") >= F.lit(lo).cast("timestamp_ntz")) & (F.col("ts") < F.lit(hi).cast("timestamp_ntz")))
+            ev = ev.filter((F.col("ts") >= ntz_lit(lo)) & (F.col("ts") < ntz_lit(hi)))
         n_terminals = self._read("supplier", "s_suppkey").select(F.count(F.lit(1)))
         e = F.col("event_id")
         return ev.select(

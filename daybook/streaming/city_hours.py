@@ -9,8 +9,9 @@ rows into a table partitioned by day, rewriting only the touched days
 (dynamic partition overwrite), so the table always holds the latest count
 per group and a replayed micro-batch gives the same table.
 
-The watermark needs a zoned ``TIMESTAMP``; wall-clock ``TIMESTAMP_NTZ``
-values are cast in the session zone, which daybook pins to UTC.
+The watermark needs a zoned ``TIMESTAMP``: the wall-clock hour of the
+``TIMESTAMP_NTZ`` transaction time is truncated in local time and used both
+as the watermarked column and as the grouping key.
 """
 
 from __future__ import annotations
@@ -25,19 +26,22 @@ KEY = ["passport_num", "hour_start"]
 
 
 def city_count_stream(enriched_stream: DataFrame, delay: str = "1 hour") -> DataFrame:
-    ts = F.col("transaction_date").cast("timestamp")
+    # The grouping key is the watermarked column itself: the wall-clock hour
+    # (truncated in local time, so clock hours hold in any session zone) as a
+    # zoned TIMESTAMP, which is what the watermark requires.
+    hour = F.date_trunc("hour", F.col("transaction_date"))
     return (
         enriched_stream.filter(F.col("transaction_date").isNotNull())
-        .withColumn("event_time", ts)
-        .withWatermark("event_time", delay)
-        .groupBy(F.window("event_time", "1 hour").alias("w"), "passport_num")
+        .withColumn("event_hour", hour)
+        .withWatermark("event_hour", delay)
+        .groupBy("event_hour", "passport_num")
         .agg(
             F.min("transaction_date").alias("hour_group"),
             F.size(F.collect_set("terminal_city")).cast("long").alias("count_cities"),
         )
         .select(
             "passport_num",
-            F.col("w.start").cast("timestamp_ntz").alias("hour_start"),
+            F.col("event_hour").cast("timestamp_ntz").alias("hour_start"),
             "hour_group",
             "count_cities",
         )
