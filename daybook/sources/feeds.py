@@ -28,33 +28,42 @@ FEEDS = {
 }
 
 
-def read_one_feed(spark: SparkSession, folder: str, word: str) -> DataFrame:
-    schema = FEEDS[word]
-    parts = []
-    for glob, reader in ((f"*{word}*.xlsx", "xlsx"), (f"*{word}*.[tc][xs][tv]", "text")):
-        try:
-            if reader == "xlsx":
-                parts.append(read_workbooks(spark, folder, schema, glob=glob))
-            else:
-                parts.append(read_feed(spark, folder, schema, glob=glob))
-        except Exception as e:  # noqa: BLE001 - no file of this format
-            if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e) and "does not exist" not in str(e):
-                raise
-    if not parts:
-        raise FileNotFoundError(f"no {word} file in {folder}")
+def read_feed_files(spark: SparkSession, folder: str, pattern: str, schema) -> DataFrame:
+    """All files of one feed in ``folder`` whose name contains ``pattern``.
+
+    Workbooks (``*.xlsx`` files) and delimited text (``*.txt`` / ``*.csv``,
+    a file or a folder of part files) are both read and unioned.
+    """
+    parts = [read_workbooks(spark, folder, schema, glob=f"*{pattern}*.xlsx")]
+    try:
+        text = read_feed(spark, f"{folder}/*{pattern}*.{{txt,csv}}", schema)
+        text.schema  # noqa: B018 - resolves the path glob
+        parts.append(text)
+    except Exception as e:  # noqa: BLE001 - no text file for this feed
+        if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
+            raise
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
 
 
+def read_one_feed(spark: SparkSession, folder: str, word: str) -> DataFrame:
+    return read_feed_files(spark, folder, word, FEEDS[word])
+
+
 def drop_batch_date(spark: SparkSession, folder: str) -> _dt.date:
-    """The one batch date of a drop (file names only; no file content is read)."""
-    names = spark.read.format("binaryFile").load(folder).select(F.col("path"))
+    """The one batch date of a drop (file names only; no file content is read).
+
+    A feed may be a file or a folder of part files, so the listing is
+    recursive and the date is taken from the path segment naming the feed.
+    """
     words = "|".join([FEED_TRANSACTIONS, FEED_TERMINALS, FEED_BLACKLIST])
+    listing = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder).select("path")
+    segment = F.regexp_extract(F.col("path"), rf"([^/]*({words})[^/]*)", 1)
     dates = (
-        names.filter(F.col("path").rlike(words))
-        .select(batch_date_from_name(F.regexp_extract("path", r"([^/]+)$", 1)).alias("d"))
+        listing.filter(segment != "")
+        .select(batch_date_from_name(segment).alias("d"))
         .distinct()
         .collect()
     )

@@ -22,8 +22,8 @@ from daybook.functions.coerce import coerce_by_name
 from daybook.functions.filenames import batch_date_from_name
 from daybook.plans.daily import DailyFeeds, Dimensions, StateRoots, run_day_stored
 from daybook.schemas import BLACKLIST, TERMINALS, TRANSACTIONS
-from daybook.sources.delimited import conform, read_feed, write_delimited
-from daybook.sources.workbook import read_workbooks, write_workbooks
+from daybook.sources.delimited import conform, write_delimited
+from daybook.sources.workbook import write_workbooks
 
 TEXT_TX = ", ".join(f"`{f.name}` STRING" for f in TRANSACTIONS.fields)
 
@@ -49,24 +49,9 @@ def transaction_file_stream(spark: SparkSession, incoming: str, max_files: int |
 
 
 def _snapshot(spark: SparkSession, incoming: str, word: str, d: _dt.date, schema) -> DataFrame:
-    stamp = _ddmmyyyy(d)
-    parts = []
-    try:
-        parts.append(read_workbooks(spark, incoming, schema, glob=f"*{word}_{stamp}*.xlsx"))
-        parts[-1].schema  # noqa: B018
-    except Exception:  # noqa: BLE001 - no workbook for this feed
-        parts = []
-    try:
-        text = read_feed(spark, f"{incoming}/*{word}_{stamp}*", schema)
-        parts.append(text)
-    except Exception:  # noqa: BLE001 - no text file for this feed
-        pass
-    if not parts:
-        raise FileNotFoundError(f"no {word} snapshot for {d} in {incoming}")
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    from daybook.sources.feeds import read_feed_files
+
+    return read_feed_files(spark, incoming, f"{word}_{_ddmmyyyy(d)}", schema)
 
 
 def daily_drop_stream(
