@@ -54,18 +54,21 @@ def diff_join(
     """
     ccols = list(keys) + list(attrs) + list(current_extra)
     scols = list(keys) + list(attrs) + list(snapshot_extra)
-    c = current.select(*[F.col(x).alias(f"c_{x}") for x in ccols], F.lit(True).alias("c__present"))
-    s = snapshot.select(*[F.col(x).alias(f"s_{x}") for x in scols], F.lit(True).alias("s__present"))
-    on = _and([F.col(f"c_{k}") == F.col(f"s_{k}") for k in keys])
+    # Expressions are written as SQL text: one JVM call per expression
+    # instead of one per column reference (plan building stays cheap).
+    c = current.selectExpr(*[f"`{x}` AS `c_{x}`" for x in ccols], "true AS c__present")
+    s = snapshot.selectExpr(*[f"`{x}` AS `s_{x}`" for x in scols], "true AS s__present")
+    on = F.expr(" AND ".join(f"`c_{k}` = `s_{k}`" for k in keys))
     j = c.join(s, on, "full_outer")
-    differ = attrs_differ([F.col(f"c_{a}") for a in attrs], [F.col(f"s_{a}") for a in attrs], null_safe)
+    if null_safe:
+        differ = " OR ".join(f"NOT (`c_{a}` <=> `s_{a}`)" for a in attrs)
+    else:
+        differ = " OR ".join(f"`c_{a}` <> `s_{a}`" for a in attrs)
     change = (
-        F.when(F.col("c__present").isNull(), F.lit(NEW))
-        .when(F.col("s__present").isNull(), F.lit(DELETED))
-        .when(differ, F.lit(UPDATED))
-        .otherwise(F.lit(SAME))
+        f"CASE WHEN c__present IS NULL THEN '{NEW}' WHEN s__present IS NULL THEN '{DELETED}' "
+        f"WHEN {differ or 'false'} THEN '{UPDATED}' ELSE '{SAME}' END AS change"
     )
-    return j.select(*[F.col(f"c_{x}") for x in ccols], *[F.col(f"s_{x}") for x in scols], change.alias("change"))
+    return j.selectExpr(*[f"`c_{x}`" for x in ccols], *[f"`s_{x}`" for x in scols], change)
 
 
 def snapshot_diff(

@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from daybook.constants import CLOSE_ALL_VERSIONS, CLOSE_OPEN_ONLY, DELETED, LIVE
+from daybook.constants import CLOSE_ALL_VERSIONS, CLOSE_OPEN_ONLY, DELETED, LIVE, OPEN_UNTIL
 from daybook.functions.dates import DateLike, as_ntz, close_ts, date_start, ntz_lit, open_until
 from daybook.operators import diff as D
 from daybook.operators.surrogate import row_id
@@ -71,15 +71,14 @@ def snapshot_rejects(snapshot: DataFrame, keys: list[str]) -> DataFrame:
 
 def clean_snapshot(snapshot: DataFrame, keys: list[str], payload: list[str]) -> DataFrame:
     """Drop NULL keys; keep one deterministic row per key (the greatest payload)."""
-    valid = snapshot
-    for k in keys:
-        valid = valid.filter(F.col(k).isNotNull())
+    valid = snapshot.where(" AND ".join(f"`{k}` IS NOT NULL" for k in keys))
     if not payload:
         return valid.select(*keys).distinct()
+    fields = ", ".join(f"`{p}`" for p in payload)
     return (
         valid.groupBy(*keys)
-        .agg(F.max(F.struct(*payload)).alias("_v"))
-        .select(*keys, *[F.col(f"_v.{p}").alias(p) for p in payload])
+        .agg(F.expr(f"max(struct({fields}))").alias("_v"))
+        .selectExpr(*[f"`{k}`" for k in keys], *[f"_v.`{p}` AS `{p}`" for p in payload])
     )
 
 
@@ -171,50 +170,60 @@ def scd2_open_changes(
         current_extra=["id", "effective_from", "deleted_flg"],
         snapshot_extra=[from_col] if from_col else [],
     )
-    has_o = F.col("change") != F.lit(D.NEW)
-    has_s = F.col("change") != F.lit(D.DELETED)
-    o_tomb = has_o & (F.col("c_deleted_flg") == F.lit(DELETED))
-    o_live = has_o & ~o_tomb
-    differ = F.col("change") == F.lit(D.UPDATED)
-    close_o = (has_o & has_s & (o_tomb | differ)) | (o_live & ~has_s)
-    new_version = has_s & (~has_o | o_tomb | differ)
-    tombstone = o_live & ~has_s
-
-    batch = date_start(batch_date)
-    new_from = as_ntz(F.col(f"s_{from_col}")) if from_col else batch
-
-    def row(id_, side, eff_from, eff_to, flg, part):
-        vals = [F.col(f"{side}_{c}").alias(c) for c in [*keys, *attrs]]
-        eff_from = eff_from.cast("timestamp_ntz").alias("effective_from")
-        flg = (F.lit(flg) if isinstance(flg, int) else flg).cast("int").alias("deleted_flg")
+    # The emission is one SQL expression (see diff_join on why SQL text).
+    d = _as_pydate(batch_date)
+    start = _dt.datetime.combine(d, _dt.time())
+    open_ts, close_at, start_ts = _ntz_sql(OPEN_UNTIL), _ntz_sql(start - _dt.timedelta(seconds=1)), _ntz_sql(start)
+    has_o = f"(change <> '{D.NEW}')"
+    has_s = f"(change <> '{D.DELETED}')"
+    o_tomb = f"({has_o} AND c_deleted_flg = {DELETED})"
+    o_live = f"({has_o} AND NOT {o_tomb})"
+    differ = f"(change = '{D.UPDATED}')"
+    close_o = f"(({has_o} AND {has_s} AND ({o_tomb} OR {differ})) OR ({o_live} AND NOT {has_s}))"
+    new_version = f"({has_s} AND (NOT {has_o} OR {o_tomb} OR {differ}))"
+    tombstone = f"({o_live} AND NOT {has_s})"
+    new_from = f"CAST(`s_{from_col}` AS TIMESTAMP_NTZ)" if from_col else start_ts
+
+    def row(side: str, id_sql: str | None, eff_from: str, eff_to: str, flg: str, part: str) -> str:
+        cols = [f"`{side}_{c}`" for c in [*keys, *attrs]]
+        eff_from = f"CAST({eff_from} AS TIMESTAMP_NTZ)"
+        flg = f"CAST({flg} AS INT)"
         # New rows get a content id; carried rows keep theirs.
-        rid = id_ if id_ is not None else F.xxhash64(*vals, eff_from, flg)
-        return F.struct(
-            rid.cast("long").alias("id"),
-            *vals,
-            eff_from,
-            eff_to.cast("timestamp_ntz").alias("effective_to"),
-            flg,
-            part.alias("part"),
+        rid = id_sql or f"xxhash64({', '.join([*cols, eff_from, flg])})"
+        fields = ", ".join(f"'{c}', {v}" for c, v in zip([*keys, *attrs], cols))
+        return (
+            f"named_struct('id', CAST({rid} AS BIGINT), {fields}, 'effective_from', {eff_from}, "
+            f"'effective_to', {eff_to}, 'deleted_flg', {flg}, 'part', {part})"
         )
 
-    old = F.when(
-        has_o,
-        row(
-            F.col("c_id"),
-            "c",
-            F.col("c_effective_from"),
-            F.when(close_o, close_ts(batch_date)).otherwise(open_until()),
-            F.col("c_deleted_flg"),
-            F.when(close_o, F.lit("closed")).otherwise(F.lit("open")),
-        ),
+    old = (
+        f"CASE WHEN {has_o} THEN "
+        + row("c", "c_id", "c_effective_from", f"CASE WHEN {close_o} THEN {close_at} ELSE {open_ts} END",
+              "c_deleted_flg", f"CASE WHEN {close_o} THEN 'closed' ELSE 'open' END")
+        + " END"
     )
-    opened = F.lit("open")
-    new = F.when(new_version, row(None, "s", new_from, open_until(), LIVE, opened)).when(
-        tombstone, row(None, "c", batch, open_until(), DELETED, opened)
+    new = (
+        f"CASE WHEN {new_version} THEN " + row("s", None, new_from, open_ts, str(LIVE), "'open'")
+        + f" WHEN {tombstone} THEN " + row("c", None, start_ts, open_ts, str(DELETED), "'open'")
+        + " END"
     )
-    # Up to two history rows per joined row, in one generator.
-    return j.select(F.inline(F.filter(F.array(old, new), lambda x: x.isNotNull()))).select(*cols, "part")
+    # Up to two history rows per joined row (old restamped or kept, new version
+    # or tombstone), in one generator.
+    return j.selectExpr(f"inline(filter(array({old}, {new}), x -> x IS NOT NULL))").select(*cols, "part")
+
+
+def _as_pydate(d: DateLike) -> _dt.date:
+    if isinstance(d, _dt.datetime):
+        return d.date()
+    if isinstance(d, _dt.date):
+        return d
+    if isinstance(d, str):
+        return _dt.date.fromisoformat(d)
+    raise TypeError("the open_only apply takes a batch date value, not a column")
+
+
+def _ntz_sql(ts: _dt.datetime) -> str:
+    return f"TIMESTAMP_NTZ '{ts:%Y-%m-%d %H:%M:%S}'"
 
 
 def terminals_current(hist: DataFrame) -> DataFrame:

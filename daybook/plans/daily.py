@@ -175,13 +175,13 @@ def run_day_stored(
     )
     staged_tx = materialize(feeds.transactions, "staged_transactions")
     facts.append_unseen(staged_tx)
-    term_store.apply(feeds.terminals, batch_date)
-    black_store.apply(feeds.blacklist, batch_date, from_col="date")
+    term_open = term_store.apply(feeds.terminals, batch_date)
+    black_open = black_store.apply(feeds.blacklist, batch_date, from_col="date")
     holders = materialize(
-        card_holders(dims.cards, dims.accounts, dims.clients, blacklist_current(black_store.open_rows())),
+        card_holders(dims.cards, dims.accounts, dims.clients, blacklist_current(black_open)),
         "card_holders",
     )
-    enriched = enrich_transactions(staged_tx, holders, terminals_current(term_store.open_rows()))
+    enriched = enrich_transactions(staged_tx, holders, terminals_current(term_open))
     report = rep_fraud(enriched)
     ReportStore(spark, roots.report).write(report, batch_date)
     return ReportStore(spark, roots.report).read().filter(

@@ -13,10 +13,9 @@ from __future__ import annotations
 import datetime as _dt
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.functions.dates import as_ntz, ntz_lit
 
 # --- fixed values: batch calendar of the fixture (date, tx window [lo, hi)) ---
 BATCHES = {
@@ -30,10 +29,6 @@ BATCHES = {
 _TABLES: dict[tuple, DataFrame] = {}
 
 
-def _s(prefix: str, c: Column) -> Column:
-    return F.concat(F.lit(prefix), c.cast("string"))
-
-
 @dataclass
 class Fixtures:
     spark: SparkSession
@@ -47,47 +42,50 @@ class Fixtures:
             base = _TABLES[key] = self.spark.read.parquet(f"{self.sf_dir}/{table}.parquet")
         return base.select(*cols)
 
+    # The mapping is written as SQL expressions over the DataFrames: it reads
+    # like FIXTURES.md and costs one JVM call per expression to build.
+
     # dimensions ------------------------------------------------------------
     def clients(self) -> DataFrame:
-        c = self._read("customer", "c_custkey", "c_name", "c_mktsegment", "c_nationkey")
-        k = F.col("c_custkey")
-        return c.select(
-            _s("U", k).alias("client_id"),
-            F.col("c_name").alias("last_name"),
-            F.col("c_mktsegment").alias("first_name"),
-            F.when(k % 7 == 0, F.lit(None).cast("string")).otherwise(_s("P", k % 5)).alias("patronymic"),
-            F.lit(None).cast("date").alias("date_of_birth"),
-            _s("PS", k).alias("passport_num"),
-            F.when(k % 3 == 0, F.lit(None).cast("date"))
-            .otherwise(F.date_add(F.lit("2024-01-05").cast("date"), (k % 61).cast("int")))
-            .alias("passport_valid_to"),
-            F.concat(F.lit("T"), F.col("c_nationkey").cast("string"), F.lit("-"), k.cast("string")).alias("phone"),
-            F.lit(None).cast("date").alias("create_dt"),
-            F.lit(None).cast("date").alias("update_dt"),
+        return self._read("customer", "c_custkey", "c_name", "c_mktsegment", "c_nationkey").selectExpr(
+            "'U' || c_custkey AS client_id",
+            "c_name AS last_name",
+            "c_mktsegment AS first_name",
+            "CASE WHEN c_custkey % 7 = 0 THEN NULL ELSE 'P' || (c_custkey % 5) END AS patronymic",
+            "CAST(NULL AS DATE) AS date_of_birth",
+            "'PS' || c_custkey AS passport_num",
+            "CASE WHEN c_custkey % 3 = 0 THEN NULL "
+            "ELSE date_add(DATE '2024-01-05', CAST(c_custkey % 61 AS INT)) END AS passport_valid_to",
+            "'T' || c_nationkey || '-' || c_custkey AS phone",
+            "CAST(NULL AS DATE) AS create_dt",
+            "CAST(NULL AS DATE) AS update_dt",
         )
 
     def accounts(self) -> DataFrame:
-        c = self._read("customer", "c_custkey")
-        k = F.col("c_custkey")
-        return c.filter(k % 31 != 30).select(
-            _s("A", k).alias("account"),
-            F.date_add(F.lit("2024-01-10").cast("date"), ((k * 7) % 90).cast("int")).alias("valid_to"),
-            _s("U", k).alias("client"),
-            F.lit(None).cast("date").alias("create_dt"),
-            F.lit(None).cast("date").alias("update_dt"),
+        return (
+            self._read("customer", "c_custkey")
+            .where("c_custkey % 31 <> 30")
+            .selectExpr(
+                "'A' || c_custkey AS account",
+                "date_add(DATE '2024-01-10', CAST((c_custkey * 7) % 90 AS INT)) AS valid_to",
+                "'U' || c_custkey AS client",
+                "CAST(NULL AS DATE) AS create_dt",
+                "CAST(NULL AS DATE) AS update_dt",
+            )
         )
 
     def cards(self) -> DataFrame:
-        users = self._read("events", "user_id").distinct()
-        u, n = F.col("user_id"), F.col("n")
+        # Two cards per user (n = 0, 1): a generator, not a cross join.
         return (
-            users.select(u, F.explode(F.array(F.lit(0), F.lit(1))).alias("n"))
-            .filter((u + n) % 41 != 40)
-            .select(
-                F.concat(F.lit("K"), u.cast("string"), F.lit("-"), n.cast("string")).alias("card_num"),
-                _s("A", u).alias("account"),
-                F.lit(None).cast("date").alias("create_dt"),
-                F.lit(None).cast("date").alias("update_dt"),
+            self._read("events", "user_id")
+            .distinct()
+            .selectExpr("user_id", "explode(array(0, 1)) AS n")
+            .where("(user_id + n) % 41 <> 40")
+            .selectExpr(
+                "'K' || user_id || '-' || n AS card_num",
+                "'A' || user_id AS account",
+                "CAST(NULL AS DATE) AS create_dt",
+                "CAST(NULL AS DATE) AS update_dt",
             )
         )
 
@@ -96,57 +94,55 @@ class Fixtures:
         ev = self._read("events", "event_id", "ts", "user_id", "event_type", "value")
         if batch is not None:
             _, lo, hi = BATCHES[batch]
-            ev = ev.filter((F.col("ts") >= ntz_lit(lo)) & (F.col("ts") < ntz_lit(hi)))
+            ev = ev.where(f"ts >= TIMESTAMP_NTZ '{lo:%Y-%m-%d %H:%M:%S}' AND ts < TIMESTAMP_NTZ '{hi:%Y-%m-%d %H:%M:%S}'")
         n_terminals = self._read("supplier", "s_suppkey").select(F.count(F.lit(1)))
-        e = F.col("event_id")
         return ev.select(
-            e.alias("transaction_id"),
-            as_ntz(F.col("ts")).alias("transaction_date"),
-            F.col("value").cast("decimal(10,2)").alias("amount"),
-            F.concat(F.lit("K"), F.col("user_id").cast("string"), F.lit("-"), (e % 2).cast("string")).alias("card_num"),
-            F.col("event_type").alias("oper_type"),
-            F.when(e % 9 == 0, "REJECT").otherwise("SUCCESS").alias("oper_result"),
-            _s("S", e % n_terminals.scalar()).alias("terminal"),
+            "*", (F.col("event_id") % n_terminals.scalar()).alias("terminal_no")
+        ).selectExpr(
+            "event_id AS transaction_id",
+            "CAST(ts AS TIMESTAMP_NTZ) AS transaction_date",
+            "CAST(value AS DECIMAL(10,2)) AS amount",
+            "'K' || user_id || '-' || (event_id % 2) AS card_num",
+            "event_type AS oper_type",
+            "CASE WHEN event_id % 9 = 0 THEN 'REJECT' ELSE 'SUCCESS' END AS oper_result",
+            "'S' || terminal_no AS terminal",
         )
 
     def terminals(self, day: int) -> DataFrame:
         s = self._read("supplier", "s_suppkey", "s_name", "s_nationkey")
         n = self._read("nation", "n_nationkey", "n_name")
-        k = F.col("s_suppkey")
-        m = k % 10
         if day == 1:
-            nation_key = F.col("s_nationkey")
-            keep = m != 9
-            address = F.col("s_name")
+            nation_key, drop, address = "s_nationkey", 9, "s_name"
         else:
-            shift = 1 if day == 2 else 2
-            nation_key = F.when(m == 3, (F.col("s_nationkey") + shift) % 25).otherwise(F.col("s_nationkey"))
-            keep = m != (7 if day == 2 else 8)
-            address = F.when(m == 5, F.lit(None).cast("string")).otherwise(F.col("s_name"))
+            shift, drop = (1, 7) if day == 2 else (2, 8)
+            nation_key = f"CASE WHEN s_suppkey % 10 = 3 THEN (s_nationkey + {shift}) % 25 ELSE s_nationkey END"
+            address = "CASE WHEN s_suppkey % 10 = 5 THEN NULL ELSE s_name END"
         # nation is a 25-row code table: the join is planned as a broadcast by size.
         return (
-            s.filter(keep)
-            .join(n, n["n_nationkey"] == nation_key, "inner")
-            .select(
-                _s("S", k).alias("terminal_id"),
-                F.when(k % 2 == 0, "ATM").otherwise("POS").alias("terminal_type"),
-                F.col("n_name").alias("terminal_city"),
-                address.alias("terminal_address"),
+            s.where(f"s_suppkey % 10 <> {drop}")
+            .selectExpr("*", f"{nation_key} AS nation_key")
+            .join(n, F.col("nation_key") == F.col("n_nationkey"), "inner")
+            .selectExpr(
+                "'S' || s_suppkey AS terminal_id",
+                "CASE WHEN s_suppkey % 2 = 0 THEN 'ATM' ELSE 'POS' END AS terminal_type",
+                "n_name AS terminal_city",
+                f"{address} AS terminal_address",
             )
         )
 
     def blacklist(self, day: int) -> DataFrame:
-        c = self._read("customer", "c_custkey")
-        k = F.col("c_custkey")
-        if day == 1:
-            keep = k % 13 == 0
-        elif day == 2:
-            keep = ((k % 13 == 0) & (k % 2 == 0)) | (k % 17 == 0)
-        else:
-            keep = (k % 13 == 0) | ((k % 17 == 0) & (k % 3 != 0))
-        return c.filter(keep).select(
-            as_ntz(F.date_add(F.lit("2024-01-01").cast("date"), (k % 20).cast("int"))).alias("date"),
-            _s("PS", k).alias("passport"),
+        keep = {
+            1: "c_custkey % 13 = 0",
+            2: "(c_custkey % 13 = 0 AND c_custkey % 2 = 0) OR c_custkey % 17 = 0",
+            3: "c_custkey % 13 = 0 OR (c_custkey % 17 = 0 AND c_custkey % 3 <> 0)",
+        }[day]
+        return (
+            self._read("customer", "c_custkey")
+            .where(keep)
+            .selectExpr(
+                "CAST(date_add(DATE '2024-01-01', CAST(c_custkey % 20 AS INT)) AS TIMESTAMP_NTZ) AS date",
+                "'PS' || c_custkey AS passport",
+            )
         )
 
 

@@ -61,19 +61,22 @@ def applied_batches(spark: SparkSession, root: str) -> DataFrame | None:
     return spark.read.parquet(p) if _exists(spark, p) else None
 
 
-def last_batch_before(spark: SparkSession, root: str, d: _dt.date) -> _dt.date | None:
+def batch_dates(spark: SparkSession, root: str) -> list[_dt.date]:
+    """Applied batch dates of a store (one small read of its log)."""
     log = applied_batches(spark, root)
     if log is None:
-        return None
-    row = log.filter(F.col("batch_date") < F.lit(d)).agg(F.max("batch_date").alias("m")).first()
-    return row["m"] if row else None
+        return []
+    return sorted(r["batch_date"] for r in log.select("batch_date").distinct().collect())
+
+
+def last_batch_before(spark: SparkSession, root: str, d: _dt.date) -> _dt.date | None:
+    earlier = [b for b in batch_dates(spark, root) if b < d]
+    return earlier[-1] if earlier else None
 
 
 def last_batch(spark: SparkSession, root: str) -> _dt.date | None:
-    log = applied_batches(spark, root)
-    if log is None:
-        return None
-    return log.agg(F.max("batch_date").alias("m")).first()["m"]
+    dates = batch_dates(spark, root)
+    return dates[-1] if dates else None
 
 
 def _record_batch(spark: SparkSession, root: str, d: _dt.date) -> None:
@@ -109,11 +112,13 @@ class HistoryStore:
         closed = self.spark.read.parquet(closed_path).filter(F.col("batch_date") <= F.lit(d)).select(*cols)
         return closed.unionByName(opened)
 
-    def apply(self, snapshot: DataFrame, batch_date: _dt.date, from_col: str | None = None) -> None:
-        latest = last_batch(self.spark, self.root)
-        if latest is not None and batch_date < latest:
-            raise ValueError(f"batch {batch_date} is older than the last applied batch {latest}")
-        prev = self.open_rows(before=batch_date)
+    def apply(self, snapshot: DataFrame, batch_date: _dt.date, from_col: str | None = None) -> DataFrame:
+        """Apply one snapshot; returns the new open rows (read from their partition)."""
+        dates = batch_dates(self.spark, self.root)
+        if dates and batch_date < dates[-1]:
+            raise ValueError(f"batch {batch_date} is older than the last applied batch {dates[-1]}")
+        earlier = [b for b in dates if b < batch_date]
+        prev = self._open_at(earlier[-1] if earlier else None).select(*history_columns(self.keys, self.attrs))
         changes = scd2_open_changes(prev, snapshot, self.keys, self.attrs, batch_date, from_col)
         (
             changes.withColumn("batch_date", F.lit(batch_date).cast("date"))
@@ -123,6 +128,7 @@ class HistoryStore:
             .parquet(self.root)
         )
         _record_batch(self.spark, self.root, batch_date)
+        return self._open_at(batch_date).select(*history_columns(self.keys, self.attrs))
 
 
 class FactStore:
@@ -168,8 +174,9 @@ class FactStore:
         return self.spark.read.parquet(self.root).drop("tx_day")
 
     def append_unseen(self, batch: DataFrame) -> None:
+        # Appending to the table the anti join reads is safe: the read's file
+        # listing is fixed at planning, new files are committed at job end.
         new = unseen(self.read(), batch, self.keys)
-        new = materialize(new, "unseen")  # read once, then append (the anti join reads the target)
         rows = new.select(*self.empty.columns).withColumn("tx_day", F.to_date(self.ts_col))
         if self.table:
             rows.write.insertInto(self.table)
