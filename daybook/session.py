@@ -24,6 +24,9 @@ REQUIRED_CONF = {
     "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
     "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Sets per group (fraud report) stay hash-aggregated for more keys before
+    # the object-hash aggregate falls back to sorting.
+    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "4096",
 }
 
 
