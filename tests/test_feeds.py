@@ -57,3 +57,19 @@ def test_results_do_not_depend_on_session_zone(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     assert shifted == base
+
+
+def test_seed_dimensions_round_trip(spark, tmp_path):
+    from daybook.sources.fixtures import Fixtures
+    from daybook.sources.seeds import read_dimensions, register_dimensions
+
+    fx = Fixtures(spark, "/root/testdata/sf0.001")
+    root = str(tmp_path / "seeds")
+    fx.cards().write.parquet(f"{root}/dwh_dim_cards")
+    fx.accounts().write.parquet(f"{root}/dwh_dim_accounts")
+    fx.clients().write.parquet(f"{root}/dwh_dim_clients")
+    dims = read_dimensions(spark, root)
+    register_dimensions(dims)
+    assert rows(spark.table("dwh_dim_clients")) == rows(fx.clients())
+    assert rows(dims.cards) == rows(fx.cards())
+    assert [f.name for f in dims.accounts.schema.fields] == ["account", "valid_to", "client", "create_dt", "update_dt"]
