@@ -50,7 +50,7 @@ from daybook.schemas import REP_FRAUD_COLS, TRANSACTIONS
 from daybook.plans.daily import StateRoots
 from daybook.sources.store import ReportStore
 from daybook.streaming.drops import daily_drop_stream, transaction_file_stream, write_drop
-from daybook.streaming.city_hours import start_city_counts
+from daybook.streaming.city_hours import different_cities_from_counts, start_city_counts
 from daybook.streaming.unseen import start_append_unseen
 
 
@@ -625,6 +625,21 @@ def q_stream_city(spark, sf_dir):
     return spark.read.parquet(f"{base}/city_counts").select("passport_num", "hour_group", "count_cities")
 
 
+@register("stream_fraud_different_cities", O.with_fixtures(*TX_VIEWS, *_cities_ctes, body=_cities_body))
+def q_stream_cities_rule(spark, sf_dir):
+    """The different-cities rule read from the streamed hourly table (= the batch rule)."""
+    fx = Fixtures(spark, sf_dir)
+    base = _scratch(spark, "stream_cities_rule")
+    write_delimited(fx.transactions(), f"{base}/incoming/transactions_01022024.txt")
+    black = fx.blacklist(1).withColumnRenamed("date", "effective_from")
+    holders = materialize(card_holders(fx.cards(), fx.accounts(), fx.clients(), black), "card_holders")
+    terms = materialize(fx.terminals(3), "terminals_current")
+    tx = transaction_file_stream(spark, f"{base}/incoming").drop("batch_date")
+    q = start_city_counts(spark, tx, holders, terms, f"{base}/city_counts", f"{base}/_checkpoint")
+    q.awaitTermination()
+    return different_cities_from_counts(spark.read.parquet(f"{base}/city_counts"))
+
+
 @register(
     "stream_transactions_unseen",
     O.with_fixtures(body="select * from transactions"),

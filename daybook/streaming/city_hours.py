@@ -38,16 +38,40 @@ def city_count_stream(enriched_stream: DataFrame, delay: str = "1 hour") -> Data
         .agg(
             F.min("transaction_date").alias("hour_group"),
             F.size(F.collect_set("terminal_city")).cast("long").alias("count_cities"),
+            # People of the group (bounded by the clients sharing a passport),
+            # so the different-cities rule can be read from the table.
+            F.collect_set(F.struct("fio", "phone")).alias("people"),
         )
         .select(
             "passport_num",
             F.col("event_hour").cast("timestamp_ntz").alias("hour_start"),
             "hour_group",
             "count_cities",
+            "people",
         )
     )
 
 
+def different_cities_from_counts(counts: DataFrame) -> DataFrame:
+    """Report rows of the different-cities rule from the hourly counts table."""
+    from daybook.constants import EVENT_DIFFERENT_CITIES
+
+    day = F.to_date("hour_start")
+    return (
+        counts.filter(F.col("passport_num").isNotNull() & (F.col("count_cities") > 1))
+        .select(day.alias("day"), "passport_num", F.explode("people").alias("p"))
+        .select(
+            F.col("day").alias("event_dt"),
+            F.col("passport_num").alias("passport"),
+            F.col("p.fio").alias("fio"),
+            F.col("p.phone").alias("phone"),
+            F.lit(EVENT_DIFFERENT_CITIES).alias("event_type"),
+            F.col("day").alias("report_dt"),
+        )
+        .distinct()
+    )
+
+
 def upsert_into(table_root: str):
     """foreachBatch sink: replace the rows of the touched day partitions."""
 

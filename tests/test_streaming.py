@@ -45,3 +45,9 @@ def test_dedupe_within_watermark_drops_near_repeats(spark, tmp_path):
     q = stream.writeStream.format("memory").queryName("dedupe_out").trigger(availableNow=True).start()
     q.awaitTermination()
     assert sorted(r[0] for r in spark.sql("select transaction_id from dedupe_out").collect()) == [1, 2]
+
+
+def test_stream_different_cities_rule_equals_batch_rule(spark):
+    streamed = E.queries()["stream_fraud_different_cities"](spark, SF)
+    batch = E.queries()["fraud_different_cities"](spark, SF)
+    assert rows(streamed) == rows(batch)
