@@ -78,12 +78,16 @@ def run_day(
     dims: Dimensions,
     batch_date: DateLike,
     close: str = CLOSE_OPEN_ONLY,
+    facts: bool = True,
 ) -> tuple[DailyState, DataFrame]:
-    """Apply one day; returns the new state and the day's report rows."""
+    """Apply one day; returns the new state and the day's report rows.
+
+    ``facts=False`` leaves the fact history untouched (the report never reads it).
+    """
     if close == CLOSE_OPEN_ONLY and state.last_batch is not None and isinstance(batch_date, _dt.date):
         if batch_date < state.last_batch:
             raise ValueError(f"batch {batch_date} is older than the last applied batch {state.last_batch}")
-    tx_hist = append_unseen(state.transactions, feeds.transactions, TX_KEYS)
+    tx_hist = append_unseen(state.transactions, feeds.transactions, TX_KEYS) if facts else state.transactions
     term = scd2_apply(state.terminals, feeds.terminals, TERMINAL_KEYS, TERMINAL_ATTRS, batch_date, close=close)
     black = scd2_apply(state.blacklist, feeds.blacklist, BLACKLIST_KEYS, [], batch_date, from_col="date", close=close)
     holders = card_holders(dims.cards, dims.accounts, dims.clients, blacklist_current(black))
@@ -99,7 +103,7 @@ def run_day(
     return new_state, day_report
 
 
-def cut_lineage(state: DailyState) -> DailyState:
+def cut_lineage(state: DailyState, facts: bool = True) -> DailyState:
     """Write the state as tables in the shared checkpoint folder and read them back.
 
     Unlike an RDD checkpoint, a written Parquet table also gives the planner
@@ -113,7 +117,7 @@ def cut_lineage(state: DailyState) -> DailyState:
         state,
         terminals=materialize(state.terminals, "state_terminals"),
         blacklist=materialize(state.blacklist, "state_blacklist"),
-        transactions=materialize(state.transactions, "state_transactions"),
+        transactions=materialize(state.transactions, "state_transactions") if facts else state.transactions,
     )
 
 
@@ -123,13 +127,14 @@ def run_days(
     dims: Dimensions,
     close: str = CLOSE_OPEN_ONLY,
     checkpoint_every: int = 0,
+    facts: bool = True,
 ) -> DailyState:
     """Fold ``run_day`` over several days (oldest first)."""
     for i, (feeds, d) in enumerate(days, start=1):
-        state, _ = run_day(state, feeds, dims, d, close=close)
+        state, _ = run_day(state, feeds, dims, d, close=close, facts=facts)
         # Cut only where another day will build on this state.
         if checkpoint_every and i % checkpoint_every == 0 and i < len(days):
-            state = cut_lineage(state)
+            state = cut_lineage(state, facts=facts)
     return state
 
 
