@@ -31,7 +31,6 @@ from daybook.operators.scd2 import (
     blacklist_current,
     empty_history,
     scd2_apply,
-    scd2_current,
     terminals_current,
 )
 from daybook.operators.windows import city_count_by_hour, first_tx_in_hour
