@@ -32,7 +32,9 @@ def _ddmmyyyy(d: _dt.date) -> str:
     return d.strftime("%d%m%Y")
 
 
-def transaction_file_stream(spark: SparkSession, incoming: str, max_files: int | None = None) -> DataFrame:
+def transaction_file_stream(
+    spark: SparkSession, incoming: str, max_files: int | None = None, archive_dir: str | None = None
+) -> DataFrame:
     reader = (
         spark.readStream.format("csv")
         .schema(TEXT_TX)
@@ -41,6 +43,10 @@ def transaction_file_stream(spark: SparkSession, incoming: str, max_files: int |
     )
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
+    if archive_dir:
+        # Source options: consumed files move to the archive once their batch
+        # has committed (Spark does it when the next batch starts).
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     raw = reader.load(f"{incoming}/*{FEED_TRANSACTIONS}*")
     # The drop name (``transactions_DDMMYYYY.txt``) may be the file or its folder.
     named = raw.withColumn("_source_file", F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+/?[^/]*)$", 1))
@@ -81,11 +87,11 @@ def daily_drop_stream(
         finally:
             batch.unpersist()
 
-    writer = transaction_file_stream(spark, incoming).writeStream.foreachBatch(step).option(
-        "checkpointLocation", checkpoint
+    writer = (
+        transaction_file_stream(spark, incoming, archive_dir=archive_dir)
+        .writeStream.foreachBatch(step)
+        .option("checkpointLocation", checkpoint)
     )
-    if archive_dir:
-        writer = writer.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     return writer.trigger(availableNow=True).start()
 
 

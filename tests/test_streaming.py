@@ -51,3 +51,32 @@ def test_stream_different_cities_rule_equals_batch_rule(spark):
     streamed = E.queries()["stream_fraud_different_cities"](spark, SF)
     batch = E.queries()["fraud_different_cities"](spark, SF)
     assert rows(streamed) == rows(batch)
+
+
+def test_drop_stream_is_incremental_and_archives_consumed_files(spark, tmp_path):
+    import glob
+
+    from daybook.plans.daily import Dimensions, StateRoots
+    from daybook.sources.fixtures import Fixtures, batch_date
+    from daybook.streaming.drops import daily_drop_stream, write_drop
+
+    fx = Fixtures(spark, SF)
+    base = str(tmp_path)
+    inc = f"{base}/incoming"
+    roots = StateRoots(f"{base}/t", f"{base}/b", f"{base}/x", f"{base}/r")
+    dims = Dimensions(fx.cards(), fx.accounts(), fx.clients())
+
+    def tx_files(p):
+        return [f for f in glob.glob(p + "/**/*.csv", recursive=True) if "transaction" in f]
+
+    for n in (1, 2):
+        write_drop(inc, batch_date(n), fx.transactions(n), fx.terminals(n), fx.blacklist(n))
+        q = daily_drop_stream(spark, inc, roots, dims, f"{base}/_ck", archive_dir=f"{base}/archive")
+        q.awaitTermination()
+    # Each run processed only its new drop; run 2 archived run 1's committed file.
+    assert sorted(r[0] for r in spark.read.parquet(roots.report).select("batch_date").distinct().collect()) == [
+        batch_date(1),
+        batch_date(2),
+    ]
+    assert len(tx_files(f"{base}/archive")) == 1
+    assert len(tx_files(inc)) == 1
