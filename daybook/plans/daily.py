@@ -163,7 +163,8 @@ def run_day_stored(
     Each step writes its result before the next reads it, so a failure never
     leaves a half-applied batch visible and a rerun of the same batch date
     replaces exactly that batch's partitions.  The card -> holder dimension is
-    written as a table first so the planner sizes the fact join on real bytes.
+    written as a working table first (replaced every run) so the planner sizes
+    the fact join on real bytes.
     """
     from daybook.sources.store import FactStore, HistoryStore, ReportStore, materialize
 
@@ -178,13 +179,16 @@ def run_day_stored(
         spark, roots.transactions, TX_KEYS, "transaction_date", empty_frame(spark, TRANSACTIONS),
         buckets=roots.fact_buckets,
     )
-    staged_tx = materialize(feeds.transactions, "staged_transactions")
+    # The staged files are immutable until archived (after commit), so they are
+    # read twice (append, report) rather than copied: no daily copy of the batch.
+    staged_tx = feeds.transactions
     facts.append_unseen(staged_tx)
     term_open = term_store.apply(feeds.terminals, batch_date)
     black_open = black_store.apply(feeds.blacklist, batch_date, from_col="date")
     holders = materialize(
         card_holders(dims.cards, dims.accounts, dims.clients, blacklist_current(black_open)),
         "card_holders",
+        path=f"{roots.report}_work/card_holders",  # the pipeline's working table, replaced daily
     )
     enriched = enrich_transactions(staged_tx, holders, terminals_current(term_open))
     report = rep_fraud(enriched)

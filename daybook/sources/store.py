@@ -37,9 +37,16 @@ from daybook.operators.scd2 import history_columns, scd2_open_changes
 from daybook.session import scratch_path
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
+    """Write ``df`` and read it back.
+
+    Without ``path`` a fresh folder under the shared checkpoint folder is used
+    (safe while earlier results are still referenced). With ``path`` the
+    table is replaced in place: for a pipeline's own working tables that are
+    rebuilt every run.
+    """
     spark = df.sparkSession
-    path = scratch_path(spark, f"daybook/{name}/{uuid.uuid4().hex}")
+    path = path or scratch_path(spark, f"daybook/{name}/{uuid.uuid4().hex}")
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
