@@ -59,14 +59,16 @@ def scd2_current(hist: DataFrame, columns: list[str] | None = None) -> DataFrame
 
 
 def snapshot_rejects(snapshot: DataFrame, keys: list[str]) -> DataFrame:
-    """Snapshot rows ``open_only`` mode sets aside: NULL keys and duplicated keys."""
-    from pyspark.sql import Window
-
-    null_key = F.lit(False)
-    for k in keys:
-        null_key = null_key | F.col(k).isNull()
-    dup = F.count(F.lit(1)).over(Window.partitionBy(*keys)) > 1
-    return snapshot.withColumn("_dup", dup).filter(null_key | F.col("_dup")).drop("_dup")
+    """Snapshot rows ``open_only`` mode sets aside: NULL keys and duplicated keys.
+
+    Duplicated keys are found by a map-side-combined count and matched back
+    with a semi join (a hot key is one row on the small side; AQE can split
+    the large side), not by a window that would hold a hot key in one task.
+    """
+    null_key = " OR ".join(f"`{k}` IS NULL" for k in keys)
+    valid = snapshot.where(f"NOT ({null_key})")
+    dup_keys = valid.groupBy(*keys).count().where("count > 1").select(*keys)
+    return snapshot.where(null_key).unionByName(valid.join(dup_keys, list(keys), "left_semi"))
 
 
 def clean_snapshot(snapshot: DataFrame, keys: list[str], payload: list[str]) -> DataFrame:
