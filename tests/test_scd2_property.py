@@ -81,3 +81,42 @@ def test_open_only_invariants(spark, snaps):
             last[k] = max(last.get(k, (a1, a2)), (a1, a2), key=lambda t: tuple((v is not None, v or "") for v in t))
     current = {k: (a1, a2) for k, a1, a2, eff_to, _, flg in hist if eff_to == OPEN_UNTIL and flg == 0}
     assert current == last
+
+
+def _greatest(rows):
+    """Spark's max(struct): field by field, NULL smallest."""
+    return max(rows, key=lambda t: tuple((v is not None, v or "") for v in t[1:3]))
+
+
+def replay_open_only(snaps):
+    """Literal open-only form: NULL-safe compare, close open rows only, close returning tombstones."""
+    hist = []
+    for day, snap in zip(DAYS, snaps):
+        start = dt.datetime.combine(day, dt.time())
+        close = start - dt.timedelta(seconds=1)
+        by_key = {}
+        for r in snap:
+            if r[0] is not None:
+                by_key.setdefault(r[0], []).append(r)
+        clean = [_greatest(v) for v in by_key.values()]
+        cur = [h for h in hist if h[3] == OPEN_UNTIL and h[5] == 0]
+        cur_keys = {c[0] for c in cur}
+        new = [s for s in clean if s[0] not in cur_keys]
+        dele = [c for c in cur if c[0] not in by_key]
+        upd = [s for s in clean for c in cur if s[0] == c[0] and (s[1], s[2]) != (c[1], c[2])]
+        upd_keys, del_keys, new_keys = {s[0] for s in upd}, {c[0] for c in dele}, {s[0] for s in new}
+        hist = [
+            (h[0], h[1], h[2], close, h[4], h[5])
+            if h[3] == OPEN_UNTIL and (h[0] in upd_keys or h[0] in del_keys or (h[5] == 1 and h[0] in new_keys))
+            else h
+            for h in hist
+        ]
+        hist += [(s[0], s[1], s[2], OPEN_UNTIL, start, 0) for s in new + upd]
+        hist += [(c[0], c[1], c[2], OPEN_UNTIL, start, 1) for c in dele]
+    return sorted(hist, key=repr)
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(snaps=st.lists(SNAP, min_size=3, max_size=3))
+def test_open_only_equals_literal_replay(spark, snaps):
+    assert run(spark, snaps, CLOSE_OPEN_ONLY) == replay_open_only(snaps)
