@@ -138,6 +138,24 @@ class HistoryStore:
         return self._open_at(batch_date).select(*history_columns(self.keys, self.attrs))
 
 
+    def prune_open(self, keep: int = 2) -> list[_dt.date]:
+        """Empty the open-state partitions older than the newest ``keep``.
+
+        Closed rows are never touched, so ``history()`` is unchanged.  Keeping
+        at least two leaves a rerun of the latest batch possible (it reads the
+        open state before it).  Each pruned partition is overwritten with an
+        empty table of the same schema.  Returns the pruned batch dates.
+        """
+        if keep < 2:
+            raise ValueError("keep at least the latest two open states")
+        dates = batch_dates(self.spark, self.root)
+        pruned = dates[:-keep]
+        empty = self.empty.select(*history_columns(self.keys, self.attrs))
+        for d in pruned:
+            empty.write.mode("overwrite").parquet(f"{self.root}/part=open/batch_date={d.isoformat()}")
+        return pruned
+
+
 class FactStore:
     """Insert-only fact history partitioned by day.
 

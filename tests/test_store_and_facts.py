@@ -74,3 +74,15 @@ def test_bucketed_fact_store_reads_history_without_exchange(spark, tmpdir_path):
     assert "Bucketed: true" in scan
     # Exactly one exchange: the batch side.
     assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_prune_open_keeps_history_and_rerun(spark, tmpdir_path):
+    store = HistoryStore(spark, f"{tmpdir_path}/pruned", K, A, empty_history(spark, K, A, TERMINALS))
+    for day, s in DAYS:
+        store.apply(spark.createDataFrame(s, TERMINALS), day)
+    before = rows(store.history())
+    assert store.prune_open(keep=2) == [DAYS[0][0]]
+    assert spark.read.parquet(f"{tmpdir_path}/pruned/part=open/batch_date={DAYS[0][0].isoformat()}").count() == 0
+    assert rows(store.history()) == before
+    store.apply(spark.createDataFrame(S3, TERMINALS), DAYS[-1][0])
+    assert rows(store.history()) == before
