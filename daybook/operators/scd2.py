@@ -106,15 +106,14 @@ def scd2_apply(
     """
     if null_safe is None:
         null_safe = close == CLOSE_OPEN_ONLY
+    cols = history_columns(keys, attrs)
     if close == CLOSE_ALL_VERSIONS:
-        out = _apply_all_versions(hist, snapshot, keys, attrs, batch_date, from_col, null_safe)
-    elif close == CLOSE_OPEN_ONLY:
+        return _apply_all_versions(hist, snapshot, keys, attrs, batch_date, from_col, null_safe).select(*cols)
+    if close == CLOSE_OPEN_ONLY:
+        # Closed rows pass through untouched; only the open rows are joined.
         changes = scd2_open_changes(hist.filter(is_open()), snapshot, keys, attrs, batch_date, from_col, null_safe)
-        cols = history_columns(keys, attrs)
         return hist.filter(~is_open()).select(*cols).unionByName(changes.select(*cols))
-    else:
-        raise ValueError(f"unknown close mode {close!r}")
-    return out.select(*history_columns(keys, attrs))
+    raise ValueError(f"unknown close mode {close!r}")
 
 
 def _apply_all_versions(hist, snapshot, keys, attrs, batch_date, from_col, null_safe) -> DataFrame:
