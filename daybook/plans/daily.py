@@ -157,8 +157,13 @@ def run_day_stored(
     feeds: DailyFeeds,
     dims: Dimensions,
     batch_date: _dt.date,
+    close: str = CLOSE_OPEN_ONLY,
 ) -> DataFrame:
-    """One production day (``open_only`` mode) against stored state.
+    """One production day against stored state.
+
+    ``close="open_only"`` (default) keeps histories in the open/closed layout;
+    ``close="all_versions"`` reproduces the original close behaviour with one
+    full history version per batch.
 
     Each step writes its result before the next reads it, so a failure never
     leaves a half-applied batch visible and a rerun of the same batch date
@@ -166,13 +171,14 @@ def run_day_stored(
     written as a working table first (replaced every run) so the planner sizes
     the fact join on real bytes.
     """
-    from daybook.sources.store import FactStore, HistoryStore, ReportStore, materialize
+    from daybook.sources.store import FactStore, HistoryStore, ReportStore, VersionedHistoryStore, materialize
 
-    term_store = HistoryStore(
+    Store = HistoryStore if close == CLOSE_OPEN_ONLY else VersionedHistoryStore
+    term_store = Store(
         spark, roots.terminals, TERMINAL_KEYS, TERMINAL_ATTRS,
         empty_history(spark, TERMINAL_KEYS, TERMINAL_ATTRS, TERMINALS),
     )
-    black_store = HistoryStore(
+    black_store = Store(
         spark, roots.blacklist, BLACKLIST_KEYS, [], empty_history(spark, BLACKLIST_KEYS, [], BLACKLIST)
     )
     facts = FactStore(

@@ -156,6 +156,46 @@ class HistoryStore:
         return pruned
 
 
+class VersionedHistoryStore:
+    """An SCD2 history in the reference close mode (``all_versions``).
+
+    Closing restamps every version of a touched key, so each batch writes the
+    complete history as ``<root>/batch_date=D/`` (dynamic partition
+    overwrite: a rerun of D replaces its own version).  A batch applies on top
+    of the newest version before its date.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, keys: list[str], attrs: list[str], empty: DataFrame):
+        self.spark, self.root, self.keys, self.attrs, self.empty = spark, root, keys, attrs, empty
+
+    def _at(self, d: _dt.date | None) -> DataFrame:
+        cols = history_columns(self.keys, self.attrs)
+        if d is None:
+            return self.empty.select(*cols)
+        return self.spark.read.parquet(f"{self.root}/batch_date={d.isoformat()}").select(*cols)
+
+    def history(self) -> DataFrame:
+        return self._at(last_batch(self.spark, self.root))
+
+    def apply(self, snapshot: DataFrame, batch_date: _dt.date, from_col: str | None = None) -> DataFrame:
+        """Apply one snapshot; returns the new full history (read from its version)."""
+        from daybook.constants import CLOSE_ALL_VERSIONS
+        from daybook.operators.scd2 import scd2_apply
+
+        earlier = [b for b in batch_dates(self.spark, self.root) if b < batch_date]
+        base = self._at(earlier[-1] if earlier else None)
+        new = scd2_apply(base, snapshot, self.keys, self.attrs, batch_date, from_col=from_col, close=CLOSE_ALL_VERSIONS)
+        (
+            new.withColumn("batch_date", F.lit(batch_date).cast("date"))
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("batch_date")
+            .parquet(self.root)
+        )
+        _record_batch(self.spark, self.root, batch_date)
+        return self._at(batch_date)
+
+
 class FactStore:
     """Insert-only fact history partitioned by day.
 

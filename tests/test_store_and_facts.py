@@ -86,3 +86,37 @@ def test_prune_open_keeps_history_and_rerun(spark, tmpdir_path):
     assert rows(store.history()) == before
     store.apply(spark.createDataFrame(S3, TERMINALS), DAYS[-1][0])
     assert rows(store.history()) == before
+
+
+def test_versioned_store_equals_reference_fold(spark, tmpdir_path):
+    from daybook.constants import CLOSE_ALL_VERSIONS
+    from daybook.sources.store import VersionedHistoryStore
+
+    store = VersionedHistoryStore(spark, f"{tmpdir_path}/versioned", K, A, empty_history(spark, K, A, TERMINALS))
+    h = empty_history(spark, K, A, TERMINALS)
+    for day, s in DAYS:
+        snap = spark.createDataFrame(s, TERMINALS)
+        store.apply(snap, day)
+        h = scd2_apply(h, snap, K, A, day, close=CLOSE_ALL_VERSIONS)
+    assert rows(store.history()) == rows(h)
+    store.apply(spark.createDataFrame(S3, TERMINALS), DAYS[-1][0])
+    assert rows(store.history()) == rows(h)
+
+
+def test_stored_run_in_reference_mode_equals_pure_fold(spark, tmpdir_path):
+    import __spark_entry__ as E
+
+    from daybook.constants import CLOSE_ALL_VERSIONS
+    from daybook.plans.daily import DailyFeeds, Dimensions, StateRoots, run_day_stored
+    from daybook.sources.fixtures import Fixtures, batch_date
+
+    sf = "/root/testdata/sf0.001"
+    fx = Fixtures(spark, sf)
+    base = f"{tmpdir_path}/ref_run"
+    roots = StateRoots(f"{base}/t", f"{base}/b", f"{base}/x", f"{base}/r")
+    dims = Dimensions(fx.cards(), fx.accounts(), fx.clients())
+    for n in (1, 2, 3):
+        feeds = DailyFeeds(fx.transactions(n), fx.terminals(n), fx.blacklist(n))
+        run_day_stored(spark, roots, feeds, dims, batch_date(n), close=CLOSE_ALL_VERSIONS)
+    stored = spark.read.parquet(roots.report).drop("batch_date")
+    assert rows(stored) == rows(E.queries()["daily_run_report_all_versions"](spark, sf))
