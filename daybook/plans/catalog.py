@@ -46,7 +46,7 @@ from daybook.functions.filenames import batch_date_from_name
 from daybook.operators.scd1 import scd1_upsert
 from daybook.session import scratch_path
 from daybook.schemas import REP_FRAUD_COLS, TRANSACTIONS
-from daybook.plans.daily import StateRoots
+from daybook.plans.daily import StateRoots, run_day_stored
 from daybook.sources.store import ReportStore
 from daybook.streaming.drops import daily_drop_stream, transaction_file_stream, write_drop
 from daybook.streaming.city_hours import different_cities_from_counts, start_city_counts
@@ -624,6 +624,23 @@ def q_stream_city(spark, sf_dir):
     return spark.read.parquet(f"{base}/city_counts").select("passport_num", "hour_group", "count_cities")
 
 
+@register("stored_daily_run_report_all_versions", _daily_report_sql(3, "all_versions"))
+def q_stored_run_av(spark, sf_dir):
+    """Three stored production days in the reference close mode (versioned histories)."""
+    fx = Fixtures(spark, sf_dir)
+    base = _scratch(spark, "stored_run")
+    roots = StateRoots(
+        f"{base}/terminals", f"{base}/blacklist", f"{base}/transactions", f"{base}/report", fact_buckets=8
+    )
+    dims = Dimensions(
+        materialize(fx.cards(), "cards"), materialize(fx.accounts(), "accounts"), materialize(fx.clients(), "clients")
+    )
+    for n in (1, 2, 3):
+        feeds = DailyFeeds(fx.transactions(n), fx.terminals(n), fx.blacklist(n))
+        run_day_stored(spark, roots, feeds, dims, batch_date(n), close=CLOSE_ALL_VERSIONS)
+    return ReportStore(spark, roots.report).read().select(*REP_FRAUD_COLS)
+
+
 @register("stream_fraud_different_cities", O.with_fixtures(*TX_VIEWS, *_cities_ctes, body=_cities_body))
 def q_stream_cities_rule(spark, sf_dir):
     """The different-cities rule read from the streamed hourly table (= the batch rule)."""
