@@ -11,7 +11,7 @@ WITH RECURSIVE cut AS MATERIALIZED (
   SELECT doc_id,
          CASE WHEN len(w) = 0 THEN []
               WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
-              ELSE list_distinct(list_transform(range(1, len(w) - 2), i -> array_to_string(w[i:i + 3], ' '))) END AS s
+              ELSE list_distinct(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' '))) END AS s
   FROM cut
 ), one AS MATERIALIZED (
   SELECT doc_id, len(s) AS n, unnest(s) AS g FROM sets
