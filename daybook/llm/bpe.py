@@ -20,7 +20,7 @@ from __future__ import annotations
 import base64
 from collections.abc import Iterator
 from heapq import heapify, heappop, heappush
-from itertools import chain
+from itertools import chain, count
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +31,8 @@ from pyspark.sql import functions as F
 
 #: Merged misses that a worker remembers; the memo is emptied when full.
 MEMO = 200_000
+#: Displacements tried at once.
+TRIES = 64
 #: Decoded texts are handed on in batches of about this many bytes.
 DECODED_BYTES = 32 << 20
 
@@ -46,11 +48,11 @@ class PerfectHash:
         self.displace = np.zeros(self.buckets, np.int64)
         taken = np.zeros(self.n, bool)
         order = np.argsort(bucket, kind="stable")
-        count = np.bincount(bucket, minlength=self.buckets)
-        first = np.concatenate([[0], np.cumsum(count)])
+        filled = np.bincount(bucket, minlength=self.buckets)
+        first = np.concatenate([[0], np.cumsum(filled)])
         self.slot_key = np.full(self.n, -1, np.int64)
         free: list[int] = []
-        for k in np.argsort(-count, kind="stable"):
+        for k in np.argsort(-filled, kind="stable"):
             members = order[first[k] : first[k + 1]]
             if len(members) == 1:  # any free slot will do; it is written down as such
                 free = free or np.flatnonzero(~taken).tolist()
@@ -58,18 +60,25 @@ class PerfectHash:
                 self.displace[k] = -1 - slot
                 slots = np.array([slot])
             elif len(members):
-                d = 0
-                while True:
-                    slots = (a[members] + d * b[members]) % self.n
-                    if not taken[slots].any() and len(np.unique(slots)) == len(slots):
-                        break
-                    d += 1
+                d, slots = self._displaced(a[members], b[members], taken)
                 self.displace[k] = d
             else:
                 break
             taken[slots] = True
             self.slot_key[slots] = members
 
+    def _displaced(self, a: np.ndarray, b: np.ndarray, taken: np.ndarray) -> tuple[int, np.ndarray]:
+        """The first displacement that sends a bucket's keys to free and distinct slots."""
+        for first in count(0, TRIES):
+            slots = self._slots(a, b, np.arange(first, first + TRIES)[:, None])
+            for i in np.flatnonzero(~taken[slots].any(1)):
+                if len(set(slots[i].tolist())) == len(a):
+                    return first + int(i), slots[i]
+        raise AssertionError
+
+    def _slots(self, a: np.ndarray, b: np.ndarray, d: np.ndarray) -> np.ndarray:
+        return (a + d // self.n * b + d % self.n) % self.n  # every shift of the slots, then a further step apart
+
     def _parts(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         low, high = (h & np.uint64(0xFFFFFFFF)).astype(np.int64), (h >> np.uint64(32)).astype(np.int64)
         return high % self.buckets, low % self.n, (low >> 7 ^ high >> 3) % max(1, self.n - 1) + 1
@@ -78,7 +87,7 @@ class PerfectHash:
         """The index of the only key that each hash can belong to; -1: none (no keys)."""
         bucket, a, b = self._parts(h)
         d = self.displace[bucket]
-        return self.slot_key[np.where(d < 0, -1 - d, (a + np.maximum(d, 0) * b) % self.n)]
+        return self.slot_key[np.where(d < 0, -1 - d, self._slots(a, b, np.maximum(d, 0)))]
 
 
 def merge_bytes(piece: bytes, ranks: dict[bytes, int]) -> list[int]:

@@ -7,9 +7,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from daybook.llm import ngram_join
+from daybook.llm import bpe, licenses, ngram_join, quality, sharding, token_counts
 from daybook.llm.oracle import ORACLES
 
 
@@ -21,9 +23,61 @@ def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_classes(_documents(spark, sf_dir), k=4, percent=85)
 
 
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    size = F.octet_length(F.coalesce("text", F.lit(""))).cast("long")
+    docs = _documents(spark, sf_dir).select("doc_id", "text", size.alias("n_bytes"))
+    counted = token_counts.token_counts(docs, public_tokenizers.path("byte_bpe_50k.json"), ["doc_id", "n_bytes"])
+    return counted.select("row.doc_id", "row.n_bytes", "n_tokens", (F.col("n_tokens") > 1024).alias("over_limit"))
+
+
+def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    crc = F.crc32(F.coalesce("text", F.lit("")).cast("binary"))
+    placed = sharding.histogram_sort(docs.select("doc_id", "text", crc.alias("text_crc32")), 40, ["doc_id", "text_crc32"])
+    return placed.select(
+        "row.doc_id", "size", "row.text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
+def op7_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.detect_licenses(_documents(spark, sf_dir), ["doc_id"])
+    return found.select(
+        "row.doc_id",
+        "n_words",
+        F.size("base").cast("long").alias("n_base"),
+        F.array_min("base.word").alias("first_word"),
+        F.array_max("base.word").alias("last_word"),
+        F.array_join(F.array_sort(F.array_distinct("base.label")), ",").alias("base_labels"),
+        F.array_join("labels", ",").alias("labels"),
+        "score",
+    )
+
+
+def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    encoded = bpe.encode(_documents(spark, sf_dir), path, public_tokenizers.PATTERN, ["doc_id"])
+    decoded = bpe.decode(encoded, path, public_tokenizers.PATTERN)
+    return decoded.select(
+        "row.doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality.quality_rules(_documents(spark, sf_dir), ["doc_id"])
+    return judged.select("row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_ngram_jaccard": op1_ngram_jaccard,
+        "op4_token_counts": op4_token_counts,
+        "op6_sharding": op6_sharding,
+        "op7_license_scans": op7_license_scans,
+        "op9_byte_bpe": op9_byte_bpe,
+        "op10_quality_rules": op10_quality_rules,
     }
 
 
