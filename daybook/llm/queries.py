@@ -5,14 +5,16 @@ Each query applies one operator with production parameters to its whole table.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.llm import bpe, licenses, ngram_join, quality, sharding, token_counts
+from daybook.llm import bpe, language, licenses, ngram_join, quality, sharding, token_counts, warc
 from daybook.llm.oracle import ORACLES
+from daybook.session import scratch_path
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,6 +25,12 @@ def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_classes(_documents(spark, sf_dir), k=4, percent=85)
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    manifest = warc.write_archives(pages, scratch_path(spark, f"daybook/warc/{uuid.uuid4().hex}"))
+    return warc.read_archives(spark, manifest).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     size = F.octet_length(F.coalesce("text", F.lit(""))).cast("long")
     docs = _documents(spark, sf_dir).select("doc_id", "text", size.alias("n_bytes"))
@@ -53,6 +61,14 @@ def op7_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(0)) % 5 == 0
+    model = language.fit(docs.where(~held_out))
+    said = language.predict(docs.select("doc_id", "text", held_out.alias("held_out")), model, ["doc_id", "held_out"])
+    return said.select("row.doc_id", "row.held_out", "lang_pred", "score", "accepted")
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     encoded = bpe.encode(_documents(spark, sf_dir), path, public_tokenizers.PATTERN, ["doc_id"])
@@ -73,9 +89,11 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_ngram_jaccard": op1_ngram_jaccard,
+        "op2_warc": op2_warc,
         "op4_token_counts": op4_token_counts,
         "op6_sharding": op6_sharding,
         "op7_license_scans": op7_license_scans,
+        "op8_language_id": op8_language_id,
         "op9_byte_bpe": op9_byte_bpe,
         "op10_quality_rules": op10_quality_rules,
     }
