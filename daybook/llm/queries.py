@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.llm import bpe, language, licenses, ngram_join, quality, sharding, token_counts, warc
+from daybook.llm import bpe, decontamination, language, licenses, ngram_join, pii, quality, sharding, token_counts, warc
 from daybook.llm.oracle import ORACLES
 from daybook.session import scratch_path
 
@@ -31,6 +31,19 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_archives(spark, manifest).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    found = pii.find_pii(docs, pii.fit(docs), ["doc_id"])
+    joined = "array_join(transform({}, s -> concat_ws(':', s.kind, s.start, s.end)), ',')"
+    base = "filter(spans, s -> s.base)"
+    return found.select(
+        "row.doc_id",
+        *(F.expr(f"CAST(size(filter(spans, s -> s.base AND s.kind = '{k}')) AS LONG)").alias(f"n_{k}") for k in pii.KINDS),
+        F.sha2(F.expr(joined.format(base)).cast("binary"), 256).alias("base_sha256"),
+        F.expr(joined.format("spans")).alias("spans"),
+    )
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     size = F.octet_length(F.coalesce("text", F.lit(""))).cast("long")
     docs = _documents(spark, sf_dir).select("doc_id", "text", size.alias("n_bytes"))
@@ -38,6 +51,11 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.select("row.doc_id", "row.n_bytes", "n_tokens", (F.col("n_tokens") > 1024).alias("over_limit"))
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.find_benchmark(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), ["doc_id"])
+    return found.select("row.doc_id", F.explode("hits").alias("hit")).select("doc_id", "hit.*")
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _documents(spark, sf_dir)
     crc = F.crc32(F.coalesce("text", F.lit("")).cast("binary"))
@@ -90,7 +108,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_ngram_jaccard": op1_ngram_jaccard,
         "op2_warc": op2_warc,
+        "op3_pii": op3_pii,
         "op4_token_counts": op4_token_counts,
+        "op5_decontamination": op5_decontamination,
         "op6_sharding": op6_sharding,
         "op7_license_scans": op7_license_scans,
         "op8_language_id": op8_language_id,
