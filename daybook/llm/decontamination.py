@@ -170,18 +170,23 @@ def latent_space(passages: DataFrame, n_terms: int, seed: int = 11) -> np.ndarra
     return q @ vector[:, np.argsort(-value)[:RANK]]
 
 
-def common_subsequence(a: np.ndarray, b: np.ndarray) -> int:
-    """Length of the longest common subsequence, by bit-parallel rows."""
+def positions(words: np.ndarray) -> dict[int, int]:
+    """The places of each word, as bits."""
     masks: dict[int, int] = {}
-    for i, w in enumerate(a.tolist()):
+    for i, w in enumerate(words.tolist()):
         masks[w] = masks.get(w, 0) | 1 << i
-    full = (1 << len(a)) - 1
+    return masks
+
+
+def common_subsequence(masks: dict[int, int], n: int, b: list[int]) -> int:
+    """Length of the longest common subsequence of n words (their ``positions``) and others, by bit-parallel rows."""
+    full = (1 << n) - 1
     row = full
-    for w in b.tolist():
-        if m := masks.get(w):
-            u = row & m
+    for w in b:
+        if w in masks:
+            u = row & masks[w]
             row = (row + u | row - u) & full
-    return len(a) - row.bit_count()
+    return n - row.bit_count()
 
 
 def _unit(v: np.ndarray) -> np.ndarray:
@@ -204,21 +209,19 @@ def _searching(held):
             mass = shared[end] - shared[start]
             open_ = (mass > 0) & (mass >= GATE * (total[end] - total[start]))
             start, end = start[open_], end[open_]
-            for a in range(0, len(start), 2048):
-                s, e = start[a : a + 2048], end[a : a + 2048]
-                size = e - s
-                owner = np.repeat(np.arange(len(s)), size)
-                at = np.arange(len(owner)) - np.repeat(np.cumsum(size) - size, size) + s[owner]
-                use = known[at] > 0
-                owner, at = owner[use], at[use]
-                begins = np.concatenate([[0], np.flatnonzero(np.diff(owner)) + 1])
-                v = np.add.reduceat(latent[place[term[at]]] * known[at, None], begins, 0)
-                cosine = _unit(v) @ vectors[some].T
+            for a in range(0, len(start), 8192):
+                s, e = start[a : a + 8192], end[a : a + 8192]
+                at = np.flatnonzero(known[s[0] : e.max()] > 0) + s[0]
+                sums = np.zeros((len(at) + 1, latent.shape[1]))
+                np.cumsum(latent[place[term[at]]] * known[at, None], 0, out=sums[1:])
+                v = sums[np.searchsorted(at, e)] - sums[np.searchsorted(at, s)]
+                cosine = _unit(v).astype(np.float32) @ vectors[some].T.astype(np.float32)
                 for i, j in zip(*np.nonzero(cosine >= COSINE), strict=True):
                     yield int(words.text[s[i]]), int(some[j]), int(s[i]), float(cosine[i, j])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wanted, *tables = held.value
+        masks = [(positions(i.words), positions(i.answer)) for i in wanted]
         kind = pa.list_(pa.struct([("item_id", pa.int64()), ("lcs_share", pa.float64()), ("answer_share", pa.float64()), ("cosine", pa.float64()), ("start_word", pa.int64()), ("end_word", pa.int64())]))
         for batch in batches:
             hits: list[list[dict]] = [[] for _ in range(batch.num_rows)]
@@ -228,11 +231,15 @@ def _searching(held):
                     it, low, high = wanted[item], words.first[text], words.first[text + 1]
                     n = len(it.words)
                     a, b = max(low, start - n // 2), min(high, start + n + n // 2)
-                    part = words.hash[a:b]
-                    share = common_subsequence(it.words, part) / n
+                    part = words.hash[a:b].tolist()
+                    whole, end = masks[item]
+                    there = set(part)
+                    if sum(m.bit_count() for w, m in whole.items() if w in there) < PART * n:
+                        continue  # more words than these can't be in a common subsequence
+                    share = common_subsequence(whole, n, part) / n
                     if share < PART:
                         continue
-                    answer = common_subsequence(it.answer, part) / len(it.answer)
+                    answer = common_subsequence(end, len(it.answer), part) / len(it.answer)
                     if share < WHOLE and answer < ANSWER:
                         continue
                     if (old := best.get((text, item))) is None or share > old["lcs_share"]:
