@@ -60,10 +60,11 @@ def subwords(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 def averages(texts: list[str]) -> np.ndarray:
     """Share of each bucket among a text's subwords (rows: texts)."""
-    with np.errstate(over="ignore"):
-        bucket, owner = subwords(texts)
     out = np.zeros((len(texts), BUCKETS), np.float32)
-    np.add.at(out, (owner, bucket), 1)
+    for i, text in enumerate(texts):
+        with np.errstate(over="ignore"):
+            bucket, _ = subwords([text])
+        out[i] = np.bincount(bucket, minlength=BUCKETS)
     return out / np.maximum(out.sum(1, keepdims=True), 1)
 
 
