@@ -38,7 +38,8 @@ def test_entry_runs(spark):
 
 
 def test_every_query_has_an_oracle_or_is_documented():
-    assert set(E.oracle_sql()) == set(E.queries())
+    assert set(E.catalog.oracle_sql()) == set(E.catalog.queries())
+    assert set(E.oracle_sql()) <= set(E.queries())  # SQL can't express all of the optional corpus queries
 
 
 @pytest.mark.parametrize("name", FAST)
