@@ -84,6 +84,7 @@ def run_day(
 
     ``facts=False`` leaves the fact history untouched (the report never reads it).
     """
+    batch_date = _dt.date.fromisoformat(batch_date) if isinstance(batch_date, str) else batch_date
     if close == CLOSE_OPEN_ONLY and state.last_batch is not None and isinstance(batch_date, _dt.date):
         if batch_date < state.last_batch:
             raise ValueError(f"batch {batch_date} is older than the last applied batch {state.last_batch}")
@@ -158,21 +159,29 @@ def run_day_stored(
     dims: Dimensions,
     batch_date: _dt.date,
     close: str = CLOSE_OPEN_ONLY,
+    initial: bool = False,
+    replace_done: bool = True,
 ) -> DataFrame:
-    """One production day against stored state.
+    """One production day against stored state; returns the day's report rows.
 
     ``close="open_only"`` (default) keeps histories in the open/closed layout;
     ``close="all_versions"`` reproduces the original close behaviour with one
-    full history version per batch.
-
-    Each step writes its result before the next reads it, so a failure never
-    leaves a half-applied batch visible and a rerun of the same batch date
-    replaces exactly that batch's partitions.  The card -> holder dimension is
-    written as a working table first (replaced every run) so the planner sizes
-    the fact join on real bytes.
+    full history version per batch.  ``initial`` empties the stores first.
+
+    The day is entered in a log before its first write and again after its
+    last.  A date before the last applied one, or any other date while a begun
+    day isn't finished, is refused before anything is written.  A failed day is
+    run again: facts that it has already appended aren't appended twice, and
+    all else replaces exactly that batch's folders.  A finished day is done
+    again with the new feeds, or left as it is if ``replace_done`` is false
+    (replays of a stream).  The card -> holder dimension is a working table
+    (so that the planner sizes the fact join on real bytes), removed at the end.
     """
-    from daybook.sources.store import FactStore, HistoryStore, ReportStore, VersionedHistoryStore, materialize
+    from daybook.sources.store import DayLog, FactStore, HistoryStore, ReportStore, VersionedHistoryStore, delete_path, materialize
 
+    log, reports = DayLog(spark, f"{roots.report}_days"), ReportStore(spark, roots.report)
+    if not initial and not replace_done and log.days().get(batch_date) == "done":
+        return reports.read().where(F.col("batch_date") == F.lit(batch_date)).drop("batch_date")
     Store = HistoryStore if close == CLOSE_OPEN_ONLY else VersionedHistoryStore
     term_store = Store(
         spark, roots.terminals, TERMINAL_KEYS, TERMINAL_ATTRS,
@@ -188,17 +197,27 @@ def run_day_stored(
     # The staged files are immutable until archived (after commit), so they are
     # read twice (append, report) rather than copied: no daily copy of the batch.
     staged_tx = feeds.transactions
+    if initial:
+        log.add(batch_date, "reset")
+        for store in (term_store, black_store, facts, reports):
+            store.clear()
+        log.add(batch_date, "begun")
+    else:
+        log.begin(batch_date)
     facts.append_unseen(staged_tx)
     term_open = term_store.apply(feeds.terminals, batch_date)
     black_open = black_store.apply(feeds.blacklist, batch_date, from_col="date")
+    working = f"{roots.report}_work/card_holders"
     holders = materialize(
-        card_holders(dims.cards, dims.accounts, dims.clients, blacklist_current(black_open)),
-        "card_holders",
-        path=f"{roots.report}_work/card_holders",  # the pipeline's working table, replaced daily
+        card_holders(dims.cards, dims.accounts, dims.clients, blacklist_current(black_open)), "card_holders", path=working
     )
-    enriched = enrich_transactions(staged_tx, holders, terminals_current(term_open))
-    report = rep_fraud(enriched)
-    ReportStore(spark, roots.report).write(report, batch_date)
-    return ReportStore(spark, roots.report).read().filter(
-        F.col("batch_date") == F.lit(batch_date).cast("date")
-    ).drop("batch_date")
+    reports.write(rep_fraud(enrich_transactions(staged_tx, holders, terminals_current(term_open))), batch_date)
+    delete_path(spark, working)
+    log.add(batch_date, "done")
+    return reports.read().where(F.col("batch_date") == F.lit(batch_date)).drop("batch_date")
+
+
+def register_current_views(terminals: DataFrame, blacklist: DataFrame) -> None:
+    """The current states of the two histories as temporary views."""
+    terminals_current(terminals).createOrReplaceTempView("v_terminals")
+    blacklist_current(blacklist).createOrReplaceTempView("v_passport_blacklist")

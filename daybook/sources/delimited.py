@@ -27,6 +27,8 @@ def read_delimited_text(
 ) -> DataFrame:
     """All-text columns named by the header (or by ``columns`` when given)."""
     reader = spark.read.option("sep", sep).option("header", True).option("mode", "PERMISSIVE")
+    # Each file's header is held against the columns: files of another order are refused, not misread.
+    reader = reader.option("enforceSchema", False)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     if columns is not None:
@@ -55,9 +57,13 @@ def read_feed(
     glob: str | None = None,
     decimal_comma: bool = True,
     with_batch_date: bool = False,
+    require_columns: bool = False,
 ) -> DataFrame:
     # Text under the header's own names (no positional schema, no inference).
     raw = read_delimited_text(spark, path, glob=glob)
+    lacking = {n.lower() for n in schema.names} - {c.lower() for c in raw.columns}
+    if require_columns and lacking:
+        raise ValueError(f"{path}: the header lacks {sorted(lacking)}")
     if not with_batch_date:
         return conform(coerce_by_name(raw, decimal_comma=decimal_comma), schema)
     # The file name is carried under a name the date rule does not touch.

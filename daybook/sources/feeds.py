@@ -10,6 +10,7 @@ a drop whose files disagree on the date, or lack one, is refused.
 from __future__ import annotations
 
 import datetime as _dt
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +20,7 @@ from daybook.functions.filenames import batch_date_from_name
 from daybook.plans.daily import DailyFeeds
 from daybook.schemas import BLACKLIST, TERMINALS, TRANSACTIONS
 from daybook.sources.delimited import read_feed
+from daybook.sources.store import list_names, move_into
 from daybook.sources.workbook import read_workbooks
 
 FEEDS = {
@@ -28,57 +30,56 @@ FEEDS = {
 }
 
 
-def read_feed_files(spark: SparkSession, folder: str, pattern: str, schema) -> DataFrame:
-    """All files of one feed in ``folder`` whose name contains ``pattern``.
+def read_feed_files(spark: SparkSession, folder: str, word: str, schema, stamp: str = "") -> DataFrame:
+    """All entries of one feed right below ``folder``: names with ``word`` and ``stamp``.
 
     Workbooks (``*.xlsx`` files) and delimited text (``*.txt`` / ``*.csv``,
-    a file or a folder of part files) are both read and unioned.
+    a file or a folder of part files) are both read and unioned.  A feed
+    without a file, or text whose header lacks a column, is refused: an empty
+    snapshot would close everything.
     """
-    parts = [read_workbooks(spark, folder, schema, glob=f"*{pattern}*.xlsx")]
-    try:
-        text = read_feed(spark, f"{folder}/*{pattern}*.{{txt,csv}}", schema)
-        text.schema  # noqa: B018 - resolves the path glob
-        parts.append(text)
-    except Exception as e:  # noqa: BLE001 - no text file for this feed
-        if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
-            raise
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    names = [n for n in list_names(spark, folder) if word in n and stamp in n]
+    parts = []
+    if any(n.endswith(".xlsx") for n in names):
+        parts.append(read_workbooks(spark, folder, schema, glob=f"*{word}*{stamp}*.xlsx"))
+    for name in names:
+        if name.endswith((".txt", ".csv")):
+            parts.append(read_feed(spark, f"{folder}/{name}", schema, require_columns=True))
+    if not parts:
+        raise FileNotFoundError(f"drop {folder}: no file of the feed {word!r} {stamp}".rstrip())
+    return reduce(DataFrame.unionByName, parts)
 
 
-def read_one_feed(spark: SparkSession, folder: str, word: str) -> DataFrame:
-    return read_feed_files(spark, folder, word, FEEDS[word])
+def feed_entries(spark: SparkSession, folder: str) -> list[str]:
+    """Names of the files and folders right below ``folder`` that belong to a feed."""
+    return [n for n in list_names(spark, folder) if any(w in n for w in FEEDS)]
 
 
 def drop_batch_date(spark: SparkSession, folder: str) -> _dt.date:
-    """The one batch date of a drop (file names only; no file content is read).
-
-    A feed may be a file or a folder of part files, so the listing is
-    recursive and the date is taken from the path segment naming the feed.
-    """
-    words = "|".join([FEED_TRANSACTIONS, FEED_TERMINALS, FEED_BLACKLIST])
-    listing = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder).select("path")
-    segment = F.regexp_extract(F.col("path"), rf"([^/]*({words})[^/]*)", 1)
-    dates = (
-        listing.filter(segment != "")
-        .select(batch_date_from_name(segment).alias("d"))
-        .distinct()
-        .collect()
-    )
-    ds = {r["d"] for r in dates}
+    """The one batch date of a drop, from the names right below ``folder`` (no file content is read)."""
+    names = spark.createDataFrame([(n,) for n in feed_entries(spark, folder)], "name string")
+    ds = {r["d"] for r in names.select(batch_date_from_name(F.col("name")).alias("d")).distinct().collect()}
     if None in ds or len(ds) != 1:
         raise ValueError(f"drop {folder}: expected one batch date in the file names, got {sorted(map(str, ds))}")
     return ds.pop()
 
 
-def read_drop(spark: SparkSession, folder: str) -> tuple[DailyFeeds, _dt.date]:
-    return (
-        DailyFeeds(
-            transactions=read_one_feed(spark, folder, FEED_TRANSACTIONS),
-            terminals=read_one_feed(spark, folder, FEED_TERMINALS),
-            blacklist=read_one_feed(spark, folder, FEED_BLACKLIST),
-        ),
-        drop_batch_date(spark, folder),
+def read_feeds(spark: SparkSession, folder: str, stamp: str = "") -> DailyFeeds:
+    """The three feeds of a drop, all of them required."""
+    return DailyFeeds(
+        transactions=read_feed_files(spark, folder, FEED_TRANSACTIONS, TRANSACTIONS, stamp),
+        terminals=read_feed_files(spark, folder, FEED_TERMINALS, TERMINALS, stamp),
+        blacklist=read_feed_files(spark, folder, FEED_BLACKLIST, BLACKLIST, stamp),
     )
+
+
+def read_drop(spark: SparkSession, folder: str) -> tuple[DailyFeeds, _dt.date]:
+    d = drop_batch_date(spark, folder)
+    return read_feeds(spark, folder), d
+
+
+def archive_drop(spark: SparkSession, folder: str, archive: str) -> list[str]:
+    """Move every feed's files of a drop to ``archive``; call it once the day is done.  Returns the names moved."""
+    names = feed_entries(spark, folder)
+    move_into(spark, folder, names, archive)
+    return names

@@ -14,7 +14,11 @@ partitions, a rerun of the same batch replaces exactly its own partitions):
     Insert-only fact history.  Appends are idempotent because only unseen
     keys are appended.
 ``<report>/batch_date=D/``
-    Report rows of batch D (dynamic partition overwrite: reruns replace).
+    Report rows of batch D (the folder is overwritten: reruns replace).
+
+Every table is read with its declared schema.  Only a path that isn't there
+counts as an empty table; any other read error is raised.  A rerun overwrites
+the folders of its batch also where it has no rows for them.
 
 ``materialize`` writes an intermediate DataFrame as a table in the shared
 checkpoint folder and reads it back: the lineage is cut (executor loss does
@@ -27,13 +31,15 @@ from __future__ import annotations
 import datetime as _dt
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from daybook.constants import CLOSE_OPEN_ONLY
-from daybook.functions.dates import DateLike, as_date
 from daybook.operators.facts import unseen
-from daybook.operators.scd2 import history_columns, scd2_open_changes
+from daybook.operators.scd2 import history_columns, scd2_open_changes, snapshot_rejects
+from daybook.schemas import REP_FRAUD
 from daybook.session import scratch_path
 
 
@@ -51,12 +57,47 @@ def materialize(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def read_or_none(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame | None:
+    """The table at ``path``, or None if there is no such path; every other error is raised."""
     try:
-        spark.read.parquet(path).schema  # noqa: B018 - listing only
-        return True
-    except Exception:  # noqa: BLE001 - missing path
-        return False
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
+def write_folder(rows: DataFrame, path: str) -> None:
+    """Replace one folder by ``rows``, also if there are none."""
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+
+
+def _hadoop(spark: SparkSession, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a table's folder, on whatever file system it is."""
+    fs, where = _hadoop(spark, path)
+    fs.delete(where, True)
+
+
+def list_names(spark: SparkSession, folder: str) -> list[str]:
+    """Names of the visible files and folders right below ``folder``."""
+    fs, where = _hadoop(spark, folder)
+    names = [status.getPath().getName() for status in fs.listStatus(where)]
+    return sorted(n for n in names if not n.startswith(("_", ".")))
+
+
+def move_into(spark: SparkSession, folder: str, names: list[str], target: str) -> None:
+    """Move entries of ``folder`` to the folder ``target`` of the same file system."""
+    fs, _ = _hadoop(spark, folder)
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs.mkdirs(path(target))
+    for name in names:
+        if not fs.rename(path(folder, name), path(target, name)):
+            raise OSError(f"could not move {folder}/{name} to {target}")
 
 
 def _log_path(root: str) -> str:
@@ -64,8 +105,45 @@ def _log_path(root: str) -> str:
 
 
 def applied_batches(spark: SparkSession, root: str) -> DataFrame | None:
-    p = _log_path(root)
-    return spark.read.parquet(p) if _exists(spark, p) else None
+    return read_or_none(spark, _log_path(root), "applied_at timestamp, batch_date date")
+
+
+class DayLog:
+    """The days that a stored run has begun and finished, as an appended list of (batch_date, state, seq).
+
+    States: ``reset`` (the stores are being emptied), ``begun``, ``done``.  A
+    day's last state counts; what precedes the last reset is forgotten.  One
+    append per state, a few rows per day of operation.
+    """
+
+    SCHEMA = "batch_date date, state string, seq long"
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.root = spark, root
+
+    def _rows(self) -> list:
+        log = read_or_none(self.spark, self.root, self.SCHEMA)
+        rows = [] if log is None else sorted(log.collect(), key=lambda r: r["seq"])
+        resets = [i for i, r in enumerate(rows) if r["state"] == "reset"]
+        return rows[resets[-1]:] if resets else rows
+
+    def days(self) -> dict[_dt.date, str]:
+        return {r["batch_date"]: r["state"] for r in self._rows()}
+
+    def add(self, d: _dt.date, state: str) -> None:
+        seq = max((r["seq"] for r in self._rows()), default=0) + 1
+        self.spark.createDataFrame([(d, state, seq)], self.SCHEMA).coalesce(1).write.mode("append").parquet(self.root)
+
+    def begin(self, d: _dt.date) -> None:
+        """Refuse a day out of order, before anything of it is written."""
+        for day, state in self.days().items():
+            if state == "reset":
+                raise ValueError(f"the reset for batch {day} was not finished: run it again as the initial load")
+            if day != d and state != "done":
+                raise ValueError(f"batch {day} was begun and not finished: run it again first")
+            if day > d:
+                raise ValueError(f"batch {d} is older than the last applied batch {day}")
+        self.add(d, "begun")
 
 
 def batch_dates(spark: SparkSession, root: str) -> list[_dt.date]:
@@ -87,56 +165,77 @@ def last_batch(spark: SparkSession, root: str) -> _dt.date | None:
 
 
 def _record_batch(spark: SparkSession, root: str, d: _dt.date) -> None:
-    rec = spark.range(1).select(F.lit(d).cast("date").alias("batch_date"), F.current_timestamp().alias("applied_at"))
-    rec.write.mode("overwrite").partitionBy("batch_date").parquet(_log_path(root))
+    write_folder(spark.range(1).select(F.current_timestamp().alias("applied_at")), f"{_log_path(root)}/batch_date={d.isoformat()}")
+
+
+def _in_order(spark: SparkSession, root: str, d: _dt.date) -> _dt.date | None:
+    """The batch that ``d`` builds on; a date before the last applied one is refused."""
+    dates = batch_dates(spark, root)
+    if dates and d < dates[-1]:
+        raise ValueError(f"batch {d} is older than the last applied batch {dates[-1]}")
+    earlier = [b for b in dates if b < d]
+    return earlier[-1] if earlier else None
 
 
 class HistoryStore:
     """An SCD2 history table in the open/closed layout (``open_only`` mode)."""
 
     def __init__(self, spark: SparkSession, root: str, keys: list[str], attrs: list[str], empty: DataFrame):
-        self.spark, self.root, self.keys, self.attrs, self.empty = spark, root, keys, attrs, empty
+        self.spark, self.root, self.keys, self.attrs = spark, root, keys, attrs
+        self.empty = empty.select(*history_columns(keys, attrs))
+
+    def _folder(self, part: str, d: _dt.date) -> str:
+        return f"{self.root}/part={part}/batch_date={d.isoformat()}"
 
     def _open_at(self, d: _dt.date | None) -> DataFrame:
-        if d is None:
-            return self.empty
-        return self.spark.read.parquet(f"{self.root}/part=open/batch_date={d.isoformat()}")
+        # An applied batch has its folder, be it empty: a missing one is an error.
+        return self.empty if d is None else self.spark.read.schema(self.empty.schema).parquet(self._folder("open", d))
 
     def open_rows(self, before: _dt.date | None = None) -> DataFrame:
-        d = last_batch_before(self.spark, self.root, before) if before else last_batch(self.spark, self.root)
-        return self._open_at(d).select(*history_columns(self.keys, self.attrs))
+        return self._open_at(last_batch_before(self.spark, self.root, before) if before else last_batch(self.spark, self.root))
 
     def history(self) -> DataFrame:
         """Closed rows of every batch plus the newest open state."""
-        cols = history_columns(self.keys, self.attrs)
         d = last_batch(self.spark, self.root)
         if d is None:
-            return self.empty.select(*cols)
-        closed_path = f"{self.root}/part=closed"
-        opened = self._open_at(d).select(*cols)
-        if not _exists(self.spark, closed_path):
-            return opened
-        closed = self.spark.read.parquet(closed_path).filter(F.col("batch_date") <= F.lit(d)).select(*cols)
-        return closed.unionByName(opened)
+            return self.empty
+        closed = self.spark.read.schema(T.StructType([*self.empty.schema, T.StructField("batch_date", T.DateType())]))
+        closed = closed.parquet(f"{self.root}/part=closed").filter(F.col("batch_date") <= F.lit(d)).drop("batch_date")
+        return closed.unionByName(self._open_at(d))
 
     def apply(self, snapshot: DataFrame, batch_date: _dt.date, from_col: str | None = None) -> DataFrame:
-        """Apply one snapshot; returns the new open rows (read from their partition)."""
-        dates = batch_dates(self.spark, self.root)
-        if dates and batch_date < dates[-1]:
-            raise ValueError(f"batch {batch_date} is older than the last applied batch {dates[-1]}")
-        earlier = [b for b in dates if b < batch_date]
-        prev = self._open_at(earlier[-1] if earlier else None).select(*history_columns(self.keys, self.attrs))
+        """Apply one snapshot; returns the new open rows (read from their folder).
+
+        Rows that ``snapshot_rejects`` sets aside are written to
+        ``<root>_rejects/batch_date=D`` (see ``rejects``).
+        """
+        prev = self._open_at(_in_order(self.spark, self.root, batch_date))
         changes = scd2_open_changes(prev, snapshot, self.keys, self.attrs, batch_date, from_col)
+        written = Observation()
+        counts = [F.count(F.when(F.col("part") == p, 1)).alias(p) for p in ("open", "closed")]
         (
-            changes.withColumn("batch_date", F.lit(batch_date).cast("date"))
+            changes.observe(written, *counts)
+            .withColumn("batch_date", F.lit(batch_date).cast("date"))
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy("part", "batch_date")
             .parquet(self.root)
         )
+        # A dynamic overwrite leaves a folder alone for which it has no rows.
+        for part, n in written.get.items():
+            if not n:
+                write_folder(self.empty, self._folder(part, batch_date))
+        write_folder(snapshot_rejects(snapshot, self.keys), f"{self.root}_rejects/batch_date={batch_date.isoformat()}")
         _record_batch(self.spark, self.root, batch_date)
-        return self._open_at(batch_date).select(*history_columns(self.keys, self.attrs))
+        return self._open_at(batch_date)
 
+    def rejects(self, batch_date: _dt.date) -> DataFrame:
+        """Snapshot rows of a batch with a NULL key, and all rows of its duplicated keys."""
+        return self.spark.read.parquet(f"{self.root}_rejects/batch_date={batch_date.isoformat()}")
+
+    def clear(self) -> None:
+        for path in (self.root, f"{self.root}_rejects"):
+            delete_path(self.spark, path)
 
     def prune_open(self, keep: int = 2) -> list[_dt.date]:
         """Empty the open-state partitions older than the newest ``keep``.
@@ -150,9 +249,8 @@ class HistoryStore:
             raise ValueError("keep at least the latest two open states")
         dates = batch_dates(self.spark, self.root)
         pruned = dates[:-keep]
-        empty = self.empty.select(*history_columns(self.keys, self.attrs))
         for d in pruned:
-            empty.write.mode("overwrite").parquet(f"{self.root}/part=open/batch_date={d.isoformat()}")
+            write_folder(self.empty, self._folder("open", d))
         return pruned
 
 
@@ -160,9 +258,9 @@ class VersionedHistoryStore:
     """An SCD2 history in the reference close mode (``all_versions``).
 
     Closing restamps every version of a touched key, so each batch writes the
-    complete history as ``<root>/batch_date=D/`` (dynamic partition
-    overwrite: a rerun of D replaces its own version).  A batch applies on top
-    of the newest version before its date.
+    complete history as ``<root>/batch_date=D/`` (a rerun of D replaces its own
+    version).  A batch applies on top of the newest version before its date;
+    one older than the newest version is refused.
     """
 
     def __init__(self, spark: SparkSession, root: str, keys: list[str], attrs: list[str], empty: DataFrame):
@@ -172,7 +270,7 @@ class VersionedHistoryStore:
         cols = history_columns(self.keys, self.attrs)
         if d is None:
             return self.empty.select(*cols)
-        return self.spark.read.parquet(f"{self.root}/batch_date={d.isoformat()}").select(*cols)
+        return self.spark.read.schema(self.empty.select(*cols).schema).parquet(f"{self.root}/batch_date={d.isoformat()}")
 
     def history(self) -> DataFrame:
         return self._at(last_batch(self.spark, self.root))
@@ -182,19 +280,15 @@ class VersionedHistoryStore:
         from daybook.constants import CLOSE_ALL_VERSIONS
         from daybook.operators.scd2 import scd2_apply
 
-        earlier = [b for b in batch_dates(self.spark, self.root) if b < batch_date]
-        base = self._at(earlier[-1] if earlier else None)
+        base = self._at(_in_order(self.spark, self.root, batch_date))
         new = scd2_apply(base, snapshot, self.keys, self.attrs, batch_date, from_col=from_col, close=CLOSE_ALL_VERSIONS)
-        (
-            new.withColumn("batch_date", F.lit(batch_date).cast("date"))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("batch_date")
-            .parquet(self.root)
-        )
+        write_folder(new, f"{self.root}/batch_date={batch_date.isoformat()}")
         _record_batch(self.spark, self.root, batch_date)
         return self._at(batch_date)
 
+    def clear(self) -> None:
+        delete_path(self.spark, self.root)
+
 
 class FactStore:
     """Insert-only fact history partitioned by day.
@@ -230,13 +324,26 @@ class FactStore:
             f"PARTITIONED BY (tx_day) CLUSTERED BY ({keys}) INTO {self.buckets} BUCKETS "
             f"LOCATION '{self.root}'"
         )
+        # A catalog that is new, or behind another one, does not know the days stored.
+        if read_or_none(self.spark, self.root, self._stored_schema()) is not None:
+            self.spark.sql(f"ALTER TABLE {self.table} RECOVER PARTITIONS")
+            self.spark.catalog.refreshTable(self.table)
+
+    def _stored_schema(self) -> T.StructType:
+        return T.StructType([*self.empty.schema, T.StructField("tx_day", T.DateType())])
 
     def read(self) -> DataFrame:
         if self.table:
             return self.spark.table(self.table).drop("tx_day")
-        if not _exists(self.spark, self.root):
-            return self.empty
-        return self.spark.read.parquet(self.root).drop("tx_day")
+        stored = read_or_none(self.spark, self.root, self._stored_schema())
+        return self.empty if stored is None else stored.drop("tx_day")
+
+    def clear(self) -> None:
+        if self.table:
+            self.spark.sql(f"DROP TABLE IF EXISTS {self.table}")
+        delete_path(self.spark, self.root)
+        if self.table:
+            self._ensure_table()
 
     def append_unseen(self, batch: DataFrame) -> None:
         # Appending to the table the anti join reads is safe: the read's file
@@ -244,7 +351,8 @@ class FactStore:
         new = unseen(self.read(), batch, self.keys)
         rows = new.select(*self.empty.columns).withColumn("tx_day", F.to_date(self.ts_col))
         if self.table:
-            rows.write.insertInto(self.table)
+            # Dealt by the table's own bucket law: a bucket of a day is one file.
+            rows.repartition(self.buckets, *self.keys).write.insertInto(self.table)
         else:
             rows.write.mode("append").partitionBy("tx_day").parquet(self.root)
 
@@ -255,17 +363,15 @@ class ReportStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root
 
-    def write(self, rows: DataFrame, batch_date: DateLike) -> None:
-        (
-            rows.withColumn("batch_date", as_date(batch_date))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("batch_date")
-            .parquet(self.root)
-        )
+    def write(self, rows: DataFrame, batch_date: _dt.date) -> None:
+        write_folder(rows.select(*REP_FRAUD.names), f"{self.root}/batch_date={batch_date.isoformat()}")
 
     def read(self) -> DataFrame:
-        return self.spark.read.parquet(self.root)
+        schema = T.StructType([*REP_FRAUD, T.StructField("batch_date", T.DateType())])
+        return self.spark.read.schema(schema).parquet(self.root)
+
+    def clear(self) -> None:
+        delete_path(self.spark, self.root)
 
 
 __all__ = ["materialize", "HistoryStore", "FactStore", "ReportStore", "CLOSE_OPEN_ONLY"]

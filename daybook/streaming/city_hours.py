@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from daybook.operators.enrich import enrich_transactions
+from daybook.sources.store import read_or_none
 
 KEY = ["passport_num", "hour_start"]
 
@@ -78,15 +79,15 @@ def upsert_into(table_root: str):
     def sink(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         fresh = batch.withColumn("day", F.to_date("hour_start"))
-        try:
-            stored = spark.read.parquet(table_root)
-        except Exception:  # noqa: BLE001 - first batch, no table yet
-            stored = None
+        stored = read_or_none(spark, table_root, fresh.schema)
         if stored is not None:
             # Update mode emits each changed group once per micro-batch with its
             # full current value: it replaces the stored row of the same group.
             touched = stored.join(fresh.select("day").distinct(), "day", "left_semi")
-            kept = touched.join(fresh.select("day", *KEY), ["day", *KEY], "left_anti")
+            # NULL-safe: the group of unknown passports is one group, too.
+            changed = fresh.select(*(F.col(c).alias(f"_{c}") for c in KEY))
+            same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in KEY]
+            kept = touched.join(changed, same, "left_anti")
             # Materialise (reliable checkpoint in the shared folder) before
             # overwriting the partitions that were just read.
             fresh = kept.unionByName(fresh).checkpoint(eager=True)

@@ -1,12 +1,13 @@
 """The incoming folder as a stream: each new daily drop runs the daily step.
 
-``readStream`` watches the transaction files of the incoming folder (the
-feed that defines a batch); every micro-batch is handed to ``foreachBatch``,
-which, per batch date found in the file names (oldest first), reads that
-date's terminal and black-list snapshots from the same folder and runs the
-stored daily step.  The stream checkpoint records which files were consumed,
-so a restart never processes a file twice; ``cleanSource=archive`` moves
-consumed files after their batch committed (archiving *after* success).
+``readStream`` watches the files of all three feeds by name only (no content
+is read).  Every micro-batch is handed to ``foreachBatch``, which reads each
+batch date that it names, oldest first, by file name and runs the stored daily
+step.  A day that lacks a feed, or has a header that doesn't fit, fails before
+anything is written, and the restarted stream tries it again.  A replayed
+micro-batch skips the days that are finished.  ``cleanSource=archive`` moves
+the files of every feed once their batch has committed.  Drops should be put
+into the folder whole (by a rename).
 """
 
 from __future__ import annotations
@@ -20,9 +21,10 @@ from pyspark.sql.streaming import StreamingQuery
 from daybook.constants import FEED_BLACKLIST, FEED_TERMINALS, FEED_TRANSACTIONS
 from daybook.functions.coerce import coerce_by_name
 from daybook.functions.filenames import batch_date_from_name
-from daybook.plans.daily import DailyFeeds, Dimensions, StateRoots, run_day_stored
-from daybook.schemas import BLACKLIST, TERMINALS, TRANSACTIONS
+from daybook.plans.daily import Dimensions, StateRoots, run_day_stored
+from daybook.schemas import TRANSACTIONS
 from daybook.sources.delimited import conform, write_delimited
+from daybook.sources.store import DayLog
 from daybook.sources.workbook import write_workbooks
 
 TEXT_TX = ", ".join(f"`{f.name}` STRING" for f in TRANSACTIONS.fields)
@@ -40,6 +42,7 @@ def transaction_file_stream(
         .schema(TEXT_TX)
         .option("sep", ";")
         .option("header", True)
+        .option("enforceSchema", False)  # a header of another order is refused
     )
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
@@ -47,17 +50,23 @@ def transaction_file_stream(
         # Source options: consumed files move to the archive once their batch
         # has committed (Spark does it when the next batch starts).
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
-    raw = reader.load(f"{incoming}/*{FEED_TRANSACTIONS}*")
+    raw = reader.load(f"{incoming}/*{FEED_TRANSACTIONS}*.{{txt,csv}}")
     # The drop name (``transactions_DDMMYYYY.txt``) may be the file or its folder.
     named = raw.withColumn("_source_file", F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+/?[^/]*)$", 1))
     typed = conform(coerce_by_name(named), TRANSACTIONS, keep=["_source_file"])
     return typed.withColumn("batch_date", batch_date_from_name(F.col("_source_file"))).drop("_source_file")
 
 
-def _snapshot(spark: SparkSession, incoming: str, word: str, d: _dt.date, schema) -> DataFrame:
-    from daybook.sources.feeds import read_feed_files
-
-    return read_feed_files(spark, incoming, f"{word}_{_ddmmyyyy(d)}", schema)
+def drop_file_stream(spark: SparkSession, incoming: str, archive_dir: str | None = None) -> DataFrame:
+    """Batch dates of the feeds' files as they arrive."""
+    reader = spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length long, content binary")
+    if archive_dir:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
+    words = "|".join([FEED_TRANSACTIONS, FEED_TERMINALS, FEED_BLACKLIST])
+    paths = reader.load(f"{incoming}/*{{{words.replace('|', ',')}}}*").select("path")
+    # The drop's name is the last segment with a feed's word: a file, or the folder of its parts.
+    name = F.regexp_extract("path", rf"^.*/([^/]*(?:{words})[^/]*)", 1)
+    return paths.select(F.regexp_extract(name, r"_(\d{8})", 1).alias("stamp"))
 
 
 def daily_drop_stream(
@@ -71,24 +80,18 @@ def daily_drop_stream(
     """Start the drop stream (``availableNow``: process what is there, then stop)."""
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
-        try:
-            dates = sorted(r["batch_date"] for r in batch.select("batch_date").distinct().collect())
-            if any(d is None for d in dates):
-                raise ValueError("transaction file without a batch date in its name")
-            for d in dates:
-                tx = batch.filter(F.col("batch_date") == F.lit(d)).drop("batch_date")
-                feeds = DailyFeeds(
-                    transactions=tx,
-                    terminals=_snapshot(spark, incoming, FEED_TERMINALS, d, TERMINALS),
-                    blacklist=_snapshot(spark, incoming, FEED_BLACKLIST, d, BLACKLIST),
-                )
-                run_day_stored(spark, roots, feeds, dims, d)
-        finally:
-            batch.unpersist()
+        from daybook.sources.feeds import read_feeds
+
+        days = batch.distinct().select("stamp", batch_date_from_name(F.format_string("_%s.", "stamp")).alias("d")).collect()
+        if any(r["d"] is None for r in days):
+            raise ValueError("a feed's file without a batch date in its name")
+        done = DayLog(spark, f"{roots.report}_days").days()
+        for r in sorted(days, key=lambda r: r["d"]):
+            if done.get(r["d"]) != "done":
+                run_day_stored(spark, roots, read_feeds(spark, incoming, f"_{r['stamp']}"), dims, r["d"], replace_done=False)
 
     writer = (
-        transaction_file_stream(spark, incoming, archive_dir=archive_dir)
+        drop_file_stream(spark, incoming, archive_dir=archive_dir)
         .writeStream.foreachBatch(step)
         .option("checkpointLocation", checkpoint)
     )
