@@ -109,16 +109,16 @@ def fixture_enriched(fx: Fixtures, tx: DataFrame | None = None) -> DataFrame:
     return enrich_transactions(fx.transactions() if tx is None else tx, holders, terms)
 
 
-TX_VIEWS = [O.v_terminals_from("terminals_d3"), O.v_blacklist_from("blacklist_d1")]
+SEEN = O.seen_ctes("transactions", "terminals_d3", "blacklist_d1")
 
 
 # --- fraud report (flagship) -------------------------------------------------------
-@register("rep_fraud", O.report_sql("transactions", *TX_VIEWS))
+@register("rep_fraud", O.with_fixtures(*SEEN, body=O.report_sql()))
 def q_rep_fraud(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fraud.rep_fraud(fixture_enriched(Fixtures(spark, sf_dir)))
 
 
-@register("fraud_static", O.with_fixtures(*TX_VIEWS, body=O.static_rules_sql()))
+@register("fraud_static", O.with_fixtures(*SEEN, body=O.static_rules_sql()))
 def q_fraud_static(spark, sf_dir):
     return fraud.fraud_static(fixture_enriched(Fixtures(spark, sf_dir)))
 
@@ -135,13 +135,10 @@ for _name, _label in [
     ("fraud_blacklisted", EVENT_BLACKLISTED),
     ("fraud_invalid_contract", EVENT_INVALID_CONTRACT),
 ]:
-    register(_name, O.with_fixtures(*TX_VIEWS, body=O.static_rules_sql(only=_label)))(_one_rule(_label))
+    register(_name, O.with_fixtures(*SEEN, body=O.static_rules_sql(only=_label)))(_one_rule(_label))
 
 
-_cities_ctes, _cities_body = O.cities_sql()
-
-
-@register("fraud_different_cities", O.with_fixtures(*TX_VIEWS, *_cities_ctes, body=_cities_body))
+@register("fraud_different_cities", O.with_fixtures(*SEEN, body=O.cities_sql()))
 def q_fraud_cities(spark, sf_dir):
     return fraud.fraud_different_cities(fixture_enriched(Fixtures(spark, sf_dir)))
 
@@ -149,17 +146,11 @@ def q_fraud_cities(spark, sf_dir):
 @register(
     "transactions_enriched",
     O.with_fixtures(
-        *TX_VIEWS,
-        body="""select tr.transaction_id, tr.transaction_date, tr.card_num, tr.terminal,
-              cl.passport_num, concat_ws(' ', cl.last_name, cl.first_name, cl.patronymic) as fio, cl.phone,
-              cl.passport_valid_to, a.valid_to as account_valid_to,
-              vpb.passport is not null as blacklisted, vt.terminal_city
-            from transactions as tr
-            left join cards as ca on tr.card_num = ca.card_num
-            left join accounts as a on ca.account = a.account
-            left join clients as cl on a.client = cl.client_id
-            left join v_passport_blacklist as vpb on vpb.passport = cl.passport_num
-            left join v_terminals as vt on tr.terminal = vt.terminal_id""",
+        *SEEN,
+        body="""select transaction_id, moment as transaction_date, card_num, terminal, passport as passport_num,
+              coalesce(fio, '') as fio, phone, passport_until as passport_valid_to, contract_until as account_valid_to,
+              coalesce(listed, false) as blacklisted, city as terminal_city
+            from seen""",
     ),
 )
 def q_enriched(spark, sf_dir):
@@ -181,9 +172,8 @@ def q_enriched(spark, sf_dir):
 @register(
     "first_tx_in_hour",
     O.with_fixtures(
-        *TX_VIEWS,
-        O.hourgroups_cte(),
-        body="select transaction_id, passport_num, hour_group from hourgroups",
+        *SEEN,
+        body=O.FIRST_IN_HOUR,
     ),
 )
 def q_first_tx(spark, sf_dir):
@@ -194,7 +184,7 @@ def q_first_tx(spark, sf_dir):
 
 @register(
     "city_count_by_hour",
-    O.with_fixtures(*TX_VIEWS, O.hourgroups_cte(), body=O.CITYCOUNTS_BODY),
+    O.with_fixtures(*SEEN, body=O.CITY_COUNTS),
 )
 def q_city_count(spark, sf_dir):
     return city_count_by_hour(fixture_enriched(Fixtures(spark, sf_dir)))
@@ -205,8 +195,8 @@ def _day1_terminals_current(fx: Fixtures) -> DataFrame:
     return terminals_current(terminals_hist(fx, 1, CLOSE_ALL_VERSIONS))
 
 
-_T1 = O.terminals_chain(1, "all_versions")
-_DIFF_T2 = O.terminals_step_reference(2)[:4]
+_T1 = O.history_chain("t", 1, "all_versions")
+_DIFF_T2 = O.day_diff("t", 2, "all_versions")
 
 
 @register("new_terminals", O.with_fixtures(*_T1, *_DIFF_T2, body=f"select {O.T_COLS} from new_t2"))
@@ -227,8 +217,8 @@ def q_updated_terminals(spark, sf_dir):
     return D.updated_rows(_day1_terminals_current(fx), fx.terminals(2), TERMINAL_KEYS, TERMINAL_ATTRS)
 
 
-_T2_OPEN = O.terminals_chain(2, "open_only")
-_DIFF_T3_OPEN = O.terminals_step_open_only(3)[:5]
+_T2_OPEN = O.history_chain("t", 2, "open_only")
+_DIFF_T3_OPEN = O.day_diff("t", 3, "open_only")
 
 
 @register(
@@ -247,8 +237,8 @@ def q_snapshot_diff(spark, sf_dir):
     return D.snapshot_diff(cur, fx.terminals(3), TERMINAL_KEYS, TERMINAL_ATTRS, null_safe=True)
 
 
-_B1 = O.blacklist_chain(1, "all_versions")
-_DIFF_B2 = O.blacklist_step(2, "all_versions")[:3]
+_B1 = O.history_chain("b", 1, "all_versions")
+_DIFF_B2 = O.day_diff("b", 2, "all_versions")
 
 
 @register("new_passports", O.with_fixtures(*_B1, *_DIFF_B2, body="select date, passport from new_b2"))
@@ -269,7 +259,7 @@ def q_deleted_passports(spark, sf_dir):
 
 # --- SCD2 histories ----------------------------------------------------------------
 def _reg_terminals(day: int, mode: str, name: str):
-    sql = O.with_fixtures(*O.terminals_chain(day, mode), body=f"select {O.HIST_T_COLS} from h_t{day}")
+    sql = O.with_fixtures(*O.history_chain("t", day, mode), body=f"select {O.HIST_T_COLS} from h_t{day}")
 
     def build(spark, sf_dir):
         return terminals_hist(Fixtures(spark, sf_dir), day, mode).select(*HIST_T)
@@ -279,7 +269,7 @@ def _reg_terminals(day: int, mode: str, name: str):
 
 def _reg_blacklist(day: int, mode: str, name: str):
     sql = O.with_fixtures(
-        *O.blacklist_chain(day, mode),
+        *O.history_chain("b", day, mode),
         body=f"select passport, effective_from, effective_to, deleted_flg from h_b{day}",
     )
 
@@ -300,8 +290,8 @@ _reg_blacklist(3, CLOSE_ALL_VERSIONS, "scd2_blacklist_day3_all_versions")
 @register(
     "terminals_current",
     O.with_fixtures(
-        *O.terminals_chain(3, "open_only"),
-        body=f"select {O.T_COLS} from h_t3 where effective_to = {O.OPEN} and deleted_flg = 0",
+        *O.history_chain("t", 3, "open_only"),
+        body=O.current_sql("t", 3, O.T_COLS),
     ),
 )
 def q_terminals_current(spark, sf_dir):
@@ -311,8 +301,8 @@ def q_terminals_current(spark, sf_dir):
 @register(
     "terminals_current_all_versions",
     O.with_fixtures(
-        *O.terminals_chain(3, "all_versions"),
-        body=f"select {O.T_COLS} from h_t3 where effective_to = {O.OPEN} and deleted_flg = 0",
+        *O.history_chain("t", 3, "all_versions"),
+        body=O.current_sql("t", 3, O.T_COLS),
     ),
 )
 def q_terminals_current_av(spark, sf_dir):
@@ -322,8 +312,8 @@ def q_terminals_current_av(spark, sf_dir):
 @register(
     "blacklist_current",
     O.with_fixtures(
-        *O.blacklist_chain(3, "open_only"),
-        body=f"select effective_from, passport from h_b3 where effective_to = {O.OPEN} and deleted_flg = 0",
+        *O.history_chain("b", 3, "open_only"),
+        body=O.current_sql("b", 3, "effective_from, passport"),
     ),
 )
 def q_blacklist_current(spark, sf_dir):
@@ -336,10 +326,7 @@ def q_blacklist_current(spark, sf_dir):
     O.with_fixtures(
         O.batch_tx(1),
         O.batch_tx(2),
-        body="""select t2.transaction_id, t2.transaction_date, t2.amount, t2.card_num,
-                   t2.oper_type, t2.oper_result, t2.terminal
-            from tx_b1 as t1 right join tx_b2 as t2 on t1.transaction_id = t2.transaction_id
-            where t1.transaction_id is null""",
+        body=O.unseen_sql("tx_b1", "tx_b2"),
     ),
 )
 def q_append_unseen(spark, sf_dir):
@@ -358,48 +345,18 @@ def _three_days(spark, sf_dir, mode=CLOSE_OPEN_ONLY, n_days=3, facts=True):
     return run_days(initial_state(spark), days, dims, close=mode, checkpoint_every=1, facts=facts)
 
 
-def _daily_report_sql(n_days: int = 3, mode: str = "open_only") -> str:
-    parts = []
-    ctes = [*O.terminals_chain(n_days, mode), *O.blacklist_chain(n_days, mode)]
-    for n in range(1, n_days + 1):
-        ctes.append(O.batch_tx(n))
-        ctes.append(
-            f"v_terminals_{n} as (select {O.T_COLS} from h_t{n} where effective_to = {O.OPEN} and deleted_flg = 0)"
-        )
-        ctes.append(
-            f"v_passport_blacklist_{n} as (select effective_from, passport from h_b{n} "
-            f"where effective_to = {O.OPEN} and deleted_flg = 0)"
-        )
-        static = (
-            O.static_rules_sql(f"tx_b{n}")
-            .replace("v_passport_blacklist", f"v_passport_blacklist_{n}")
-        )
-        hg = O.hourgroups_cte(f"tx_b{n}").replace("hourgroups as", f"hourgroups_{n} as").replace(
-            "v_terminals", f"v_terminals_{n}"
-        )
-        cc = O.CITYCOUNTS_CTE.replace("citycounts as", f"citycounts_{n} as").replace(
-            "from hourgroups", f"from hourgroups_{n}"
-        )
-        ctes += [hg, cc]
-        cities = O.CITIES_BODY.replace("from hourgroups", f"from hourgroups_{n}").replace(
-            "join citycounts", f"join citycounts_{n}"
-        )
-        parts += [static, cities]
-    return O.with_fixtures(*ctes, body="\nunion all\n".join(parts))
-
-
-@register("daily_run_report", _daily_report_sql())
+@register("daily_run_report", O.daily_report_sql())
 def q_daily_report(spark, sf_dir):
     return _three_days(spark, sf_dir, facts=False).report
 
 
-@register("rep_fraud_two_batches", _daily_report_sql(2))
+@register("rep_fraud_two_batches", O.daily_report_sql(2))
 def q_report_two(spark, sf_dir):
     """Report table after two daily runs (appended day by day)."""
     return _three_days(spark, sf_dir, n_days=2, facts=False).report
 
 
-@register("daily_run_report_all_versions", _daily_report_sql(3, "all_versions"))
+@register("daily_run_report_all_versions", O.daily_report_sql(3, "all_versions"))
 def q_daily_report_av(spark, sf_dir):
     """Three daily runs with the reference close mode."""
     return _three_days(spark, sf_dir, mode=CLOSE_ALL_VERSIONS, facts=False).report
@@ -408,7 +365,7 @@ def q_daily_report_av(spark, sf_dir):
 @register(
     "daily_run_blacklist_hist",
     O.with_fixtures(
-        *O.blacklist_chain(3, "open_only"),
+        *O.history_chain("b", 3, "open_only"),
         body="select passport, effective_from, effective_to, deleted_flg from h_b3",
     ),
 )
@@ -422,12 +379,8 @@ def q_daily_blacklist(spark, sf_dir):
         O.batch_tx(1),
         O.batch_tx(2),
         O.batch_tx(3),
-        """h1 as (select * from tx_b1)""",
-        """h2 as (select * from h1 union all select t2.* from h1 as t1 right join tx_b2 as t2
-                  on t1.transaction_id = t2.transaction_id where t1.transaction_id is null)""",
-        """h3 as (select * from h2 union all select t2.* from h2 as t1 right join tx_b3 as t2
-                  on t1.transaction_id = t2.transaction_id where t1.transaction_id is null)""",
-        body="select * from h3",
+        f"facts_2 as (from tx_b1 union all {O.unseen_sql('tx_b1', 'tx_b2')})",
+        body=f"from facts_2 union all {O.unseen_sql('facts_2', 'tx_b3')}",
     ),
 )
 def q_daily_tx(spark, sf_dir):
@@ -436,7 +389,7 @@ def q_daily_tx(spark, sf_dir):
 
 @register(
     "daily_run_terminals_hist",
-    O.with_fixtures(*O.terminals_chain(3, "open_only"), body=f"select {O.HIST_T_COLS} from h_t3"),
+    O.with_fixtures(*O.history_chain("t", 3, "open_only"), body=f"select {O.HIST_T_COLS} from h_t3"),
 )
 def q_daily_terminals(spark, sf_dir):
     return _three_days(spark, sf_dir, facts=False).terminals.select(*HIST_T)
@@ -588,7 +541,7 @@ def _write_three_drops(fx: Fixtures, incoming: str) -> None:
         write_drop(incoming, batch_date(n), fx.transactions(n), fx.terminals(n), fx.blacklist(n))
 
 
-@register("stream_daily_drop", _daily_report_sql())
+@register("stream_daily_drop", O.daily_report_sql())
 def q_stream_drop(spark, sf_dir):
     """Three daily drops consumed by the file stream; the stored report equals the batch fold."""
     fx = Fixtures(spark, sf_dir)
@@ -608,7 +561,7 @@ def q_stream_drop(spark, sf_dir):
 
 @register(
     "stream_city_count_by_hour",
-    O.with_fixtures(*TX_VIEWS, O.hourgroups_cte(), body=O.CITYCOUNTS_BODY),
+    O.with_fixtures(*SEEN, body=O.CITY_COUNTS),
 )
 def q_stream_city(spark, sf_dir):
     """All transactions as one text drop, streamed through the watermarked hourly count."""
@@ -624,7 +577,7 @@ def q_stream_city(spark, sf_dir):
     return spark.read.parquet(f"{base}/city_counts").select("passport_num", "hour_group", "count_cities")
 
 
-@register("stored_daily_run_report_all_versions", _daily_report_sql(3, "all_versions"))
+@register("stored_daily_run_report_all_versions", O.daily_report_sql(3, "all_versions"))
 def q_stored_run_av(spark, sf_dir):
     """Three stored production days in the reference close mode (versioned histories)."""
     fx = Fixtures(spark, sf_dir)
@@ -641,7 +594,7 @@ def q_stored_run_av(spark, sf_dir):
     return ReportStore(spark, roots.report).read().select(*REP_FRAUD_COLS)
 
 
-@register("stream_fraud_different_cities", O.with_fixtures(*TX_VIEWS, *_cities_ctes, body=_cities_body))
+@register("stream_fraud_different_cities", O.with_fixtures(*SEEN, body=O.cities_sql()))
 def q_stream_cities_rule(spark, sf_dir):
     """The different-cities rule read from the streamed hourly table (= the batch rule)."""
     fx = Fixtures(spark, sf_dir)
