@@ -31,7 +31,6 @@ from __future__ import annotations
 import datetime as _dt
 import uuid
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -59,12 +58,8 @@ def materialize(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
 
 def read_or_none(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame | None:
     """The table at ``path``, or None if there is no such path; every other error is raised."""
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
+    fs, where = _hadoop(spark, path)
+    return spark.read.schema(schema).parquet(path) if fs.exists(where) else None
 
 
 def write_folder(rows: DataFrame, path: str) -> None:
