@@ -1,13 +1,16 @@
 """Benchmark passages in documents, found by latent semantic retrieval.
 
 1. Words hash to ``BUCKETS`` terms; document frequencies over all documents
-   give their weights.  Very common terms weigh nothing.
+   give their weights.  Very common terms weigh little, but never nothing: an
+   item that many documents hold makes its own words common.
 2. All documents are cut into passages of ``PASSAGE`` words.  Their TF-IDF
    matrix A, over the terms of the benchmark, gets a randomised SVD: two
    distributed passes each add up A'AX for a thin X (terms by RANK + OVER),
    with small orthogonal steps between them on the driver.
 3. Windows of every document that share enough weight with the benchmark are
-   projected, and the cosine with each item gives candidates.
+   projected, and the cosine with each item gives candidates.  So does every
+   run of ``RUN`` words that a document shares with an item (all words of a
+   shorter item), whatever its words weigh: no exact copy depends on weights.
 4. A candidate counts if the longest common subsequence of words holds most of
    the item, or a good part of it and most of its answer (its last sentence).
 
@@ -20,18 +23,21 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daybook.llm.words import U64, Words, blocks, scan_words, string_buffers
+from daybook.llm.words import U64, Words, blocks, mix, scan_words, string_buffers
 from daybook.sources.store import materialize
 
 BUCKETS, PASSAGE, RANK, OVER = 1 << 16, 64, 48, 8
-#: Terms in more than this part of the documents weigh nothing.
-COMMON = 0.1
+#: Terms in more than this part of the documents lose the constant of the other weights; least weight of a term.
+COMMON, FLOOR = 0.1, 0.1
+#: Words of a run that makes a candidate by itself; bits of the table that most other runs don't pass.
+RUN, SIEVE = 8, 22
 #: Least part of a window's weight in the benchmark's terms, and least cosine of a candidate.
 GATE, COSINE = 0.35, 0.4
 #: Least part of an item in the common subsequence; the same for a paraphrase whose answer is there; least part of the answer.
@@ -62,13 +68,14 @@ def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def term_weights(docs: DataFrame) -> np.ndarray:
-    """Inverse document frequency of every term over all of ``docs``; 0 for the very common."""
+    """Inverse document frequency of every term over all of ``docs``; positive, if small, for the very common."""
     counted = docs.select("text").mapInArrow(_frequencies, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
     df = np.zeros(BUCKETS)
     df[counted.column("term").to_numpy()] = counted.column("n").to_numpy()
     total = docs.count()
     weight = np.log((total + 1) / (df + 1)) + 1
-    weight[(df > COMMON * total) & (df > 20)] = 0
+    common = (df > COMMON * total) & (df > 20)
+    weight[common] = np.maximum(weight[common] - 1, FLOOR)
     return weight
 
 
@@ -189,12 +196,65 @@ def common_subsequence(masks: dict[int, int], n: int, b: list[int]) -> int:
     return n - row.bit_count()
 
 
+def _run_hashes(words: np.ndarray, n: int) -> np.ndarray:
+    """A hash of each n successive words."""
+    out = np.zeros(max(0, len(words) - n + 1), U64)
+    with np.errstate(over="ignore"):
+        for i in range(n):
+            out = mix(out + words[i : i + len(out)])
+    return out
+
+
+@dataclass
+class Runs:
+    """The runs of n words of some items: sorted hashes, with the item and the place in it of each."""
+
+    n: int
+    hash: np.ndarray
+    item: np.ndarray
+    place: np.ndarray
+    sieve: np.ndarray
+    step: np.ndarray  # of each item
+
+    def found(self, words: Words) -> Iterator[tuple[int, int, int]]:
+        """(text, item index, start) for the runs in some texts; starts of an item are taken a quarter of it apart."""
+        here = _run_hashes(words.hash, self.n)
+        at = np.flatnonzero(self.sieve[(here >> U64(64 - SIEVE)).astype(np.int64)])
+        at = at[words.text[at] == words.text[at + self.n - 1]]
+        low, high = np.searchsorted(self.hash, here[at]), np.searchsorted(self.hash, here[at], "right")
+        at, low, size = at[high > low], low[high > low], (high - low)[high > low]
+        if not len(at):
+            return
+        match = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + np.repeat(low, size)
+        at, item = np.repeat(at, size), self.item[match]
+        text, step = words.text[at], self.step[item]
+        start = (at - words.first[text] - self.place[match]) // step * step
+        for t, i, s in np.unique(np.stack([text, item, start], 1), axis=0).tolist():
+            yield t, i, s
+
+
+def runs(wanted: list[Item]) -> list[Runs]:
+    """The runs of all items, by their length: ``RUN`` words, or all of a shorter item's."""
+    step = np.array([max(1, len(i.words) // 4) for i in wanted], np.int64)
+    out = []
+    for n in sorted({min(RUN, len(i.words)) for i in wanted}):
+        found = [(j, _run_hashes(i.words, n)) for j, i in enumerate(wanted) if min(RUN, len(i.words)) == n]
+        hashes = np.concatenate([h for _, h in found])
+        order = np.argsort(hashes, kind="stable")
+        item = np.concatenate([np.full(len(h), j) for j, h in found])
+        place = np.concatenate([np.arange(len(h)) for _, h in found])
+        sieve = np.zeros(1 << SIEVE, bool)
+        sieve[(hashes >> U64(64 - SIEVE)).astype(np.int64)] = True
+        out.append(Runs(n, hashes[order], item[order], place[order], sieve, step))
+    return out
+
+
 def _unit(v: np.ndarray) -> np.ndarray:
     return v / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-12)
 
 
 def _searching(held):
-    def candidates(words: Words, wanted: list[Item], tables) -> Iterator[tuple[int, int, int, float]]:
+    def candidates(words: Words, tables) -> Iterator[tuple[int, int, int, float]]:
         """(text, item index, window start, cosine)."""
         place, weight, latent, vectors, by_length = tables
         term = _terms(words)
@@ -219,15 +279,25 @@ def _searching(held):
                 for i, j in zip(*np.nonzero(cosine >= COSINE), strict=True):
                     yield int(words.text[s[i]]), int(some[j]), int(s[i]), float(cosine[i, j])
 
+    def alike(words: Words, tables, item: int, start: int, end: int) -> float:
+        """The cosine of an item with the words from start to end."""
+        place, weight, latent, vectors, _ = tables
+        term = _terms(words)[max(start, 0) : end]
+        term = term[place[term] >= 0]
+        return float(_unit((latent[place[term]] * weight[term, None]).sum(0)[None])[0] @ vectors[item])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted, *tables = held.value
+        wanted, by_run, *tables = held.value
         masks = [(positions(i.words), positions(i.answer)) for i in wanted]
         kind = pa.list_(pa.struct([("item_id", pa.int64()), ("lcs_share", pa.float64()), ("answer_share", pa.float64()), ("cosine", pa.float64()), ("start_word", pa.int64()), ("end_word", pa.int64())]))
         for batch in batches:
             hits: list[list[dict]] = [[] for _ in range(batch.num_rows)]
             for first, _, words in _scanned(batch):
                 best: dict[tuple[int, int], dict] = {}
-                for text, item, start, cosine in candidates(words, wanted, tables):
+                shared = ((t, i, int(words.first[t]) + s, None) for r in by_run for t, i, s in r.found(words))
+                for text, item, start, cosine in chain(candidates(words, tables), shared):
+                    if cosine is None and best.get((text, item), {}).get("lcs_share") == 1:
+                        continue
                     it, low, high = wanted[item], words.first[text], words.first[text + 1]
                     n = len(it.words)
                     a, b = max(low, start - n // 2), min(high, start + n + n // 2)
@@ -243,6 +313,8 @@ def _searching(held):
                     if share < WHOLE and answer < ANSWER:
                         continue
                     if (old := best.get((text, item))) is None or share > old["lcs_share"]:
+                        if cosine is None:
+                            cosine = alike(words, tables, item, start, min(start + n, high))
                         best[text, item] = {"item_id": it.item_id, "lcs_share": share, "answer_share": answer, "cosine": cosine, "start_word": int(a - low), "end_word": int(b - low)}
                 for (text, _), hit in sorted(best.items()):
                     hits[first + text].append(hit)
@@ -264,7 +336,7 @@ def _block(docs: DataFrame, given: DataFrame, weight: np.ndarray, wanted: list[I
         t = (item.words >> U64(48)).astype(np.int64)
         vectors[i] = (latent[place[t]] * weight[t, None]).sum(0)
         by_length.setdefault(max((x for x in LENGTHS if x <= len(item.words)), default=LENGTHS[0]), []).append(i)
-    tables = (wanted, place, weight, latent, _unit(vectors), {n: np.array(x) for n, x in by_length.items()})
+    tables = (wanted, runs(wanted), place, weight, latent, _unit(vectors), {n: np.array(x) for n, x in by_length.items()})
     return given.mapInArrow(_searching(context.broadcast(tables)), f"row {given.schema['row'].dataType.simpleString()}, hits {_HIT}")
 
 

@@ -144,6 +144,20 @@ def test_decontamination(spark, documents):
     assert decontamination.find_benchmark(documents(EDGES), benchmark.limit(0)).where("size(hits) > 0").count() == 0
 
 
+def test_decontamination_of_a_hot_item(spark, documents):
+    items = [" ".join(f"q{i}w{j}" for j in range(40)) + "." for i in range(4)]
+    items += ["it is what it is and that is all that it is to us", "so be it now"]
+    benchmark = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    filler = lambda i: " ".join(f"f{i}x{j}" for j in range(60)) + " it is so that be now to us what and all"
+    rows = [(i, f"{filler(i)} {items[0] if i % 3 == 0 else ''} {filler(i + 1000)}") for i in range(150)]
+    near = " ".join(w for j, w in enumerate(items[0].split()) if j % 5)
+    rows += [(200 + i, f"{filler(200 + i)} {t} {filler(1200 + i)}") for i, t in enumerate([*items[1:], near])]
+    found = decontamination.find_benchmark(documents(rows), benchmark).select("row.doc_id", "hits").collect()
+    hits = {r.doc_id: [h.item_id for h in r.hits] for r in found}
+    assert all((0 in hits[i]) == (i % 3 == 0) for i in range(150))
+    assert all(1 + i in hits[200 + i] for i in range(5)) and 0 in hits[205]
+
+
 def test_subsequence_by_table():
     draw = np.random.default_rng(1)
     for _ in range(50):
