@@ -1,8 +1,7 @@
 """Benchmark passages in documents, found by latent semantic retrieval.
 
 1. Words hash to ``BUCKETS`` terms; document frequencies over all documents
-   give their weights.  Very common terms weigh little, but never nothing: an
-   item that many documents hold makes its own words common.
+   give their weights.  Very common terms weigh nothing in the retrieval.
 2. All documents are cut into passages of ``PASSAGE`` words.  Their TF-IDF
    matrix A, over the terms of the benchmark, gets a randomised SVD: two
    distributed passes each add up A'AX for a thin X (terms by RANK + OVER),
@@ -11,6 +10,9 @@
    projected, and the cosine with each item gives candidates.  So does every
    run of ``RUN`` words that a document shares with an item (all words of a
    shorter item), whatever its words weigh: no exact copy depends on weights.
+   Items whose weight is mostly in common terms (an item that many documents
+   hold makes its own words common) are also looked for by the count of their
+   words in every place, a bound of the common subsequence.
 4. A candidate counts if the longest common subsequence of words holds most of
    the item, or a good part of it and most of its answer (its last sentence).
 
@@ -34,8 +36,10 @@ from daybook.llm.words import U64, Words, blocks, mix, scan_words, string_buffer
 from daybook.sources.store import materialize
 
 BUCKETS, PASSAGE, RANK, OVER = 1 << 16, 64, 48, 8
-#: Terms in more than this part of the documents lose the constant of the other weights; least weight of a term.
-COMMON, FLOOR = 0.1, 0.1
+#: Terms in more than this part of the documents are common and weigh nothing in the retrieval.
+COMMON = 0.1
+#: Items with at least this part of their weight in common terms are looked for without weights.
+HOT = 0.5
 #: Words of a run that makes a candidate by itself; bits of the table that most other runs don't pass.
 RUN, SIEVE = 8, 22
 #: Least part of a window's weight in the benchmark's terms, and least cosine of a candidate.
@@ -67,16 +71,14 @@ def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(n[at])], ["term", "n"])
 
 
-def term_weights(docs: DataFrame) -> np.ndarray:
-    """Inverse document frequency of every term over all of ``docs``; positive, if small, for the very common."""
+def term_weights(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Inverse document frequency (smooth, 1 or more) of every term over all of ``docs``, and whether it is common."""
     counted = docs.select("text").mapInArrow(_frequencies, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
     df = np.zeros(BUCKETS)
     df[counted.column("term").to_numpy()] = counted.column("n").to_numpy()
     total = docs.count()
     weight = np.log((total + 1) / (df + 1)) + 1
-    common = (df > COMMON * total) & (df > 20)
-    weight[common] = np.maximum(weight[common] - 1, FLOOR)
-    return weight
+    return weight, (df > COMMON * total) & (df > 20)
 
 
 @dataclass
@@ -249,6 +251,18 @@ def runs(wanted: list[Item]) -> list[Runs]:
     return out
 
 
+def _places(words: Words, hot: list[tuple[int, np.ndarray, int]]) -> Iterator[tuple[int, int, int]]:
+    """(text, item index, start) where twice an item's length holds enough of its words; starts are a quarter of it apart."""
+    index = np.arange(len(words.hash)) - words.first[words.text]
+    for item, own, n in hot:
+        there = np.concatenate([[0], np.cumsum(np.isin(words.hash, own))])
+        at = np.flatnonzero(index % max(1, n // 4) == 0)
+        low, high = words.first[words.text[at]], words.first[words.text[at] + 1]
+        part = there[np.minimum(high, at + n + n // 2)] - there[np.maximum(low, at - n // 2)]
+        for a in at[part >= PART * n].tolist():
+            yield int(words.text[a]), item, a
+
+
 def _unit(v: np.ndarray) -> np.ndarray:
     return v / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-12)
 
@@ -287,14 +301,15 @@ def _searching(held):
         return float(_unit((latent[place[term]] * weight[term, None]).sum(0)[None])[0] @ vectors[item])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted, by_run, *tables = held.value
+        wanted, by_run, hot, *tables = held.value
         masks = [(positions(i.words), positions(i.answer)) for i in wanted]
         kind = pa.list_(pa.struct([("item_id", pa.int64()), ("lcs_share", pa.float64()), ("answer_share", pa.float64()), ("cosine", pa.float64()), ("start_word", pa.int64()), ("end_word", pa.int64())]))
         for batch in batches:
             hits: list[list[dict]] = [[] for _ in range(batch.num_rows)]
             for first, _, words in _scanned(batch):
                 best: dict[tuple[int, int], dict] = {}
-                shared = ((t, i, int(words.first[t]) + s, None) for r in by_run for t, i, s in r.found(words))
+                shared = chain(((t, i, int(words.first[t]) + s) for r in by_run for t, i, s in r.found(words)), _places(words, hot))
+                shared = ((*found, None) for found in shared)
                 for text, item, start, cosine in chain(candidates(words, tables), shared):
                     if cosine is None and best.get((text, item), {}).get("lcs_share") == 1:
                         continue
@@ -323,7 +338,14 @@ def _searching(held):
     return run
 
 
-def _block(docs: DataFrame, given: DataFrame, weight: np.ndarray, wanted: list[Item]) -> DataFrame:
+def _block(docs: DataFrame, given: DataFrame, weights: tuple[np.ndarray, np.ndarray], wanted: list[Item]) -> DataFrame:
+    smooth, common = weights
+    weight = np.where(common, 0, smooth)
+    hot = []
+    for j, item in enumerate(wanted):
+        t = (item.words >> U64(48)).astype(np.int64)
+        if smooth[t][common[t]].sum() >= HOT * smooth[t].sum():
+            hot.append((j, np.unique(item.words), len(item.words)))
     context = docs.sparkSession.sparkContext
     terms = np.unique(np.concatenate([(i.words >> U64(48)).astype(np.int64) for i in wanted]))
     place = np.full(BUCKETS, -1, np.int64)
@@ -336,7 +358,7 @@ def _block(docs: DataFrame, given: DataFrame, weight: np.ndarray, wanted: list[I
         t = (item.words >> U64(48)).astype(np.int64)
         vectors[i] = (latent[place[t]] * weight[t, None]).sum(0)
         by_length.setdefault(max((x for x in LENGTHS if x <= len(item.words)), default=LENGTHS[0]), []).append(i)
-    tables = (wanted, runs(wanted), place, weight, latent, _unit(vectors), {n: np.array(x) for n, x in by_length.items()})
+    tables = (wanted, runs(wanted), hot, place, weight, latent, _unit(vectors), {n: np.array(x) for n, x in by_length.items()})
     return given.mapInArrow(_searching(context.broadcast(tables)), f"row {given.schema['row'].dataType.simpleString()}, hits {_HIT}")
 
 
@@ -353,13 +375,13 @@ def find_benchmark(docs: DataFrame, benchmark: DataFrame, carry: list[str] | Non
     given = docs.select(whole.alias("row"), "text")
     asked = benchmark.where("text IS NOT NULL").select(F.col("item_id").cast("long").alias("item_id"), "text")
     n = max(1, -(-asked.count() // BLOCK_ITEMS))
-    weight = None
+    weights = None
     # the texts stay beside the hits of the blocks so far
     found = given.withColumn("hits", F.expr(f"CAST(array() AS {_HIT})"))
     for b in range(n):
         wanted = items(asked.where(F.expr(f"pmod(xxhash64(item_id, text), {n}) = {b}")).orderBy("item_id", "text").collect())
         if wanted:
-            weight = term_weights(docs) if weight is None else weight
-            searched = _block(docs, found.select(F.struct("row", "text", "hits").alias("row"), "text"), weight, wanted)
+            weights = term_weights(docs) if weights is None else weights
+            searched = _block(docs, found.select(F.struct("row", "text", "hits").alias("row"), "text"), weights, wanted)
             found = searched.select("row.row", "row.text", F.concat("row.hits", "hits").alias("hits"))
     return found.select("row", "hits")
