@@ -4,10 +4,11 @@ Patterns find the base spans.  The field's nodes are those spans and all other
 places of a document that look a little like one (runs of digits and signs,
 words with an at sign or its spelling).  Neighbours in the text share a chain
 potential; places whose normal forms agree (same trailing digits, same
-address) share a skip potential, each with its next occurrence, so edges grow
-with the text.  Base spans are observed.  Loopy sum-product passes over all
-documents of a batch at once give every other node's label; entity labels add
-spans.  Potentials are trained in numpy on a bounded sample, with the base
+address) share a skip potential, each with its next occurrence and with the
+first base span of each kind of its form, so edges grow with the text and
+evidence reaches any number of repeats.  Base spans are observed.  Loopy
+sum-product passes over all documents of a batch at once, each until its
+messages rest, give every other node's label; entity labels add spans.  Potentials are trained in numpy on a bounded sample, with the base
 spans as labels.
 """
 
@@ -24,10 +25,12 @@ from pyspark.sql import functions as F
 
 KINDS = ["email", "ip", "card", "phone"]
 OTHER = len(KINDS)
-#: Bound of the training sample (rows of smallest hash among those with a digit or an at sign).
+#: Bound of the training sample (distinct texts of smallest hash among those with a digit or an at sign).
 SAMPLE = 2000
 EPOCHS, RATE, DECAY = 200, 0.5, 0.002
-ROUNDS, DAMPING, LEAST = 12, 0.3, 0.5
+DAMPING, LEAST = 0.3, 0.5
+#: Messages rest when none changes by more than this; passes at most, for graphs whose messages never do.
+REST, ROUNDS = 1e-4, 1000
 #: Agreement and chain potentials stay within these bounds.
 MOST_SKIP, MOST_CHAIN = 8.0, 2.0
 ROWS = 500
@@ -123,14 +126,16 @@ class Graph:
     label: np.ndarray
     chain: np.ndarray  # pairs of neighbouring nodes
     skip: np.ndarray  # pairs of successive similar nodes
+    hub: np.ndarray  # pairs of a base span, the first of its form and kind, and a further similar node
     like: np.ndarray  # whether a node's form is that of a base span of the kind, in its document
 
 
 def graph(texts: list[str], found: list[list[tuple[int, int, int]]]) -> Graph:
-    node, x, chain, skip, like = [], [], [], [], []
+    node, x, chain, skip, hub, like = [], [], [], [], [], []
     for d, (text, base) in enumerate(zip(texts, found, strict=True)):
         last: dict[str, int] = {}
-        here, kinds, forms = places(text, base), {}, []
+        skipped = len(skip)
+        here, kinds, forms, before = places(text, base), {}, [], len(node)
         for j, (s, k, e) in enumerate(here):
             i, part = len(node), text[s:e]
             node.append((d, s, k, e))
@@ -143,10 +148,14 @@ def graph(texts: list[str], found: list[list[tuple[int, int, int]]]) -> Graph:
             last[form] = i
             forms.append(form)
             if k != OTHER:
-                kinds.setdefault(form, set()).add(k)
+                kinds.setdefault(form, {}).setdefault(k, i)
+        joined = set(skip[skipped:])
+        for i, form in enumerate(forms, before):
+            if node[i][2] == OTHER:
+                hub += [(h, i) for h in kinds.get(form, {}).values() if (h, i) not in joined and (i, h) not in joined]
         like += [[c in kinds.get(form, ()) for c in range(OTHER + 1)] for form in forms]
     pairs = lambda p: np.array(p, np.int64).reshape(-1, 2)
-    return Graph(node, np.array(x, float).reshape(-1, 16), np.array([k for _, _, k, _ in node], np.int64), pairs(chain), pairs(skip), np.array(like, bool).reshape(-1, OTHER + 1))
+    return Graph(node, np.array(x, float).reshape(-1, 16), np.array([k for _, _, k, _ in node], np.int64), pairs(chain), pairs(skip), pairs(hub), np.array(like, bool).reshape(-1, OTHER + 1))
 
 
 def train(texts: list[str]) -> Field:
@@ -174,9 +183,11 @@ def train(texts: list[str]) -> Field:
 
 
 def fit(docs: DataFrame, sample: int = SAMPLE) -> Field:
-    """Train on at most ``sample`` texts of ``docs``."""
-    rows = docs.select("text").where("text RLIKE '[0-9@]'").orderBy(F.xxhash64("text"), "text").limit(sample)
-    return train([r.text for r in rows.collect()])
+    """Train on at most ``sample`` distinct texts of ``docs``, those of smallest hash; hashes alone are compared to choose them."""
+    rows = docs.select("text").where("text RLIKE '[0-9@]'").withColumn("h", F.xxhash64("text"))
+    chosen = [r.h for r in rows.select("h").distinct().orderBy("h").limit(sample).collect()]
+    texts = rows.where(F.col("h").isin(chosen)).groupBy("h").agg(F.min("text").alias("text")).orderBy("h")
+    return train([r.text for r in texts.collect()])
 
 
 def marginals(g: Graph, f: Field) -> np.ndarray:
@@ -185,21 +196,33 @@ def marginals(g: Graph, f: Field) -> np.ndarray:
     seen = g.label != OTHER
     unary[seen] = -1e3
     unary[seen, g.label[seen]] = 0
-    edge = np.concatenate([g.chain, g.skip])
+    # only documents with a place that could be added need messages
+    owner = np.array([d for d, *_ in g.node], np.int64)
+    asked = np.zeros(owner.max(initial=-1) + 1, bool)
+    asked[owner[~seen & g.like[:, :OTHER].any(1)]] = True
+    chain, alike = (e[asked[owner[e[:, 0]]]] for e in (g.chain, np.concatenate([g.skip, g.hub])))
+    edge = np.concatenate([chain, alike])
     agree = np.eye(OTHER + 1) * f.skip
-    pair = np.concatenate([np.repeat(f.chain[None], len(g.chain), 0), np.repeat(agree[None], len(g.skip), 0)])
+    pair = np.concatenate([np.repeat(f.chain[None], len(chain), 0), np.repeat(agree[None], len(alike), 0)])
     source, target = np.concatenate([edge[:, 0], edge[:, 1]]), np.concatenate([edge[:, 1], edge[:, 0]])
     pair = np.concatenate([pair, pair.transpose(0, 2, 1)])
     back = np.roll(np.arange(len(source)), len(edge))
     message = np.zeros((len(source), OTHER + 1))
-    for _ in range(ROUNDS if len(edge) else 0):
+    live = np.arange(len(source))
+    for _ in range(ROUNDS):
+        if not len(live):
+            break
         belief = unary.copy()
-        np.add.at(belief, target, message)
-        z = (belief[source] - message[back])[:, :, None] + pair
+        np.add.at(belief, target[live], message[live])
+        z = (belief[source[live]] - message[back[live]])[:, :, None] + pair[live]
         top = z.max(1, keepdims=True)
         new = np.log(np.exp(z - top).sum(1)) + top[:, 0]
         new -= new.max(1, keepdims=True)
-        message = DAMPING * message + (1 - DAMPING) * new
+        new = DAMPING * message[live] + (1 - DAMPING) * new
+        change = np.zeros(len(asked))  # a document's messages rest together, whatever others do
+        np.maximum.at(change, owner[source[live]], np.abs(new - message[live]).max(1))
+        message[live] = new
+        live = live[change[owner[source[live]]] > REST]
     np.add.at(unary, target, message)
     p = np.exp(unary - unary.max(1, keepdims=True))
     return p / p.sum(1, keepdims=True)

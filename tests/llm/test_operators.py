@@ -131,6 +131,20 @@ def test_pii(documents):
     assert pii.find_pii(documents([]), pii.fit(documents([]))).count() == 0
 
 
+def test_pii_of_many_repeats(spark, documents):
+    field = pii.train(["Call +1 743 555 3824 or 1 743 555 3824; mail a.b@x.org, a.b (at) x.org"] * 3)
+    text = "+1 743 555 3824 a.b@x.org" + " and 1 743 555 3824 or" * 100 + " a.b (at) x.org ." * 100
+    found = pii.spans([text, "1 743 555 3824 " * 100], field)
+    assert sum(s["kind"] == "phone" for s in found[0]) == 101 and sum(s["kind"] == "email" for s in found[0]) == 101 and found[1] == []
+
+
+def test_pii_sample_counts_copies_once(documents, monkeypatch):
+    taken = []
+    monkeypatch.setattr(pii, "train", taken.extend)
+    pii.fit(documents([(i, "same 1") for i in range(100)] + [(200 + i, f"text {i}") for i in range(5)]), 6)
+    assert sorted(taken) == ["same 1", *(f"text {i}" for i in range(5))]
+
+
 def test_decontamination(spark, documents):
     item = prose(70, 30) + ". " + prose(71, 8) + "."
     benchmark = spark.createDataFrame([(0, item), (1, None), (2, ""), (3, prose(72, 40))], "item_id long, text string")
