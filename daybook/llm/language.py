@@ -4,8 +4,8 @@ Each text is its letters, lower-cased, between word borders.  Every subword of
 2 to 4 characters hashes to a bucket with an embedding; a text is the average
 of its subwords' embeddings, and a softmax over a linear map of it gives the
 languages.  Embeddings and map are trained by stochastic gradient descent in
-numpy, on a sample of at most ``SAMPLE`` labelled rows (the rows of smallest
-hash, whole texts).  A part of that sample is set aside: on it the softmax is
+numpy, on a sample of about ``SAMPLE`` distinct labelled texts, shared evenly
+by the languages (each has one at least; whole texts).  A part of that sample is set aside: on it the softmax is
 calibrated (one temperature) and the rejection threshold chosen.  As the model
 is linear in the average, prediction needs one score per bucket and language.
 """
@@ -103,6 +103,9 @@ def train(texts: list[str], langs: list[str], seed: int = 7) -> Model:
     rng = np.random.default_rng(seed)
     order = rng.permutation(len(rows))
     aside, used = order[: len(rows) // CALIBRATION], order[len(rows) // CALIBRATION :]
+    unseen = np.flatnonzero(~np.isin(y[aside], y[used]))  # a text of every language is learned
+    unseen = unseen[np.unique(y[aside][unseen], return_index=True)[1]]
+    aside, used = np.delete(aside, unseen), np.concatenate([used, aside[unseen]])
     embedding = rng.normal(0, 0.1, (BUCKETS, DIMENSION)).astype(np.float32)
     linear = rng.normal(0, 0.1, (DIMENSION, k)).astype(np.float32)
     offset = np.zeros(k, np.float32)
@@ -132,10 +135,22 @@ def train(texts: list[str], langs: list[str], seed: int = 7) -> Model:
 
 
 def fit(labelled: DataFrame, sample: int = SAMPLE) -> Model:
-    """Train on at most ``sample`` rows (text, lang; null languages and texts are left out) of ``labelled``."""
-    rows = labelled.where("lang IS NOT NULL AND text IS NOT NULL").select("text", "lang")
-    chosen = rows.withColumn("h", F.xxhash64("text", "lang")).orderBy("h", "lang").limit(sample).select("text", "lang").collect()
-    return train([r.text for r in chosen], [r.lang for r in chosen])
+    """Train on distinct (text, lang) of ``labelled``; null languages and texts without a letter are left out.
+
+    The sample is bounded by ``sample``, or by the number of languages if that
+    is larger.  Every language is dealt into ``sample`` buckets by hash, which
+    keep their smallest: copies count once and no group is sorted as a whole.
+    """
+    rows = labelled.where(r"lang IS NOT NULL AND text RLIKE '\\p{L}'").select("text", "lang").withColumn("h", F.xxhash64("text", "lang"))
+    kept = rows.groupBy("lang", F.pmod("h", F.lit(sample)).alias("bucket")).agg(F.min("h").alias("h")).select("lang", "h").toArrow()
+    by: dict[str, list[int]] = {}
+    for lang, h in zip(kept.column("lang").to_pylist(), kept.column("h").to_pylist(), strict=True):
+        by.setdefault(lang, []).append(h)
+    chosen: list[int] = []
+    for i, lang in enumerate(sorted(by, key=lambda k: (len(by[k]), k))):  # what small languages leave goes to the others
+        chosen += sorted(by[lang])[: max(1, (sample - len(chosen)) // (len(by) - i))]
+    texts = rows.where(F.col("h").isin(chosen)).groupBy("h", "lang").agg(F.min("text").alias("text")).orderBy("h", "lang").collect()
+    return train([r.text for r in texts], [r.lang for r in texts])
 
 
 def _predicting(held):

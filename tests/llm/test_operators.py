@@ -145,6 +145,18 @@ def test_pii_sample_counts_copies_once(documents, monkeypatch):
     assert sorted(taken) == ["same 1", *(f"text {i}" for i in range(5))]
 
 
+def test_language_sample_has_every_language(spark, monkeypatch):
+    rows = [(f"same {c}", "en") for c in "abc" for _ in range(100)] + [(f"word{chr(97 + i)}", "de") for i in range(26)] + [("rare", "fi"), ("1", "sv"), ("x", None)]
+    taken = []
+    monkeypatch.setattr(language, "train", lambda texts, langs: taken.extend(zip(langs, texts, strict=True)))
+    language.fit(spark.createDataFrame(rows, "text string, lang string"), 10)
+    assert len(taken) == len(set(taken)) <= 10 and {x for x, _ in taken} == {"en", "de", "fi"}
+    monkeypatch.undo()
+    for seed in range(5):
+        model = language.train(["xyzzy plugh"] + [f"one {prose(i, 9)}" for i in range(30)], ["fi"] + ["en"] * 30, seed)
+        assert model.languages[int(model.logits([" xyzzy plugh "]).argmax())] == "fi"
+
+
 def test_decontamination(spark, documents):
     item = prose(70, 30) + ". " + prose(71, 8) + "."
     benchmark = spark.createDataFrame([(0, item), (1, None), (2, ""), (3, prose(72, 40))], "item_id long, text string")
