@@ -43,6 +43,8 @@ _FORMS = [
     (r"(?:released|licen[sc]ed|distributed|available|published) under (?:the )?(?:terms of )?(?:the )?{n}(?: licen[sc]e)?{v}", 1),
     (r"{n} licen[sc]e{v}", 2),
 ]
+#: Acronyms that with a version (v2, version 2) are a statement by themselves.
+_ACRONYMS = {"gpl", "lgpl", "agpl", "gfdl", "mpl", "epl", "eupl", "cddl"}
 #: Full sentences of well-known texts: label, expression, keyword.
 _TEXTS = [
     ("mit", "permission is hereby granted free of charge to any person obtaining a copy", "hereby granted"),
@@ -67,15 +69,24 @@ def rules() -> list[tuple[str, int, str, str]]:
     found = [(label, 0, text, word) for label, text, word in _TEXTS]
     for (label, name, word, versions), (form, priority) in product(names, _FORMS):
         gate = "spdx" if priority == 0 else "under" if priority == 1 else word if len(word) > 2 else "licen"
-        for v in versions if priority < 2 or versions == [""] else ["", *versions]:
-            number = f"(?: version| v)? {v}" if v else ""
+        for v in dict.fromkeys(["", *versions]):
+            number = f"(?: version)? ?(?:v ?)?{_number(v)}" if v else ""
             tag = f"{label}-{v.replace(' ', '.')}" if v else label
             found.append((tag, priority, form.format(n=name, v=number), gate))
+    for label, _, _, versions in names:
+        for v in versions if label in _ACRONYMS else []:
+            found.append((f"{label}-{v.replace(' ', '.')}", 2, f"(?:gnu )?{label}(?: version ?v?| ?v) ?{_number(v)}", label))
     for kind in _CC:  # the short form is a statement by itself
         found.append((f"cc-{kind.replace(' ', '-')}", 2, f"cc {kind}", "cc by"))
     return sorted(found, key=lambda r: r[1])
 
 
+def _number(version: str) -> str:
+    """Expression of a version: its two parts, or the first alone if the second is 0; another minor number doesn't follow."""
+    major, minor = version.split(" ")
+    return f"{major}(?: 0)?(?! [0-9] )" if minor == "0" else f"{major} {minor}"
+
+
 def _places(pattern: str) -> str:
     """SQL for the matches of a pattern (SQL text) in ``words``: array of (start, stop, word), in code points and words."""
     spaces = "length({0}) - length(replace({0}, ' ', ''))"
@@ -127,7 +138,7 @@ def detect_licenses(docs: DataFrame, carry: list[str] | None = None) -> DataFram
         + f", 'out', if({hidden}, s.out, array_append(s.out, named_struct('start', x.start, 'stop', -x.stop, 'priority', x.priority, 'label', x.label)))), s -> s.out)"
     )
     out = given.withColumn("base", F.expr(f"concat({', '.join(base)})")).withColumn(
-        "gates", F.expr(f"if(words RLIKE 'licen|unlicense|spdx|under|cc by|hereby|permission|redistribut|public domain|rights|proprietary', filter({gates}, g -> contains(words, g)), array())")
+        "gates", F.expr(f"if(words RLIKE 'licen|unlicense|spdx|under|cc by|hereby|permission|redistribut|public domain|rights|proprietary|{'|'.join(sorted(_ACRONYMS))}', filter({gates}, g -> if(g = 'under', words RLIKE ' (?:released|licen[sc]ed|distributed|available|published) under ', contains(words, g))), array())")
     )
     out = out.withColumn("found", F.expr(f"if(size(gates) = 0, array(), flatten({hits}))")).withColumn("detections", F.expr(fold))
     score = "CASE " + " ".join(f"WHEN exists(detections, d -> d.priority = {i}) THEN {s}D" for i, s in enumerate(_SCORES)) + " ELSE 0D END"

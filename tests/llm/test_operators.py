@@ -157,6 +157,14 @@ def test_language_sample_has_every_language(spark, monkeypatch):
         assert model.languages[int(model.logits([" xyzzy plugh "]).argmax())] == "fi"
 
 
+@pytest.mark.parametrize("text, labels", [
+    ("Licensed under the GPL", ["gpl"]), ("released under the GPL v3", ["gpl-3.0"]), ("distributed under GNU LGPL version 2 or later", ["lgpl-2.0"]),
+    ("It is GPLv2.", ["gpl-2.0"]), ("LGPLv2.1", ["lgpl-2.1"]), ("SPDX-License-Identifier: MPL", ["mpl"]), ("licensed under Apache 2", ["apache-2.0"]), ("licensed under the gpl 2.5", ["gpl"]),
+])
+def test_license_versions(documents, text, labels):
+    assert licenses.detect_licenses(documents([(1, text)])).first().labels == labels
+
+
 def test_decontamination(spark, documents):
     item = prose(70, 30) + ". " + prose(71, 8) + "."
     benchmark = spark.createDataFrame([(0, item), (1, None), (2, ""), (3, prose(72, 40))], "item_id long, text string")
