@@ -161,6 +161,7 @@ def run_day_stored(
     close: str = CLOSE_OPEN_ONLY,
     initial: bool = False,
     replace_done: bool = True,
+    files: list[str] | None = None,
 ) -> DataFrame:
     """One production day against stored state; returns the day's report rows.
 
@@ -174,7 +175,8 @@ def run_day_stored(
     run again: facts that it has already appended aren't appended twice, and
     all else replaces exactly that batch's folders.  A finished day is done
     again with the new feeds, or left as it is if ``replace_done`` is false
-    (replays of a stream).  The card -> holder dimension is a working table
+    (replays of a stream).  ``files`` names a stream's files of the day; the
+    log keeps them.  The card -> holder dimension is a working table
     (so that the planner sizes the fact join on real bytes), removed at the end.
     """
     from daybook.sources.store import DayLog, FactStore, HistoryStore, ReportStore, VersionedHistoryStore, delete_path, materialize
@@ -213,7 +215,7 @@ def run_day_stored(
     )
     reports.write(rep_fraud(enrich_transactions(staged_tx, holders, terminals_current(term_open))), batch_date)
     delete_path(spark, working)
-    log.add(batch_date, "done")
+    log.add(batch_date, "done", files)
     return reports.read().where(F.col("batch_date") == F.lit(batch_date)).drop("batch_date")
 
 

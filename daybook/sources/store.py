@@ -104,14 +104,16 @@ def applied_batches(spark: SparkSession, root: str) -> DataFrame | None:
 
 
 class DayLog:
-    """The days that a stored run has begun and finished, as an appended list of (batch_date, state, seq).
+    """The days that a stored run has begun and finished, as an appended list of (batch_date, state, seq, files).
 
+    ``files`` are the names of a stream's files that the day has read (null
+    in a day run by hand).
     States: ``reset`` (the stores are being emptied), ``begun``, ``done``.  A
     day's last state counts; what precedes the last reset is forgotten.  One
     append per state, a few rows per day of operation.
     """
 
-    SCHEMA = "batch_date date, state string, seq long"
+    SCHEMA = "batch_date date, state string, seq long, files array<string>"
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root
@@ -125,9 +127,17 @@ class DayLog:
     def days(self) -> dict[_dt.date, str]:
         return {r["batch_date"]: r["state"] for r in self._rows()}
 
-    def add(self, d: _dt.date, state: str) -> None:
+    def files(self) -> dict[_dt.date, set[str]]:
+        """Names of the stream's files that each finished day has read."""
+        found: dict[_dt.date, set[str]] = {}
+        for r in self._rows():
+            if r["state"] == "done":
+                found.setdefault(r["batch_date"], set()).update(r["files"] or ())
+        return found
+
+    def add(self, d: _dt.date, state: str, files: list[str] | None = None) -> None:
         seq = max((r["seq"] for r in self._rows()), default=0) + 1
-        self.spark.createDataFrame([(d, state, seq)], self.SCHEMA).coalesce(1).write.mode("append").parquet(self.root)
+        self.spark.createDataFrame([(d, state, seq, files)], self.SCHEMA).coalesce(1).write.mode("append").parquet(self.root)
 
     def begin(self, d: _dt.date) -> None:
         """Refuse a day out of order, before anything of it is written."""

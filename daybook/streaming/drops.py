@@ -58,15 +58,27 @@ def transaction_file_stream(
 
 
 def drop_file_stream(spark: SparkSession, incoming: str, archive_dir: str | None = None) -> DataFrame:
-    """Batch dates of the feeds' files as they arrive."""
-    reader = spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length long, content binary")
+    """Batch dates (stamp) and names (file; with the folder of a part) of the feeds' files as they arrive."""
+    reader = spark.readStream.format("binaryFile").schema(FILES)
     if archive_dir:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
-    words = "|".join([FEED_TRANSACTIONS, FEED_TERMINALS, FEED_BLACKLIST])
-    paths = reader.load(f"{incoming}/*{{{words.replace('|', ',')}}}*").select("path")
+    return _named(reader.load(_feed_files(incoming)))
+
+
+FILES = "path string, modificationTime timestamp, length long, content binary"
+WORDS = [FEED_TRANSACTIONS, FEED_TERMINALS, FEED_BLACKLIST]
+
+
+def _feed_files(incoming: str) -> str:
+    return f"{incoming}/*{{{','.join(WORDS)}}}*"
+
+
+def _named(files: DataFrame) -> DataFrame:
     # The drop's name is the last segment with a feed's word: a file, or the folder of its parts.
+    words = "|".join(WORDS)
     name = F.regexp_extract("path", rf"^.*/([^/]*(?:{words})[^/]*)", 1)
-    return paths.select(F.regexp_extract(name, r"_(\d{8})", 1).alias("stamp"))
+    inside = F.regexp_extract("path", rf"^.*/([^/]*(?:{words})[^/]*.*)$", 1)
+    return files.select(F.regexp_extract(name, r"_(\d{8})", 1).alias("stamp"), inside.alias("file"))
 
 
 def daily_drop_stream(
@@ -82,13 +94,22 @@ def daily_drop_stream(
     def step(batch: DataFrame, batch_id: int) -> None:
         from daybook.sources.feeds import read_feeds
 
-        days = batch.distinct().select("stamp", batch_date_from_name(F.format_string("_%s.", "stamp")).alias("d")).collect()
+        days = batch.groupBy("stamp").agg(F.sort_array(F.collect_set("file")).alias("files")).select("stamp", "files", batch_date_from_name(F.format_string("_%s.", "stamp")).alias("d")).collect()
         if any(r["d"] is None for r in days):
             raise ValueError("a feed's file without a batch date in its name")
-        done = DayLog(spark, f"{roots.report}_days").days()
+        log = DayLog(spark, f"{roots.report}_days")
+        done, read = log.days(), log.files()
+        for r in days:
+            late = sorted(set(r["files"]) - read.get(r["d"], set()))
+            if done.get(r["d"]) == "done" and late:
+                raise ValueError(f"batch {r['d']} is finished and has not read {late}: run it again with all its files, then record_files()")
         for r in sorted(days, key=lambda r: r["d"]):
             if done.get(r["d"]) != "done":
-                run_day_stored(spark, roots, read_feeds(spark, incoming, f"_{r['stamp']}"), dims, r["d"], replace_done=False)
+                # All of the day that is in the folder is read, also what a later micro-batch brings.
+                there = _named(spark.read.format("binaryFile").schema(FILES).load(_feed_files(incoming)))
+                files = [x["file"] for x in there.where(F.col("stamp") == r["stamp"]).select("file").collect()]
+                feeds = read_feeds(spark, incoming, f"_{r['stamp']}")
+                run_day_stored(spark, roots, feeds, dims, r["d"], replace_done=False, files=files)
 
     writer = (
         drop_file_stream(spark, incoming, archive_dir=archive_dir)
@@ -98,6 +119,14 @@ def daily_drop_stream(
     return writer.trigger(availableNow=True).start()
 
 
+def record_files(spark: SparkSession, roots: StateRoots, d: _dt.date, files: list[str]) -> None:
+    """Enter late files (named as in the stream's error) that a finished day, run again by hand, has read."""
+    log = DayLog(spark, f"{roots.report}_days")
+    if log.days().get(d) != "done":
+        raise ValueError(f"batch {d} is not finished")
+    log.add(d, "done", files)
+
+
 def write_drop(
     incoming: str,
     d: _dt.date,

@@ -141,3 +141,30 @@ def test_hourly_upsert_replaces_the_unknown_passport(spark, tmp_path):
         sink(spark.createDataFrame([(None, hour, n), (f"P{n}", hour, n)], schema), n)
     stored = spark.read.parquet(f"{tmp_path}/hours").collect()
     assert sorted((r["passport_num"] or "", r["count_cities"]) for r in stored) == [("", 3), ("P1", 1), ("P2", 2), ("P3", 3)]
+
+
+def test_late_file_of_a_finished_day_is_refused_until_read(spark, run, tmp_path):
+    from daybook.streaming.drops import daily_drop_stream, record_files
+
+    fx, inc = Fixtures(spark, "/root/testdata/sf0.001"), f"{tmp_path}/incoming"
+    dims = Dimensions(fx.cards(), fx.accounts(), fx.clients())
+
+    def drain():
+        daily_drop_stream(spark, inc, run.roots, dims, f"{tmp_path}/ck", archive_dir=f"{tmp_path}/old").awaitTermination()
+
+    _drop(spark, inc, ("transactions", "terminals"))
+    with pytest.raises(Exception, match="no file of the feed"):
+        drain()
+    _drop(spark, inc, ("passport_blacklist",))
+    drain()  # the file that completed the day was read with it
+    assert run.facts() == [1]
+    late = day(spark, T1, [2])
+    write_delimited(late.transactions, f"{inc}/transactions_10012024_b.txt")
+    with pytest.raises(Exception, match="has not read"):
+        drain()
+    files = [f"transactions_10012024_b.txt/{p.name}" for p in (tmp_path / "incoming" / "transactions_10012024_b.txt").glob("part-*")]
+    run(day(spark, T1, [1, 2], [(dt.datetime(2024, 1, 3), "PS1")]), DAY1)
+    assert files and run.facts() == [1, 2]
+    record_files(spark, run.roots, DAY1, files)
+    drain()
+    assert run.facts() == [1, 2]
