@@ -29,6 +29,46 @@ SELECT sets.doc_id, len(s) AS n_shingles, least(sets.doc_id, coalesce(m.r, sets.
 FROM sets LEFT JOIN (SELECT d, min(r) AS r FROM reach GROUP BY d) m ON m.d = sets.doc_id
 """
 
+_OP13 = r"""
+WITH hashed AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+         xor(list_reduce(list_concat([4294967295], flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''),
+                         lambda c: [CAST(ascii(c) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]))),
+             lambda c, x: CASE WHEN x >= 0 THEN xor(c, x) WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END), 4294967295) AS h
+  FROM documents
+), cut AS (
+  SELECT *, len(w) AS n, CASE WHEN h % 10 = 0 AND len(w) > 0 THEN (h // 10) % len(w) END AS a FROM hashed
+), text AS MATERIALIZED (
+  SELECT doc_id, n, CASE WHEN a IS NULL THEN w
+         ELSE list_transform(range(n), lambda i: w[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (n - a) // (3 + (h // 10) % 8)) END]) END AS v
+  FROM cut
+), gram AS MATERIALIZED (
+  SELECT doc_id, i, sha256(array_to_string(v[i + 1:i + 16], ' ')) AS g FROM (SELECT doc_id, v, unnest(range(n - 15)) AS i FROM text WHERE n >= 24)
+), diagonal AS (
+  SELECT y.doc_id, y.i, y.i - x.i AS q FROM gram x JOIN gram y ON x.doc_id = y.doc_id AND x.g = y.g AND x.i < y.i
+), stretch AS MATERIALIZED (
+  SELECT doc_id, q, min(i) - q AS s, count(*) + 15 + q AS l
+  FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS k FROM diagonal) GROUP BY doc_id, q, k
+), run AS MATERIALIZED (
+  SELECT * FROM stretch x WHERE l >= greatest(24, 3 * q)
+  AND NOT EXISTS (FROM stretch y WHERE y.doc_id = x.doc_id AND y.q < x.q AND y.s <= x.s AND y.s + y.l >= x.s + x.l)
+), best AS (
+  SELECT * FROM run QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY CAST(l AS DECIMAL(38, 20)) / q DESC, s, q) = 1
+), listed AS (
+  SELECT doc_id, count(*) AS n_runs, string_agg(s || ',' || l || ',' || q || chr(10), '' ORDER BY s, q) AS runs FROM run GROUP BY doc_id
+), word AS (
+  SELECT doc_id, i, v[i + 1] AS x FROM (SELECT doc_id, v, unnest(range(n)) AS i FROM text)
+), dropped AS (
+  SELECT DISTINCT doc_id, unnest(range(s + q, s + l)) AS i FROM run
+), kept AS (
+  SELECT doc_id, string_agg(x, ' ' ORDER BY i) AS c FROM word ANTI JOIN dropped USING (doc_id, i) GROUP BY doc_id
+)
+SELECT text.doc_id, coalesce(n_runs, 0) AS n_runs, best.s AS start, best.l AS length, best.q AS period, 1000 * best.l // best.q AS exponent_milli,
+       sha256(coalesce(runs, '')) AS runs_sha256, sha256(coalesce(c, '')) AS collapsed_sha256
+FROM text LEFT JOIN best USING (doc_id) LEFT JOIN listed USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
 ORACLES: dict[str, str] = {
     "op1_ngram_jaccard": _OP1,
+    "op13_periodic_runs": _OP13,
 }

@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.llm import bpe, decontamination, language, licenses, ngram_join, pii, quality, sharding, token_counts, warc
+from daybook.llm import bpe, decontamination, language, licenses, ngram_join, periodic, pii, quality, sharding, token_counts, warc
 from daybook.llm.oracle import ORACLES
 from daybook.session import scratch_path
 
@@ -104,6 +104,28 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hashed = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    cut = _documents(spark, sf_dir).select("doc_id", "text", hashed.alias("h"), F.expr(r"regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+', 0)").alias("w"))
+    # Of a tenth of the texts the words from a on become copies of p of them.
+    tail = cut.withColumn("n", F.size("w")).selectExpr("*", "h div 10 % n AS a", "h div 10 % 8 + 3 AS parts").selectExpr("*", "1 + (n - a) div parts AS p")
+    text = "IF(h % 10 = 0 AND n > 0, array_join(transform(w, (x, i) -> IF(i < a, x, w[CAST(a + (i - a) % p AS INT)])), ' '), text) AS text"
+    found = periodic.periodic_runs(tail.selectExpr("doc_id", text), ["doc_id"])
+    first = "CASE WHEN {0} < {1} THEN -1 WHEN {0} > {1} THEN 1 ELSE 0 END"
+    order = "CASE WHEN r.length * s.period <> s.length * r.period THEN " + first.format("s.length * r.period", "r.length * s.period")
+    order += " WHEN r.start <> s.start THEN " + first.format("r.start", "s.start") + " ELSE " + first.format("r.period", "s.period") + " END"
+    return found.withColumn("best", F.expr(f"try_element_at(array_sort(runs, (r, s) -> {order}), 1)")).select(
+        "row.doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("best.length * 1000 div best.period").alias("exponent_milli"),
+        F.sha2(F.expr(r"array_join(transform(runs, r -> concat(concat_ws(',', r.start, r.length, r.period), '\n')), '')").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_ngram_jaccard": op1_ngram_jaccard,
@@ -116,6 +138,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_language_id": op8_language_id,
         "op9_byte_bpe": op9_byte_bpe,
         "op10_quality_rules": op10_quality_rules,
+        "op13_periodic_runs": op13_periodic_runs,
     }
 
 
