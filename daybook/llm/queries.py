@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.llm import bpe, decontamination, language, licenses, ngram_join, periodic, pii, quality, sharding, token_counts, warc
+from daybook.llm import bpe, decontamination, language, licenses, ngram_join, periodic, pieces, pii, quality, sharding, token_counts, warc
 from daybook.llm.oracle import ORACLES
 from daybook.session import scratch_path
 
@@ -104,6 +104,17 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    decoded = pieces.decode(pieces.encode(_documents(spark, sf_dir), path, ["doc_id"]), path)
+    return decoded.select(
+        "row.doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     hashed = F.crc32(F.col("doc_id").cast("string").cast("binary"))
     cut = _documents(spark, sf_dir).select("doc_id", "text", hashed.alias("h"), F.expr(r"regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+', 0)").alias("w"))
@@ -138,6 +149,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_language_id": op8_language_id,
         "op9_byte_bpe": op9_byte_bpe,
         "op10_quality_rules": op10_quality_rules,
+        "op11_sentencepiece": op11_sentencepiece,
         "op13_periodic_runs": op13_periodic_runs,
     }
 
