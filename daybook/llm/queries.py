@@ -106,7 +106,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("piece_bpe_32k.model")
-    decoded = pieces.decode(pieces.encode(_documents(spark, sf_dir), path, ["doc_id"]), path)
+    decoded = pieces.decode(pieces.encode(_documents(spark, sf_dir), path, ["doc_id"], check=pieces.SPANS), path)
     return decoded.select(
         "row.doc_id",
         F.size("ids").cast("long").alias("n_tokens"),

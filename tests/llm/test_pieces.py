@@ -73,6 +73,8 @@ def test_ids_and_texts_equal_the_library(kind, tmp_path):
         theirs = model.library.encode(given, add_eos=end)
         for k, (a, b) in enumerate(zip(offsets[:-1], offsets[1:], strict=True)):
             assert ids[a:b].tolist() == theirs[k], given[k][:80]
+        again, _ = model.encode(given[::-1], end)  # from the memo
+        assert again.tolist() == [k for x in theirs[::-1] for k in x]
         assert model.decode(ids, offsets) == model.library.decode(theirs)
 
 
@@ -112,11 +114,27 @@ def test_operator_edges_and_round_trip(documents):
     assert pieces.decode(encoded.selectExpr("row", "CAST(NULL AS array<int>) AS ids").limit(2), PUBLIC).collect()[0].decoded == ""
 
 
-def test_a_difference_from_the_library_is_an_error():
+def test_short_agendas_equal_the_heap():
     model = pieces.Model(PUBLIC)
-    model.own = {**model.own, "▁the": model.own["▁a"]}
-    batch = pa.RecordBatch.from_pydict({"row": [{"doc_id": 1}], "text": ["the"]})
-    run = lambda check: list(pieces._encoding(SimpleNamespace(value=model), True, check)([batch]))
-    assert run(False)[0].num_rows == 1
-    with pytest.raises(AssertionError, match="differ from the library"):
-        run(True)
+    spans = list(dict.fromkeys(s for t in texts(2000, seed=9) for s in model._spans(t) if 0 < len(s) <= 32))
+    flat, size = model.short_agendas(spans, 32)
+    assert [x.tolist() for x in np.split(flat, np.cumsum(size)[:-1])] == [model.agenda(s) for s in spans]
+
+
+def test_a_difference_from_the_library_is_an_error():
+    batch = pa.RecordBatch.from_pydict({"row": [{"doc_id": 1}], "text": ["of the thing"]})
+    for check in ("", pieces.SPANS, pieces.TEXTS):
+        model = pieces.Model(PUBLIC)
+        model.pair_whole[model.pair_whole == model.own["▁the"]] = model.own["▁a"]
+        run = lambda: list(pieces._encoding(SimpleNamespace(value=model), True, check)([batch]))  # noqa: B023, E731
+        if check:
+            with pytest.raises(AssertionError, match="differ from the library"):
+                run()
+        else:
+            assert run()[0].num_rows == 1
+
+
+def test_spans_can_only_be_checked_where_they_are_texts(tmp_path):
+    model = pieces.Model(small_model(tmp_path / "m.model", prefix=0))
+    with pytest.raises(ValueError, match="whole texts"):
+        model.encode(["the thing"], True, pieces.SPANS)
