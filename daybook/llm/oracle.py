@@ -29,6 +29,28 @@ SELECT sets.doc_id, len(s) AS n_shingles, least(sets.doc_id, coalesce(m.r, sets.
 FROM sets LEFT JOIN (SELECT d, min(r) AS r FROM reach GROUP BY d) m ON m.d = sets.doc_id
 """
 
+_OP12 = """
+WITH sound AS MATERIALIZED (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), row AS (
+  SELECT DISTINCT * FROM sound
+), pair AS MATERIALIZED (
+  SELECT a.vec_id AS anchor_id, a.label = b.label AS same, b.vec_id, CAST(list_inner_product(CAST(a.v AS DOUBLE[]), CAST(b.v AS DOUBLE[])) AS BIGINT) AS score
+  FROM row a JOIN row b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id
+), positive AS (
+  SELECT anchor_id, vec_id, score FROM pair WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT p.anchor_id, p.vec_id AS positive_id, CAST(row_number() OVER (PARTITION BY p.anchor_id, p.vec_id ORDER BY n.score DESC, n.vec_id) AS INTEGER) AS rank,
+       n.vec_id AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM positive p JOIN pair n ON n.anchor_id = p.anchor_id AND NOT n.same AND 80 * p.score <= 100 * n.score AND 100 * n.score <= 100 * p.score
+QUALIFY rank <= 5
+"""
+
 _OP13 = r"""
 WITH hashed AS (
   SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
@@ -70,5 +92,6 @@ FROM text LEFT JOIN best USING (doc_id) LEFT JOIN listed USING (doc_id) LEFT JOI
 
 ORACLES: dict[str, str] = {
     "op1_ngram_jaccard": _OP1,
+    "op12_hard_negatives": _OP12,
     "op13_periodic_runs": _OP13,
 }

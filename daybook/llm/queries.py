@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.llm import bpe, decontamination, language, licenses, ngram_join, periodic, pieces, pii, quality, sharding, token_counts, warc
+from daybook.llm import bpe, decontamination, language, licenses, negatives, ngram_join, periodic, pieces, pii, quality, sharding, token_counts, warc
 from daybook.llm.oracle import ORACLES
 from daybook.session import scratch_path
 
@@ -115,6 +115,12 @@ def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    moved = vectors.withColumn("label", F.expr("IF(vec_id % 7 = 0, (label + 1) % 10, label)"))
+    return negatives.hard_negatives(moved, F.col("vec_id") % 100 == 0)
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     hashed = F.crc32(F.col("doc_id").cast("string").cast("binary"))
     cut = _documents(spark, sf_dir).select("doc_id", "text", hashed.alias("h"), F.expr(r"regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+', 0)").alias("w"))
@@ -150,6 +156,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_byte_bpe": op9_byte_bpe,
         "op10_quality_rules": op10_quality_rules,
         "op11_sentencepiece": op11_sentencepiece,
+        "op12_hard_negatives": op12_hard_negatives,
         "op13_periodic_runs": op13_periodic_runs,
     }
 
