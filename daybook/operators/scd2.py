@@ -118,15 +118,27 @@ def scd2_apply(
 
 def _apply_all_versions(hist, snapshot, keys, attrs, batch_date, from_col, null_safe) -> DataFrame:
     cols = history_columns(keys, attrs)
-    cur = scd2_current(hist)
+    changes = all_versions_changes(hist, snapshot, keys, attrs, from_col, null_safe)
+    restamped = all_versions_restamped(hist, changes, keys, batch_date)
+    return restamped.select(*cols).unionByName(all_versions_added(changes, keys, attrs, batch_date, from_col).select(*cols))
+
+
+def all_versions_changes(
+    hist: DataFrame, snapshot: DataFrame, keys: list[str], attrs: list[str], from_col: str | None = None, null_safe: bool = False
+) -> DataFrame:
+    """The snapshot's difference from the current state (with ``from_col`` of the snapshot)."""
     extra = [from_col] if from_col else []
-    d = D.snapshot_diff(cur, snapshot, keys, attrs, null_safe=null_safe, snapshot_extra=extra)
+    return D.snapshot_diff(scd2_current(hist), snapshot, keys, attrs, null_safe=null_safe, snapshot_extra=extra)
+
+
+def all_versions_added(changes: DataFrame, keys: list[str], attrs: list[str], batch_date: DateLike, from_col: str | None = None) -> DataFrame:
+    """The rows that the changes add: new versions and tombstones."""
     batch = date_start(batch_date)
     new_from = as_ntz(F.col(from_col)) if from_col else batch
     change = F.col("change")
     eff_from = F.when(change == D.NEW, new_from).otherwise(batch)
     flg = F.when(change == D.DELETED, F.lit(DELETED)).otherwise(F.lit(LIVE))
-    added = d.select(
+    added = changes.select(
         F.lit(None).cast("long").alias("id"),
         *keys,
         *attrs,
@@ -134,14 +146,14 @@ def _apply_all_versions(hist, snapshot, keys, attrs, batch_date, from_col, null_
         open_until().alias("effective_to"),
         flg.cast("int").alias("deleted_flg"),
     )
-    added = _with_ids(added, keys, attrs)
-    # Every version of an updated or deleted key is closed (``key IN (...)``:
-    # NULL keys never match).
-    hit_keys = d.filter(change.isin(D.UPDATED, D.DELETED)).select(*keys).distinct().withColumn("_hit", F.lit(True))
-    restamped = hist.join(hit_keys, keys, "left").withColumn(
-        "effective_to", F.when(F.col("_hit"), close_ts(batch_date)).otherwise(F.col("effective_to"))
-    )
-    return restamped.select(*cols).unionByName(added.select(*cols))
+    return _with_ids(added, keys, attrs)
+
+
+def all_versions_restamped(hist: DataFrame, changes: DataFrame, keys: list[str], batch_date: DateLike) -> DataFrame:
+    """``hist`` with every version of an updated or deleted key closed (``key IN (...)``: NULL keys never match)."""
+    hit = changes.filter(F.col("change").isin(D.UPDATED, D.DELETED)).select(*keys).distinct().withColumn("_hit", F.lit(True))
+    closed = F.when(F.col("_hit"), close_ts(batch_date)).otherwise(F.col("effective_to"))
+    return hist.join(hit, keys, "left").withColumn("effective_to", closed)
 
 
 def scd2_open_changes(

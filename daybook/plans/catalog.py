@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,6 +47,7 @@ from daybook.operators.scd1 import scd1_upsert
 from daybook.session import scratch_path
 from daybook.schemas import REP_FRAUD_COLS, TRANSACTIONS
 from daybook.plans.daily import StateRoots, run_day_stored
+from daybook.plans.versioned import bank_warehouse, publish_current, run_day_versioned
 from daybook.sources.store import ReportStore
 from daybook.streaming.drops import daily_drop_stream, transaction_file_stream, write_drop
 from daybook.streaming.city_hours import different_cities_from_counts, start_city_counts
@@ -594,6 +595,100 @@ def q_stored_run_av(spark, sf_dir):
     return ReportStore(spark, roots.report).read().select(*REP_FRAUD_COLS)
 
 
+# --- versioned tables (a day is seen in all tables at once) ----------------------------
+def _versioned(spark, sf_dir, name, close=CLOSE_OPEN_ONLY):
+    """A warehouse below a scratch folder, the fixture's dimensions, and feeds by day."""
+    fx = Fixtures(spark, sf_dir)
+    dims = Dimensions(
+        materialize(fx.cards(), "cards"), materialize(fx.accounts(), "accounts"), materialize(fx.clients(), "clients")
+    )
+    feeds = {n: DailyFeeds(fx.transactions(n), fx.terminals(n), fx.blacklist(n)) for n in (1, 2, 3)}
+    return bank_warehouse(spark, _scratch(spark, name), close, buckets=16), dims, feeds
+
+
+@register("versioned_run_failed_then_read", O.daily_report_sql(2))
+def q_versioned_failed(spark, sf_dir):
+    """Two days, then a third that fails at its last write: readers still see the second day's report."""
+    warehouse, dims, feeds = _versioned(spark, sf_dir, "versioned_failed")
+    for n in (1, 2):
+        run_day_versioned(warehouse, feeds[n], dims, batch_date(n))
+    lost = replace(dims, cards=dims.cards.withColumn("account", F.expr("IF(length(card_num) > 0, CAST(raise_error('lost') AS STRING), account)")))
+    try:
+        run_day_versioned(warehouse, feeds[3], lost, batch_date(3))
+    except Exception as error:
+        if "lost" not in str(error):
+            raise
+    return warehouse.read("report").select(*REP_FRAUD_COLS)
+
+
+@register("versioned_run_corrected_transactions", REGISTRY["daily_run_transactions_hist"].sql)
+def q_versioned_corrected(spark, sf_dir):
+    """Day 3 first with another feed, then run again with its own: nothing of the first attempt stays."""
+    warehouse, dims, feeds = _versioned(spark, sf_dir, "versioned_corrected")
+    for n in (1, 2):
+        run_day_versioned(warehouse, feeds[n], dims, batch_date(n))
+    other = feeds[3].transactions.withColumn("transaction_id", F.col("transaction_id") + 10**9)
+    run_day_versioned(warehouse, replace(feeds[3], transactions=other), dims, batch_date(3))
+    run_day_versioned(warehouse, feeds[3], dims, batch_date(3))
+    return warehouse.read("transactions")
+
+
+@register("versioned_run_report_all_versions", O.daily_report_sql(3, "all_versions"))
+def q_versioned_report_av(spark, sf_dir):
+    """Three days in the reference close mode, histories copied on write by bucket."""
+    warehouse, dims, feeds = _versioned(spark, sf_dir, "versioned_report", CLOSE_ALL_VERSIONS)
+    for n in (1, 2, 3):
+        run_day_versioned(warehouse, feeds[n], dims, batch_date(n))
+    return warehouse.read("report").select(*REP_FRAUD_COLS)
+
+
+@register(
+    "versioned_run_terminals_all_versions",
+    O.with_fixtures(*O.history_chain("t", 3, "all_versions"), body=f"select {O.HIST_T_COLS} from h_t3"),
+)
+def q_versioned_terminals_av(spark, sf_dir):
+    """The history of the copy-on-write buckets after three days."""
+    warehouse, dims, feeds = _versioned(spark, sf_dir, "versioned_terminals", CLOSE_ALL_VERSIONS)
+    for n in (1, 2, 3):
+        run_day_versioned(warehouse, feeds[n], dims, batch_date(n))
+    return warehouse.read("terminals").select(*HIST_T)
+
+
+@register(
+    "versioned_run_earlier_terminals",
+    O.with_fixtures(*O.history_chain("t", 2, "open_only"), body=f"select {O.HIST_T_COLS} from h_t2"),
+)
+def q_versioned_earlier(spark, sf_dir):
+    """After three days, the terminals' history as of the second day's version."""
+    warehouse, dims, feeds = _versioned(spark, sf_dir, "versioned_earlier")
+    for n in (1, 2, 3):
+        run_day_versioned(warehouse, feeds[n], dims, batch_date(n))
+    return warehouse.read("terminals", version=2).select(*HIST_T)
+
+
+@register(
+    "versioned_current_views",
+    O.with_fixtures(
+        *O.history_chain("t", 3, "open_only"),
+        *O.history_chain("b", 3, "open_only"),
+        body=f"""select 'terminal' as kind, terminal_id as name, terminal_city as city from ({O.current_sql('t', 3, O.T_COLS)})
+            union all select 'passport', passport, null from ({O.current_sql('b', 3, 'passport')})""",
+    ),
+)
+def q_versioned_views(spark, sf_dir):
+    """The catalog views of the current states, read by another session after three days and a rerun."""
+    warehouse, dims, feeds = _versioned(spark, sf_dir, "versioned_views")
+    prefix = f"daybook_{uuid.uuid4().hex}_"
+    for n in (1, 2, 3, 3):
+        run_day_versioned(warehouse, feeds[n], dims, batch_date(n))
+        publish_current(warehouse, prefix)
+    other = spark.newSession()
+    return other.sql(
+        f"SELECT 'terminal' AS kind, terminal_id AS name, terminal_city AS city FROM {prefix}v_terminals "
+        f"UNION ALL SELECT 'passport', passport, NULL FROM {prefix}v_passport_blacklist"
+    )
+
+
 @register("stream_fraud_different_cities", O.with_fixtures(*SEEN, body=O.cities_sql()))
 def q_stream_cities_rule(spark, sf_dir):
     """The different-cities rule read from the streamed hourly table (= the batch rule)."""

@@ -40,6 +40,9 @@ from daybook.operators.facts import unseen
 from daybook.operators.scd2 import history_columns, scd2_open_changes, snapshot_rejects
 from daybook.schemas import REP_FRAUD
 from daybook.session import scratch_path
+from daybook.sources.files import delete_path, list_names, move_into, read_or_none, write_folder
+from daybook.sources.histories import apply_all_versions
+from daybook.sources.warehouse import Warehouse
 
 
 def materialize(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
@@ -56,45 +59,6 @@ def materialize(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def read_or_none(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame | None:
-    """The table at ``path``, or None if there is no such path; every other error is raised."""
-    fs, where = _hadoop(spark, path)
-    return spark.read.schema(schema).parquet(path) if fs.exists(where) else None
-
-
-def write_folder(rows: DataFrame, path: str) -> None:
-    """Replace one folder by ``rows``, also if there are none."""
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
-
-
-def _hadoop(spark: SparkSession, path: str):
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
-
-
-def delete_path(spark: SparkSession, path: str) -> None:
-    """Remove a table's folder, on whatever file system it is."""
-    fs, where = _hadoop(spark, path)
-    fs.delete(where, True)
-
-
-def list_names(spark: SparkSession, folder: str) -> list[str]:
-    """Names of the visible files and folders right below ``folder``."""
-    fs, where = _hadoop(spark, folder)
-    names = [status.getPath().getName() for status in fs.listStatus(where)]
-    return sorted(n for n in names if not n.startswith(("_", ".")))
-
-
-def move_into(spark: SparkSession, folder: str, names: list[str], target: str) -> None:
-    """Move entries of ``folder`` to the folder ``target`` of the same file system."""
-    fs, _ = _hadoop(spark, folder)
-    path = spark._jvm.org.apache.hadoop.fs.Path
-    fs.mkdirs(path(target))
-    for name in names:
-        if not fs.rename(path(folder, name), path(target, name)):
-            raise OSError(f"could not move {folder}/{name} to {target}")
-
-
 def _log_path(root: str) -> str:
     return f"{root}/_batches"
 
@@ -260,36 +224,27 @@ class HistoryStore:
 
 
 class VersionedHistoryStore:
-    """An SCD2 history in the reference close mode (``all_versions``).
+    """An SCD2 history in the reference close mode (``all_versions``), as versions that share their untouched buckets.
 
-    Closing restamps every version of a touched key, so each batch writes the
-    complete history as ``<root>/batch_date=D/`` (a rerun of D replaces its own
-    version).  A batch applies on top of the newest version before its date;
-    one older than the newest version is refused.
+    Closing restamps every version of a touched key; a batch writes the buckets
+    of such keys again, and its version names the folders of all others as they
+    are (see ``warehouse``).  A rerun of a date builds on the version before it;
+    a date older than the newest version's is refused.
     """
 
-    def __init__(self, spark: SparkSession, root: str, keys: list[str], attrs: list[str], empty: DataFrame):
-        self.spark, self.root, self.keys, self.attrs, self.empty = spark, root, keys, attrs, empty
-
-    def _at(self, d: _dt.date | None) -> DataFrame:
-        cols = history_columns(self.keys, self.attrs)
-        if d is None:
-            return self.empty.select(*cols)
-        return self.spark.read.schema(self.empty.select(*cols).schema).parquet(f"{self.root}/batch_date={d.isoformat()}")
+    def __init__(self, spark: SparkSession, root: str, keys: list[str], attrs: list[str], empty: DataFrame, buckets: int = 16):
+        self.spark, self.root, self.keys, self.attrs = spark, root, keys, attrs
+        schema = empty.select(*history_columns(keys, attrs)).schema
+        self.warehouse = Warehouse(spark, root, {"history": schema}, {"buckets": str(buckets)})
 
     def history(self) -> DataFrame:
-        return self._at(last_batch(self.spark, self.root))
+        return self.warehouse.read("history")
 
     def apply(self, snapshot: DataFrame, batch_date: _dt.date, from_col: str | None = None) -> DataFrame:
         """Apply one snapshot; returns the new full history (read from its version)."""
-        from daybook.constants import CLOSE_ALL_VERSIONS
-        from daybook.operators.scd2 import scd2_apply
-
-        base = self._at(_in_order(self.spark, self.root, batch_date))
-        new = scd2_apply(base, snapshot, self.keys, self.attrs, batch_date, from_col=from_col, close=CLOSE_ALL_VERSIONS)
-        write_folder(new, f"{self.root}/batch_date={batch_date.isoformat()}")
-        _record_batch(self.spark, self.root, batch_date)
-        return self._at(batch_date)
+        with self.warehouse.begin(batch_date) as run:
+            apply_all_versions(run, "history", snapshot, self.keys, self.attrs, from_col)
+        return self.warehouse.read("history", run.manifest.version)
 
     def clear(self) -> None:
         delete_path(self.spark, self.root)
@@ -379,4 +334,7 @@ class ReportStore:
         delete_path(self.spark, self.root)
 
 
-__all__ = ["materialize", "HistoryStore", "FactStore", "ReportStore", "CLOSE_OPEN_ONLY"]
+__all__ = [
+    "CLOSE_OPEN_ONLY", "FactStore", "HistoryStore", "ReportStore", "VersionedHistoryStore",
+    "delete_path", "list_names", "materialize", "move_into", "read_or_none", "write_folder",
+]
