@@ -51,6 +51,8 @@ from daybook.plans.versioned import bank_warehouse, publish_current, run_day_ver
 from daybook.sources.store import ReportStore
 from daybook.streaming.drops import daily_drop_stream, transaction_file_stream, write_drop
 from daybook.streaming.city_hours import different_cities_from_counts, start_city_counts
+from daybook.streaming.arrivals import arrival_stream
+from daybook.streaming.closed_hours import hours_now, reconcile, start_closed_hours
 from daybook.streaming.unseen import start_append_unseen
 
 
@@ -720,6 +722,41 @@ def q_stream_unseen(spark, sf_dir):
     return spark.read.parquet(f"{base}/facts").drop("tx_day")
 
 
+@register("stream_daily_drop_late_file", O.daily_report_sql())
+def q_stream_late(spark, sf_dir):
+    """Three drops over three triggers on versioned tables; a late file of day 1 is set aside, the later days go on."""
+    fx = Fixtures(spark, sf_dir)
+    warehouse, dims, feeds = _versioned(spark, sf_dir, "stream_late")
+    base = _scratch(spark, "stream_late_files")
+    for n in (1, 2, 3):
+        write_drop(f"{base}/in", batch_date(n), feeds[n].transactions, feeds[n].terminals, feeds[n].blacklist, terminals_as_workbook=False)
+        if n == 2:
+            write_delimited(fx.transactions(3), f"{base}/in/transactions_{batch_date(1):%d%m%Y}_late.txt")
+        arrival_stream(warehouse, dims, f"{base}/in", f"{base}/_checkpoint", f"{base}/archive", f"{base}/quarantine").awaitTermination()
+    return warehouse.read("report").select(*REP_FRAUD_COLS)
+
+
+@register("stream_city_count_three_triggers", O.with_fixtures(*SEEN, body=O.CITY_COUNTS))
+def q_stream_three_triggers(spark, sf_dir):
+    """Hours closed by the watermark over three triggers, the last one of late rows, which reconciliation repairs."""
+    fx = Fixtures(spark, sf_dir)
+    base = _scratch(spark, "stream_closed_hours")
+    tx = fx.transactions()
+    first, last = tx.agg(F.min("transaction_date"), F.max("transaction_date")).first()
+    middle = F.lit(first + (last - first) / 2)
+    late = F.coalesce((F.col("transaction_id") % 50 == 0) & (F.col("transaction_date") <= middle), F.lit(False))
+    early = F.coalesce(F.col("transaction_date") <= middle, F.lit(True))
+    for n, some in enumerate((early & ~late, ~early, late), start=1):
+        write_delimited(tx.where(some).coalesce(1), f"{base}/in/transactions_{n:02d}022024.txt")
+    black = fx.blacklist(1).withColumnRenamed("date", "effective_from")
+    holders = materialize(card_holders(fx.cards(), fx.accounts(), fx.clients(), black), "card_holders")
+    stream = transaction_file_stream(spark, f"{base}/in", max_files=1).drop("batch_date")
+    for query in start_closed_hours(stream, holders, materialize(fx.terminals(3), "terminals_current"), f"{base}/hours", f"{base}/_checkpoint"):
+        query.awaitTermination()
+    reconcile(spark, f"{base}/hours")
+    return hours_now(spark, f"{base}/hours").select("passport_num", "hour_group", "count_cities")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: q.build for k, q in REGISTRY.items()}
 

@@ -59,12 +59,19 @@ def bank_warehouse(spark: SparkSession, root: str, close: str = CLOSE_OPEN_ONLY,
 
 
 def run_day_versioned(
-    warehouse: Warehouse, feeds: DailyFeeds, dims: Dimensions, batch_date: _dt.date, initial: bool = False, replace_done: bool = True
+    warehouse: Warehouse,
+    feeds: DailyFeeds,
+    dims: Dimensions,
+    batch_date: _dt.date,
+    initial: bool = False,
+    replace_done: bool = True,
+    files: list[str] | None = None,
 ) -> DataFrame:
     """One day on the warehouse; returns the day's report rows, read from the version that it made.
 
     A finished day is run again on the version before it, or left as it is if
-    ``replace_done`` is false.  A failed day leaves no trace.
+    ``replace_done`` is false.  A failed day leaves no trace.  ``files`` names
+    the files that the feeds are read from; the version keeps them.
     """
     newest = warehouse.manifest()
     day = batch_date.isoformat()
@@ -76,6 +83,7 @@ def run_day_versioned(
             black = blacklist_current(run.read_new("blacklist", _current_parts(run, "blacklist")))
             holders = run.work(card_holders(dims.cards, dims.accounts, dims.clients, black), "card_holders")
             places = terminals_current(run.read_new("terminals", _current_parts(run, "terminals")))
+            run.files = sorted(files or ())
             run.put("report", day, rep_fraud(enrich_transactions(feeds.transactions, holders, places)))
         newest = run.manifest
     return warehouse.read("report", newest.version, [day])

@@ -30,18 +30,19 @@ FEEDS = {
 }
 
 
-def read_feed_files(spark: SparkSession, folder: str, word: str, schema, stamp: str = "") -> DataFrame:
+def read_feed_files(spark: SparkSession, folder: str, word: str, schema, stamp: str = "", names: list[str] | None = None) -> DataFrame:
     """All entries of one feed right below ``folder``: names with ``word`` and ``stamp``.
 
     Workbooks (``*.xlsx`` files) and delimited text (``*.txt`` / ``*.csv``,
     a file or a folder of part files) are both read and unioned.  A feed
     without a file, or text whose header lacks a column, is refused: an empty
-    snapshot would close everything.
+    snapshot would close everything.  ``names``: only these entries, whatever
+    else has come into the folder.
     """
-    names = [n for n in list_names(spark, folder) if word in n and stamp in n]
+    names = [n for n in (list_names(spark, folder) if names is None else names) if word in n and stamp in n]
     parts = []
-    if any(n.endswith(".xlsx") for n in names):
-        parts.append(read_workbooks(spark, folder, schema, glob=f"*{word}*{stamp}*.xlsx"))
+    if books := [n for n in names if n.endswith(".xlsx")]:
+        parts.append(read_workbooks(spark, folder, schema, glob=f"{{{','.join(books)}}}"))
     for name in names:
         if name.endswith((".txt", ".csv")):
             parts.append(read_feed(spark, f"{folder}/{name}", schema, require_columns=True))
@@ -64,12 +65,12 @@ def drop_batch_date(spark: SparkSession, folder: str) -> _dt.date:
     return ds.pop()
 
 
-def read_feeds(spark: SparkSession, folder: str, stamp: str = "") -> DailyFeeds:
-    """The three feeds of a drop, all of them required."""
+def read_feeds(spark: SparkSession, folder: str, stamp: str = "", names: list[str] | None = None) -> DailyFeeds:
+    """The three feeds of a drop, all of them required (``names``: see ``read_feed_files``)."""
     return DailyFeeds(
-        transactions=read_feed_files(spark, folder, FEED_TRANSACTIONS, TRANSACTIONS, stamp),
-        terminals=read_feed_files(spark, folder, FEED_TERMINALS, TERMINALS, stamp),
-        blacklist=read_feed_files(spark, folder, FEED_BLACKLIST, BLACKLIST, stamp),
+        transactions=read_feed_files(spark, folder, FEED_TRANSACTIONS, TRANSACTIONS, stamp, names),
+        terminals=read_feed_files(spark, folder, FEED_TERMINALS, TERMINALS, stamp, names),
+        blacklist=read_feed_files(spark, folder, FEED_BLACKLIST, BLACKLIST, stamp, names),
     )
 
 
