@@ -12,7 +12,7 @@
   n bytes takes O(n log n).
 
 Tasks hold the tables as a broadcast of fixed size (the vocabulary), and
-nothing that grows with the corpus but a bounded memo of merged misses.
+nothing that grows with the corpus but a bounded memo of the pre-tokens met.
 """
 
 from __future__ import annotations
@@ -20,21 +20,22 @@ from __future__ import annotations
 import base64
 from collections.abc import Iterator
 from heapq import heapify, heappop, heappush
-from itertools import chain, count
+from itertools import count, repeat
 
 import numpy as np
 import pyarrow as pa
 import regex
 import xxhash
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-#: Merged misses that a worker remembers; the memo is emptied when full.
-MEMO = 200_000
+from daybook.llm.arrow import by_bytes, text_column, with_text
+
+#: Pre-tokens that a worker remembers; the memo is emptied when full.
+MEMO = 300_000
 #: Displacements tried at once.
 TRIES = 64
-#: Decoded texts are handed on in batches of about this many bytes.
-DECODED_BYTES = 32 << 20
+#: Texts are decoded and handed on in batches of about this many ids.
+DECODED_IDS = 1 << 20
 
 
 class PerfectHash:
@@ -125,47 +126,71 @@ class Encoder:
         self.pattern = pattern
         self.tokens = sorted(self.ranks, key=self.ranks.get)
         self.hash = PerfectHash(self.tokens)
-        self.by_id = {i: t for t, i in self.ranks.items()}
-        self.memo: dict[bytes, list[int]] = {}
-
-    def pieces(self, uniq: list[str]) -> list[list[int]]:
-        """The ids of each of some distinct pre-tokens."""
-        raw = [u.encode() for u in uniq]
-        key = self.hash.keys(np.fromiter(map(xxhash.xxh3_64_intdigest, raw), np.uint64, len(raw))) if raw else []
-        if len(self.memo) > MEMO:
-            self.memo = {}
-        out = []
-        for k, b in zip(key.tolist() if len(raw) else [], raw, strict=True):
-            if k >= 0 and (token := self.tokens[k]) == b:
-                out.append([self.ranks[token]])
+        self.token_ids = np.array([self.ranks[t] for t in self.tokens], np.int32)
+        self.place = np.full(int(self.token_ids.max(initial=0)) + 2, -1, np.int64)  # of an id among the tokens
+        self.place[self.token_ids] = np.arange(len(self.tokens))
+        self.bytes = pa.array(self.tokens, pa.large_binary())
+        self._forget()
+
+    def _forget(self) -> None:
+        """Empties the memo: pre-tokens by number, and the ids of each number."""
+        self.memo: dict[str, int] = {}
+        self.pool, self.pool_end = np.zeros(0, np.int32), np.zeros(1, np.int64)
+
+    def learn(self, new: list[str]) -> None:
+        """Adds some distinct pre-tokens to the memo: whole tokens by the perfect hash, all others by merging."""
+        raw = [u.encode() for u in new]
+        key = self.hash.keys(np.fromiter(map(xxhash.xxh3_64_intdigest, raw), np.uint64, len(raw)))
+        ids: list[int] = []
+        size = []
+        for k, b in zip(key.tolist(), raw, strict=True):
+            if k >= 0 and self.tokens[k] == b:
+                ids.append(int(self.token_ids[k]))
+                size.append(1)
             else:
-                if (ids := self.memo.get(b)) is None:
-                    ids = merge_bytes(b, self.ranks)
-                    if len(b) <= 64:
-                        self.memo[b] = ids
-                out.append(ids)
-        return out
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
+                ids += (merged := merge_bytes(b, self.ranks))
+                size.append(len(merged))
+        self.memo.update(zip(new, range(len(self.memo), len(self.memo) + len(new)), strict=True))
+        self.pool = np.concatenate([self.pool, np.array(ids, np.int32)])
+        self.pool_end = np.concatenate([self.pool_end, self.pool_end[-1] + np.cumsum(size)])
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, offsets of each text's)."""
+        if len(self.memo) > MEMO or len(self.pool) > 16 * MEMO:
+            self._forget()
         cut = regex.compile(self.pattern).findall
-        parts = [cut(t) for t in texts]
-        uniq = list(dict.fromkeys(chain.from_iterable(parts)))
-        ids = dict(zip(uniq, self.pieces(uniq), strict=True))
-        return [np.fromiter(chain.from_iterable(map(ids.__getitem__, p)), np.int32) for p in parts]
-
-    def decode(self, ids: np.ndarray) -> bytes:
-        return b"".join(map(self.by_id.__getitem__, ids.tolist()))
-
-
-def _encoding(coder, rows: int):
+        parts: list[str] = []
+        last = [0]
+        for t in texts:
+            parts += cut(t)
+            last.append(len(parts))
+        which = np.fromiter(map(self.memo.get, parts, repeat(-1)), np.int64, len(parts))
+        if len(missed := np.flatnonzero(which < 0)):
+            again = [parts[i] for i in missed.tolist()]
+            self.learn(list(dict.fromkeys(again)))
+            which[missed] = np.fromiter(map(self.memo.__getitem__, again), np.int64, len(again))
+        start = self.pool_end[which]
+        size = self.pool_end[which + 1] - start
+        stop = np.concatenate([[0], np.cumsum(size)])
+        return self.pool[np.repeat(start - stop[:-1], size) + np.arange(stop[-1])], stop[last]
+
+    def decode(self, ids: np.ndarray) -> tuple[np.ndarray, bytes]:
+        """(offsets of each id's bytes, the bytes); an unknown id is an error."""
+        if not len(ids):
+            return np.zeros(1, np.int64), b""
+        if not (0 <= ids.min() and ids.max() < len(self.place) and (place := self.place[ids]).min() >= 0):
+            raise KeyError("an id that is not in the vocabulary")
+        taken = self.bytes.take(pa.array(place))
+        _, offsets, data = taken.buffers()
+        return np.frombuffer(offsets, np.int64)[taken.offset : taken.offset + len(ids) + 1], data
+
+
+def _encoding(coder):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for i in range(0, whole.num_rows, rows):
-                batch = whole.slice(i, rows)
-                ids = coder.value.encode([t or "" for t in batch.column("text").to_pylist()])
-                offsets = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
-                flat = np.concatenate(ids) if ids else np.zeros(0, np.int32)
-                column = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, pa.int32()))
+            for batch in by_bytes(whole):
+                ids, offsets = coder.value.encode([t or "" for t in text_column(batch).to_pylist()])
+                column = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids))
                 yield pa.RecordBatch.from_arrays([batch.column("row"), column], ["row", "ids"])
 
     return run
@@ -173,32 +198,32 @@ def _encoding(coder, rows: int):
 
 def _decoding(coder):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids = batch.column("ids").cast(pa.large_list(pa.int32()))
-            flat, off = ids.values.to_numpy(), ids.offsets.to_numpy()
-            decoded, first, held = [], 0, 0
-            for i in range(batch.num_rows):
-                decoded.append(coder.value.decode(flat[off[i] : off[i + 1]]))
-                held += len(decoded[-1])
-                if held >= DECODED_BYTES or i == batch.num_rows - 1:
-                    part = batch.slice(first, i + 1 - first)
-                    yield pa.RecordBatch.from_arrays([part.column("row"), part.column("ids"), pa.array(decoded, pa.binary())], ["row", "ids", "decoded"])
-                    decoded, first, held = [], i + 1, 0
+        for whole in batches:
+            lists = whole.column("ids").fill_null([]).cast(pa.large_list(pa.int32()))
+            bound = lists.offsets.to_numpy()
+            first = 0
+            while first < whole.num_rows:
+                last = max(first + 1, int(np.searchsorted(bound, bound[first] + DECODED_IDS, "right")) - 1)
+                part, own = whole.slice(first, last - first), bound[first : last + 1]
+                at, data = coder.value.decode(lists.values.to_numpy(zero_copy_only=False)[own[0] : own[-1]])
+                size = at[own - own[0]]
+                decoded = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(part), [None, pa.py_buffer(size.tobytes()), pa.py_buffer(data)])
+                yield pa.RecordBatch.from_arrays([part.column("row"), part.column("ids"), decoded.cast(pa.binary())], ["row", "ids", "decoded"])
+                first = last
 
     return run
 
 
-def encode(docs: DataFrame, path: str, pattern: str, carry: list[str] | None = None, rows: int = 1000) -> DataFrame:
+def encode(docs: DataFrame, path: str, pattern: str, carry: list[str] | None = None) -> DataFrame:
     """``row`` (a struct of the ``carry`` columns, all by default) and ``ids`` (array<int>) of every whole text.
 
     Each match of ``pattern`` is encoded by itself and without special tokens;
     a null text counts as empty and has no ids.  Repeated rows are encoded
     each time.
     """
-    whole = F.struct(*(docs[c] for c in (docs.columns if carry is None else carry)))
-    given = docs.select(whole.alias("row"), "text")
+    given = with_text(docs, carry)
     coder = docs.sparkSession.sparkContext.broadcast(Encoder(path, pattern))
-    return given.mapInArrow(_encoding(coder, rows), f"row {given.schema['row'].dataType.simpleString()}, ids array<int>")
+    return given.mapInArrow(_encoding(coder), f"row {given.schema['row'].dataType.simpleString()}, ids array<int>")
 
 
 def decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:

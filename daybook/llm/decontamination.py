@@ -32,6 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from daybook.llm.arrow import text_column, with_text
 from daybook.llm.words import U64, Words, blocks, mix, scan_words, string_buffers
 from daybook.sources.store import materialize
 
@@ -42,6 +43,8 @@ COMMON = 0.1
 HOT = 0.5
 #: Words of a run that makes a candidate by itself; bits of the table that most other runs don't pass.
 RUN, SIEVE = 8, 22
+#: An item's words are marked by so many leading bits of their hashes.
+MARKS = 12
 #: Least part of a window's weight in the benchmark's terms, and least cosine of a candidate.
 GATE, COSINE = 0.35, 0.4
 #: Least part of an item in the common subsequence; the same for a paraphrase whose answer is there; least part of the answer.
@@ -56,7 +59,7 @@ def _terms(words: Words) -> np.ndarray:
 
 
 def _scanned(batch: pa.RecordBatch) -> Iterator[tuple[int, int, Words]]:
-    data, offsets = string_buffers(batch.column("text"))
+    data, offsets = string_buffers(text_column(batch))
     with np.errstate(over="ignore"):
         for i, j, raw, off in blocks(data, offsets):
             yield i, j, scan_words(raw, off)
@@ -263,6 +266,24 @@ def _places(words: Words, hot: list[tuple[int, np.ndarray, int]]) -> Iterator[tu
             yield int(words.text[a]), item, a
 
 
+def _enough(words: Words, start: np.ndarray, item: np.ndarray, marks: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Whether the words around each start that are marked as the item's suffice for a common subsequence of ``PART`` of it.
+
+    A mark is shared by words of the same leading hash bits, so the number can only be too large.
+    """
+    n, text = size[item], words.text[start]
+    a, b = np.maximum(words.first[text], start - n // 2), np.minimum(words.first[text + 1], start + n + n // 2)
+    slot = (words.hash >> U64(64 - MARKS)).astype(np.int64)
+    enough = np.zeros(len(start), bool)
+    for i in range(0, len(start), 8192):
+        low, long, which = a[i : i + 8192], (b - a)[i : i + 8192], item[i : i + 8192]
+        first = np.cumsum(long) - long
+        at = np.arange(long.sum()) + np.repeat(low - first, long)
+        there = np.add.reduceat(marks[np.repeat(which, long), slot[at]], first, dtype=np.int64)
+        enough[i : i + 8192] = there >= PART * n[i : i + 8192]
+    return enough
+
+
 def _unit(v: np.ndarray) -> np.ndarray:
     return v / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-12)
 
@@ -270,7 +291,7 @@ def _unit(v: np.ndarray) -> np.ndarray:
 def _searching(held):
     def candidates(words: Words, tables) -> Iterator[tuple[int, int, int, float]]:
         """(text, item index, window start, cosine)."""
-        place, weight, latent, vectors, by_length = tables
+        place, weight, latent, vectors, by_length, marks, size = tables
         term = _terms(words)
         w = weight[term]
         known = np.where(place[term] >= 0, w, 0.0)
@@ -290,12 +311,14 @@ def _searching(held):
                 np.cumsum(latent[place[term[at]]] * known[at, None], 0, out=sums[1:])
                 v = sums[np.searchsorted(at, e)] - sums[np.searchsorted(at, s)]
                 cosine = _unit(v).astype(np.float32) @ vectors[some].T.astype(np.float32)
-                for i, j in zip(*np.nonzero(cosine >= COSINE), strict=True):
+                i, j = np.nonzero(cosine >= COSINE)
+                may = _enough(words, s[i], some[j], marks, size)
+                for i, j in zip(i[may].tolist(), j[may].tolist(), strict=True):
                     yield int(words.text[s[i]]), int(some[j]), int(s[i]), float(cosine[i, j])
 
     def alike(words: Words, tables, item: int, start: int, end: int) -> float:
         """The cosine of an item with the words from start to end."""
-        place, weight, latent, vectors, _ = tables
+        place, weight, latent, vectors, *_ = tables
         term = _terms(words)[max(start, 0) : end]
         term = term[place[term] >= 0]
         return float(_unit((latent[place[term]] * weight[term, None]).sum(0)[None])[0] @ vectors[item])
@@ -358,7 +381,11 @@ def _block(docs: DataFrame, given: DataFrame, weights: tuple[np.ndarray, np.ndar
         t = (item.words >> U64(48)).astype(np.int64)
         vectors[i] = (latent[place[t]] * weight[t, None]).sum(0)
         by_length.setdefault(max((x for x in LENGTHS if x <= len(item.words)), default=LENGTHS[0]), []).append(i)
-    tables = (wanted, runs(wanted), hot, place, weight, latent, _unit(vectors), {n: np.array(x) for n, x in by_length.items()})
+    marks = np.zeros((len(wanted), 1 << MARKS), bool)
+    for i, item in enumerate(wanted):
+        marks[i, (item.words >> U64(64 - MARKS)).astype(np.int64)] = True
+    size = np.array([len(i.words) for i in wanted], np.int64)
+    tables = (wanted, runs(wanted), hot, place, weight, latent, _unit(vectors), {n: np.array(x) for n, x in by_length.items()}, marks, size)
     return given.mapInArrow(_searching(context.broadcast(tables)), f"row {given.schema['row'].dataType.simpleString()}, hits {_HIT}")
 
 
@@ -371,17 +398,17 @@ def find_benchmark(docs: DataFrame, benchmark: DataFrame, carry: list[str] | Non
     texts have no hits, null and empty items are never found, repeated rows are
     searched each time; without items nothing is found.
     """
-    whole = F.struct(*(docs[c] for c in (docs.columns if carry is None else carry)))
-    given = docs.select(whole.alias("row"), "text")
+    given = with_text(docs, carry)
+    beside = [c for c in given.columns if c == "text"]
     asked = benchmark.where("text IS NOT NULL").select(F.col("item_id").cast("long").alias("item_id"), "text")
     n = max(1, -(-asked.count() // BLOCK_ITEMS))
     weights = None
-    # the texts stay beside the hits of the blocks so far
+    # the texts stay with the hits of the blocks so far
     found = given.withColumn("hits", F.expr(f"CAST(array() AS {_HIT})"))
     for b in range(n):
         wanted = items(asked.where(F.expr(f"pmod(xxhash64(item_id, text), {n}) = {b}")).orderBy("item_id", "text").collect())
         if wanted:
             weights = term_weights(docs) if weights is None else weights
-            searched = _block(docs, found.select(F.struct("row", "text", "hits").alias("row"), "text"), weights, wanted)
-            found = searched.select("row.row", "row.text", F.concat("row.hits", "hits").alias("hits"))
+            searched = _block(docs, found.select(F.struct("row", *beside, "hits").alias("row")), weights, wanted)
+            found = searched.select("row.row", *(F.col("row")[c].alias(c) for c in beside), F.concat("row.hits", "hits").alias("hits"))
     return found.select("row", "hits")

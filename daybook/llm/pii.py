@@ -23,6 +23,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from daybook.llm.arrow import by_bytes, text_column
+from daybook.llm.arrow import with_text as rows_with_text
+
 KINDS = ["email", "ip", "card", "phone"]
 OTHER = len(KINDS)
 #: Bound of the training sample (distinct texts of smallest hash among those with a digit or an at sign).
@@ -33,7 +36,6 @@ DAMPING, LEAST = 0.3, 0.5
 REST, ROUNDS = 1e-4, 1000
 #: Agreement and chain potentials stay within these bounds.
 MOST_SKIP, MOST_CHAIN = 8.0, 2.0
-ROWS = 500
 
 _IP = re.compile(r"(?<![0-9])[0-9]++(\.[0-9]++)(\.[0-9]++)(\.[0-9]++)")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
@@ -264,9 +266,8 @@ def _finding(held, with_text: bool):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for i in range(0, whole.num_rows, ROWS):
-                batch = whole.slice(i, ROWS)
-                texts = batch.column("text").to_pylist()
+            for batch in by_bytes(whole):
+                texts = text_column(batch).to_pylist()
                 found = spans([t or "" for t in texts], held.value)
                 columns = [batch.column("row"), pa.array(found, kind)]
                 if with_text:
@@ -283,8 +284,7 @@ def find_pii(docs: DataFrame, f: Field, carry: list[str] | None = None, with_tex
     spans (a null stays null when redacted); repeated rows are searched each
     time.
     """
-    whole = F.struct(*(docs[c] for c in (docs.columns if carry is None else carry)))
-    given = docs.select(whole.alias("row"), "text")
+    given = rows_with_text(docs, carry)
     held = docs.sparkSession.sparkContext.broadcast(f)
     schema = f"row {given.schema['row'].dataType.simpleString()}, spans {_SPAN}" + ", redacted string" * with_text
     return given.mapInArrow(_finding(held, with_text), schema)

@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from daybook.llm.arrow import text_column, with_text
 from daybook.llm.words import U64, Hasher, blocks, gram_hashes, mix, scan_words, string_buffers
 from daybook.sources.store import materialize
 
@@ -94,7 +95,7 @@ def measure(col: pa.Array) -> dict[str, np.ndarray]:
 
 def _measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        found = measure(batch.column("text"))
+        found = measure(text_column(batch))
         arrays = [pa.array(found[m].astype(np.int64)) for m in MEASURES]
         kept = [c for c in batch.schema.names if c != "text"]
         yield pa.RecordBatch.from_arrays([batch.column(c) for c in kept] + arrays, kept + MEASURES)
@@ -152,8 +153,7 @@ def quality_rules(docs: DataFrame, carry: list[str] | None = None) -> DataFrame:
     zero words and fails; null languages and sources are groups of their own;
     a repeated row counts and is judged each time.
     """
-    whole = F.struct(*(docs[c] for c in (docs.columns if carry is None else carry)))
-    given = docs.select(whole.alias("row"), F.col("text"), F.col("lang").cast("string").alias("lang"), F.col("source").cast("string").alias("source"))
+    given = with_text(docs, carry, lang=docs["lang"].cast("string"), source=docs["source"].cast("string"))
     schema = f"row {given.schema['row'].dataType.simpleString()}, lang string, source string, " + ", ".join(f"{m} long" for m in MEASURES)
     measured = materialize(given.mapInArrow(_measured, schema), "quality/measured")
     limits = materialize(fences(sketches(measured)), "quality/fences")
