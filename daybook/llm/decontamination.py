@@ -69,7 +69,10 @@ def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     n = np.zeros(BUCKETS, np.int64)
     for batch in batches:
         for _, _, words in _scanned(batch):
-            n += np.bincount(np.unique(words.text * BUCKETS + _terms(words)) % BUCKETS, minlength=BUCKETS)
+            each = words.text * BUCKETS + _terms(words)
+            if len(words.first) * BUCKETS < 1 << 31:
+                each = each.astype(np.int32)  # sorted faster
+            n += np.bincount(np.unique(each) % BUCKETS, minlength=BUCKETS)
     at = np.flatnonzero(n)
     yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(n[at])], ["term", "n"])
 
@@ -298,17 +301,18 @@ def _searching(held):
         total, shared = np.concatenate([[0], np.cumsum(w)]), np.concatenate([[0], np.cumsum(known)])
         index = np.arange(len(term)) - words.first[words.text]
         last = words.first[words.text + 1]
+        at, sums = np.flatnonzero(known > 0), None
         for length, some in by_length.items():
             start = np.flatnonzero(index % max(1, length // 4) == 0)
             end = np.minimum(start + length, last[start])
             mass = shared[end] - shared[start]
             open_ = (mass > 0) & (mass >= GATE * (total[end] - total[start]))
             start, end = start[open_], end[open_]
-            for a in range(0, len(start), 8192):
-                s, e = start[a : a + 8192], end[a : a + 8192]
-                at = np.flatnonzero(known[s[0] : e.max()] > 0) + s[0]
+            if sums is None and len(start):  # of the words so far, for windows of every length
                 sums = np.zeros((len(at) + 1, latent.shape[1]))
                 np.cumsum(latent[place[term[at]]] * known[at, None], 0, out=sums[1:])
+            for a in range(0, len(start), 8192):
+                s, e = start[a : a + 8192], end[a : a + 8192]
                 v = sums[np.searchsorted(at, e)] - sums[np.searchsorted(at, s)]
                 cosine = _unit(v).astype(np.float32) @ vectors[some].T.astype(np.float32)
                 i, j = np.nonzero(cosine >= COSINE)
