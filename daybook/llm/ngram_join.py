@@ -29,16 +29,19 @@ one-deletion neighbourhoods where v_i = 1, misses no link.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from daybook.llm.arrow import by_bytes
 from daybook.llm.components import connected_components
 from daybook.llm.words import U64, mix, shingle_sets
-from daybook.sources.store import materialize
+from daybook.session import scratch_path
+from daybook.sources.store import delete_path, materialize
 
 PROBE, INDEX = 1, 2
 #: What is left open is paired at once if that makes at most this many pairs for each listed row; else another star comes first.
@@ -128,18 +131,20 @@ def signatures(shingles: np.ndarray, bands: Bands) -> tuple[np.ndarray, int, int
 
 
 def parity(shingles: np.ndarray) -> bytes:
-    """Bitmap of shingle parities; its width depends on the power of two at or above the set's size."""
-    bits = max(64, 1 << max(0, int(len(shingles) - 1)).bit_length())
+    """Bitmap of shingle parities, four to eight bits for each shingle (a power of two), so that few differences meet."""
+    bits = max(64, 4 << max(0, int(len(shingles) - 1)).bit_length())
     at = np.bincount((mix(shingles ^ U64(0x2545F4914F6CDD1D)) >> U64(20)).astype(np.int64) & (bits - 1), minlength=bits) & 1
     return np.packbits(at.astype(np.uint8)).tobytes()
 
 
 def _describe(k: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bands = Bands(percent)
-        for batch in batches:
+        bands, last = Bands(percent), None
+        for whole, batch in ((whole, part) for whole in batches for part in by_bytes(whole)):
             node, size, bitmap, keys, both, index = [], [], [], [], [], []
-            seen: set[int] = set()
+            if whole is not last:
+                seen: set[int] = set()
+                last = whole
             for x in shingle_sets(batch.column("text"), k):
                 if not len(x):
                     node.append(None), size.append(0), bitmap.append(None), keys.append(None), both.append(0), index.append(0)
@@ -231,23 +236,44 @@ def _near(percent: int):
     return run
 
 
-def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, percent: int, k: int) -> DataFrame:
+class _Tables:
+    """The working tables of one join, written below one folder that goes at its end."""
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark, self.root, self.n = spark, scratch_path(spark, f"daybook/jaccard/{uuid.uuid4().hex}"), 0
+
+    def write(self, rows: DataFrame, name: str) -> DataFrame:
+        self.n += 1
+        return materialize(rows, name, f"{self.root}/{self.n:03d}_{name}")
+
+    def drop(self, name: str) -> None:
+        for n in range(1, self.n + 1):
+            delete_path(self.spark, f"{self.root}/{n:03d}_{name}")
+
+    def drop_all(self) -> None:
+        delete_path(self.spark, self.root)
+
+
+def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, percent: int, k: int, tables: _Tables) -> DataFrame:
     """The pairs (a, b), each of nodes with their sizes, that truly link."""
     sized = pairs.where(f"100 * least(a_size, b_size) >= {percent} * greatest(a_size, b_size)")
-    sized = sized.selectExpr("least(a, b) AS a", "greatest(a, b) AS b").where("a <> b").distinct()
+    # Written, so that the planner knows their size: few pairs are broadcast, and the bitmaps stay where they are.
+    sized = tables.write(sized.selectExpr("least(a, b) AS a", "greatest(a, b) AS b").where("a <> b").distinct(), "pairs")
     side = [
         nodes.selectExpr(f"node AS {s}", f"n_shingles AS {s}n", f"bitmap AS {s}m", f"rep.doc_id AS {s}_doc", f"rep.text_hash AS {s}_hash")
         for s in "ab"
     ]
     ends = "a long, b long, a_doc long, a_hash long, b_doc long, b_hash long"
     near = sized.join(side[0], "a").join(side[1], "b").select("a", "b", "an", "am", "bn", "bm", "a_doc", "a_hash", "b_doc", "b_hash")
-    near = materialize(near.mapInArrow(_near(percent), ends), "jaccard/near")
+    near = tables.write(near.mapInArrow(_near(percent), ends), "near")
     wanted = near.selectExpr("a AS node", "a_doc AS d", "a_hash AS h").union(near.select("b", "b_doc", "b_hash")).distinct()
     texts = docs.join(wanted, docs["doc_id"].eqNullSafe(wanted["d"]) & (docs["text_hash"] == wanted["h"])).select("node", "text")
-    texts = materialize(texts.dropDuplicates(["node"]), "jaccard/texts")
+    texts = tables.write(texts.dropDuplicates(["node"]), "texts")
     both = near.join(texts.toDF("a", "a_text"), "a").join(texts.toDF("b", "b_text"), "b")
     links = both.select("a", "b", "a_text", "b_text").mapInArrow(_close(percent, k), "a long, b long")
-    return materialize(links, "jaccard/links")
+    links = tables.write(links, "links")
+    tables.drop("texts")
+    return links
 
 
 def _pairs(rows: DataFrame, a: str, b: str) -> DataFrame:
@@ -255,7 +281,7 @@ def _pairs(rows: DataFrame, a: str, b: str) -> DataFrame:
     return rows.selectExpr(f"{a} AS a", f"{name[a]} AS a_size", f"{b} AS b", f"{name[b]} AS b_size")
 
 
-def _across(members: DataFrame, roots: DataFrame) -> DataFrame:
+def _across(members: DataFrame, roots: DataFrame, tables: _Tables) -> DataFrame:
     """Members of lists that still hold several components, with their component (root); big: it is the list's largest.
 
     Lists without a probe, and those of two members, which their star has settled, are left out.
@@ -265,8 +291,8 @@ def _across(members: DataFrame, roots: DataFrame) -> DataFrame:
     lists = counts.groupBy("key").agg(
         F.max(F.struct("n", "root")).alias("top"), F.sum("n").alias("all"), F.count("*").alias("roots"), F.max("p").alias("p")
     )
-    open_lists = lists.where("roots > 1 AND all > 2 AND p > 0").selectExpr("key", "top.root AS top", "all")
-    return materialize(named.join(open_lists, "key").withColumn("big", F.expr("root = top")), "jaccard/open")
+    open_lists = tables.write(lists.where("roots > 1 AND all > 2 AND p > 0").selectExpr("key", "top.root AS top", "all"), "lists")
+    return tables.write(named.join(open_lists, "key").withColumn("big", F.expr("root = top")), "open")
 
 
 def _tiles(left: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -336,22 +362,21 @@ def jaccard_classes(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFrame
     its own.  A repeated row is a copy like any other; a null doc_id takes
     part, and names a component only if it holds no other id.
     """
+    tables = _Tables(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("text_hash", F.xxhash64("text"))
-    described = materialize(docs.mapInArrow(
-            _describe(k, percent),
-            "doc_id long, text_hash long, node long, n_shingles long, bitmap binary, keys array<long>, n_both int, n_index int",
-        ),
-        "jaccard/sets",
-    )
-    first = described.where("bitmap IS NOT NULL").groupBy("node", "n_shingles")
-    nodes = materialize(first.agg(F.min(F.struct("doc_id", "text_hash")).alias("rep"), F.max("bitmap").alias("bitmap")), "jaccard/nodes"
-    )
+    sets = "doc_id long, text_hash long, node long, n_shingles long, bitmap binary, keys array<long>, n_both int, n_index int"
+    described = tables.write(docs.mapInArrow(_describe(k, percent), sets), "sets")
+    first = described.where("node IS NOT NULL").groupBy("node", "n_shingles")
+    rep = F.min(F.when(F.col("bitmap").isNotNull(), F.struct("doc_id", "text_hash"))).alias("rep")
+    nodes = tables.write(first.agg(rep, F.max("bitmap").alias("bitmap"), F.min("doc_id").alias("least_id")), "nodes")
     keys = described.where("size(keys) > 0").select("node", "n_shingles", "n_both", "n_index", F.posexplode("keys").alias("at", "key"))
     role = f"CASE WHEN at < n_both THEN {PROBE | INDEX} WHEN at < n_index THEN {INDEX} ELSE {PROBE} END"
     listed = keys.selectExpr("key", "node", "n_shingles AS size", f"{role} AS role").repartition("key").sortWithinPartitions("key", "node")
-    stars = materialize(listed.mapInArrow(_stars, _STAR), "jaccard/stars")
+    stars = tables.write(listed.mapInArrow(_stars, _STAR), "stars")
+    known = tables.write(described.select("doc_id", "node", "n_shingles"), "known")
+    tables.drop("sets")  # the keys are most of what has been written
 
-    links = _verified(_pairs(stars, "center", "node"), nodes, docs, percent, k)
+    links = _verified(_pairs(stars, "center", "node"), nodes, docs, percent, k, tables)
     roots = connected_components(links)
     members = (
         stars.select("key", "node", "size", "role")
@@ -361,7 +386,8 @@ def jaccard_classes(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFrame
     )
     listed_rows, before = stars.count(), None
     for turn in range(MAX_STARS + 1):
-        left = _across(members, roots)
+        left = _across(members, roots, tables)
+        members = left.select("key", "node", "size", "role")  # a list that is settled stays so
         few, pairs = left.where("NOT big").agg(F.count("*"), F.sum("all")).first()
         if not few:
             break
@@ -372,12 +398,16 @@ def jaccard_classes(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFrame
         else:  # another member of the largest component as the center
             center = left.where("big").groupBy("key").agg(F.min(F.struct(F.xxhash64("node", F.lit(turn)), "node", "size")).alias("c"))
             pairs = left.where("NOT big").join(center, "key").selectExpr("c.node AS a", "c.size AS a_size", "node AS b", "size AS b_size")
-        links = links.union(_verified(pairs, nodes, docs, percent, k))
+        links = links.union(_verified(pairs, nodes, docs, percent, k, tables))
         roots = connected_components(links)
         if last:
             break
-    known = described.select("doc_id", "node", "n_shingles").join(roots.toDF("node", "root"), "node", "left")
-    known = known.withColumn("root", F.coalesce("root", "node"))
-    ids = known.where("root IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("least_id"), F.count("*").alias("members"))
-    named = known.join(ids.where("members > 1"), "root", "left")
-    return named.select("doc_id", "n_shingles", F.coalesce("least_id", "doc_id").alias("component_id"))
+    # A component's least id, by its nodes (each with the least id of its copies); only nodes with links have a root.
+    linked = roots.toDF("node", "root").join(nodes.select("node", "least_id"), "node")
+    least = linked.groupBy("root").agg(F.min("least_id").alias("component_id"))
+    named = linked.join(least, "root").select("node", "component_id")
+    named = nodes.select("node", "least_id").join(named, "node", "left").select("node", F.coalesce("component_id", "least_id").alias("component_id"))
+    classes = known.join(named, "node", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    classes = materialize(classes, "jaccard/classes")
+    tables.drop_all()
+    return classes
