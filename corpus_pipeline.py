@@ -7,6 +7,8 @@ columns of ``docs``; the last adds the token ids.
 
 from __future__ import annotations
 
+import functools
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,13 +19,30 @@ from daybook.sources.store import materialize
 TOKENIZER = "byte_bpe_50k.tiktoken"
 #: Words per shingle and least similarity (percent) of near duplicates.
 SHINGLE, SIMILAR = 5, 80
+#: Rows of an Arrow batch: whole texts go through it, so a batch of Spark's 10,000 rows may hold a gigabyte.
+BATCH_ROWS = 1000
+
+
+def _in_small_batches(stage):
+    """The stage in a session whose Arrow batches hold ``BATCH_ROWS`` rows at most."""
+
+    @functools.wraps(stage)
+    def bounded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+        rows = int(spark.conf.get(setting))
+        spark.conf.set(setting, str(min(rows, BATCH_ROWS) if rows > 0 else BATCH_ROWS))
+        return stage(spark, docs, sf_dir)
+
+    return bounded
 
 
+@_in_small_batches
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows whose text passes the quality rules; null, empty and short texts go."""
     return quality.quality_rules(docs).where("kept").select("row.*")
 
 
+@_in_small_batches
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of near duplicates: that of the smallest doc_id (null first).
 
@@ -42,12 +61,14 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return once.drop(key)
 
 
+@_in_small_batches
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows whose text holds or paraphrases no benchmark item."""
     found = decontamination.find_benchmark(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     return found.where(F.size("hits") == 0).select("row.*")
 
 
+@_in_small_batches
 def redact_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All rows, with personal data in text replaced by marks; n_chars, where there is one, follows."""
     found = pii.find_pii(docs, pii.fit(docs), with_text=True)
@@ -55,6 +76,7 @@ def redact_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return found.select(*(columns[c].alias(c) if c in columns else F.col("row")[c].alias(c) for c in docs.columns))
 
 
+@_in_small_batches
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All rows, text decoded from its ids again, with ids and n_tokens (columns of these names are replaced)."""
     path = public_tokenizers.path(TOKENIZER)
