@@ -29,6 +29,67 @@ SELECT sets.doc_id, len(s) AS n_shingles, least(sets.doc_id, coalesce(m.r, sets.
 FROM sets LEFT JOIN (SELECT d, min(r) AS r FROM reach GROUP BY d) m ON m.d = sets.doc_id
 """
 
+_OP2 = """
+WITH page AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS size, sha256(coalesce(html, '')) AS digest FROM pages
+), told AS (
+  SELECT *, CASE WHEN size >= 100 THEN min(page_id) OVER (PARTITION BY digest) END AS first FROM page
+)
+SELECT page_id, CAST(size AS BIGINT) AS payload_bytes, digest AS payload_digest,
+       CASE WHEN first < page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN first < page_id THEN first END AS refers_to
+FROM told
+"""
+
+_OP10 = r"""
+WITH cut AS MATERIALIZED (
+  SELECT doc_id, lang, source, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines,
+         len(regexp_extract_all(coalesce(text, ''), '[#*$%&|<>]')) AS n_symbols
+  FROM documents
+), window3 AS (
+  SELECT doc_id, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM cut)
+), again AS (
+  SELECT doc_id, i FROM window3 QUALIFY count(*) OVER (PARTITION BY doc_id, g) > 1
+), covered AS (
+  SELECT doc_id, count(DISTINCT i + shift) AS n FROM again, (SELECT unnest([0, 1, 2]) AS shift) GROUP BY doc_id
+), measured AS MATERIALIZED (
+  SELECT cut.doc_id, lang, source, len(w) AS n_words, CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+         CAST(n_symbols AS BIGINT) AS n_symbols, len(lines) AS n_lines, len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(covered.n, 0) AS n_repeat_words
+  FROM cut LEFT JOIN covered USING (doc_id)
+), ratios AS MATERIALIZED (
+  SELECT doc_id, lang, source, unnest(['symbols', 'dup_lines', 'repeats', 'word_length']) AS ratio, unnest([400, 300, 250, 400]) AS margin,
+         unnest([n_symbols * 1000 // n_words, n_dup_lines * 1000 // n_lines, n_repeat_words * 1000 // n_words, word_chars * 100 // n_words]) AS x
+  FROM measured WHERE n_words > 0
+), sketch AS MATERIALIZED (
+  SELECT lang, source, ratio, CASE WHEN x < 64 THEN x ELSE x - x % (1 << (length(ltrim(bin(x), '0')) - 6)) END AS bucket, count(*) AS n FROM ratios GROUP BY ALL
+), top AS (
+  SELECT ratio, bucket, sum(n) AS n FROM sketch GROUP BY ALL
+), all_share AS (
+  SELECT ratio, bucket, CAST(sum(n) OVER (PARTITION BY ratio ORDER BY bucket) AS DOUBLE) / CAST(sum(n) OVER (PARTITION BY ratio) AS DOUBLE) AS share FROM top
+), lang_n AS (
+  SELECT lang, ratio, bucket, sum(n) AS n FROM sketch GROUP BY ALL
+), lang_share AS (
+  SELECT g.lang, g.ratio, a.bucket,
+         (CAST(sum(coalesce(l.n, 0)) OVER (PARTITION BY g.lang, g.ratio ORDER BY a.bucket) AS DOUBLE) + 200 * a.share) / (CAST(g.texts AS DOUBLE) + 200) AS share
+  FROM (SELECT lang, ratio, sum(n) AS texts FROM lang_n GROUP BY ALL) g JOIN all_share a ON a.ratio = g.ratio
+  LEFT JOIN lang_n l ON l.lang IS NOT DISTINCT FROM g.lang AND l.ratio = g.ratio AND l.bucket = a.bucket
+), own_share AS (
+  SELECT g.lang, g.source, g.ratio, a.bucket,
+         (CAST(sum(coalesce(s.n, 0)) OVER (PARTITION BY g.lang, g.source, g.ratio ORDER BY a.bucket) AS DOUBLE) + 200 * a.share) / (CAST(g.texts AS DOUBLE) + 200) AS share
+  FROM (SELECT lang, source, ratio, sum(n) AS texts FROM sketch GROUP BY ALL) g JOIN lang_share a ON a.ratio = g.ratio AND a.lang IS NOT DISTINCT FROM g.lang
+  LEFT JOIN sketch s ON s.lang IS NOT DISTINCT FROM g.lang AND s.source IS NOT DISTINCT FROM g.source AND s.ratio = g.ratio AND s.bucket = a.bucket
+), quartile AS (
+  SELECT lang, source, ratio, min(bucket) FILTER (share >= 0.25) AS q1, min(bucket) FILTER (share >= 0.75) AS q3 FROM own_share GROUP BY ALL
+), beyond AS (
+  SELECT DISTINCT r.doc_id FROM ratios r JOIN quartile q ON q.ratio = r.ratio AND q.lang IS NOT DISTINCT FROM r.lang AND q.source IS NOT DISTINCT FROM r.source
+  WHERE r.x > q3 + greatest(4 * (q3 - q1), margin) OR r.ratio = 'word_length' AND r.x < q1 - greatest(4 * (q3 - q1), margin)
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+       NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND doc_id NOT IN (FROM beyond) AS kept
+FROM measured
+"""
+
 _OP12 = """
 WITH sound AS MATERIALIZED (
   SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
@@ -92,6 +153,8 @@ FROM text LEFT JOIN best USING (doc_id) LEFT JOIN listed USING (doc_id) LEFT JOI
 
 ORACLES: dict[str, str] = {
     "op1_ngram_jaccard": _OP1,
+    "op2_warc": _OP2,
+    "op10_quality_rules": _OP10,
     "op12_hard_negatives": _OP12,
     "op13_periodic_runs": _OP13,
 }

@@ -5,9 +5,11 @@ quantile sketches, one per (lang, source): counts per bucket, where a bucket
 holds the integers that agree in their six leading bits, so that any quantile
 is off by at most one part in 32 and sketches merge by adding counts, in any
 order, with the same result.  Upper and lower fences follow from each sketch's
-quartiles.  A (lang, source) of few texts takes the merged sketch of its
-language, and a small language that of all texts.  The fences, one row per
-(lang, source), are joined back and decide.
+quartiles.  A sketch is read together with that of its parent, which weighs
+as PRIOR_TEXTS texts at every size: a (lang, source) of few texts stays close
+to its language, a language of few texts close to all texts, and both move
+away smoothly as texts are added.  The fences, one row per (lang, source), are
+joined back and decide.
 """
 
 from __future__ import annotations
@@ -36,8 +38,8 @@ RANGES = 4
 MARGINS = {"symbols": 400, "dup_lines": 300, "repeats": 250, "word_length": 400}
 #: Only word_length has a lower fence.
 LOWER = ("word_length",)
-#: A sketch of fewer texts than this isn't used by itself.
-LEAST_TEXTS = 200
+#: Texts that the parent of a sketch counts for.
+PRIOR_TEXTS = 200
 
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[[ord(c) for c in "#*$%&|<>"]] = True
@@ -113,26 +115,30 @@ def sketches(measured: DataFrame) -> DataFrame:
     return long.groupBy("lang", "source", "ratio", F.expr(bucket("x")).alias("bucket")).agg(F.count("*").alias("n"))
 
 
-def _quartiles(sketch: DataFrame, by: list[str]) -> DataFrame:
-    """The buckets that hold the quartiles of each group of merged sketches, and the number of texts."""
-    group = [F.col(c) for c in [*by, "ratio"]]
-    merged = sketch.groupBy(*group, "bucket").agg(F.sum("n").alias("n"))
-    up_to = F.sum("n").over(Window.partitionBy(*group).orderBy("bucket"))
-    ranked = merged.withColumn("upto", up_to).withColumn("texts", F.sum("n").over(Window.partitionBy(*group)))
-    return ranked.groupBy(*group, "texts").agg(
-        F.min(F.when(F.expr("4 * upto >= texts"), F.col("bucket"))).alias("q1"),
-        F.min(F.when(F.expr("4 * upto >= 3 * texts"), F.col("bucket"))).alias("q3"),
-    )
+def _shares(sketch: DataFrame, by: list[str], parent: DataFrame | None, above: list[str]) -> DataFrame:
+    """(by, ratio, bucket, share): the share of texts up to each bucket of the parent, whose own share weighs as PRIOR_TEXTS texts."""
+    counts = sketch.groupBy(*by, "ratio", "bucket").agg(F.sum("n").alias("n"))
+    group = Window.partitionBy(*by, "ratio")
+    if parent is None:
+        return counts.select("ratio", "bucket", (F.sum("n").over(group.orderBy("bucket")) / F.sum("n").over(group)).alias("share"))
+    groups = counts.groupBy(*by, "ratio").agg(F.sum("n").alias("texts"))
+    same = lambda names: " AND ".join(f"a.{c} <=> b.{c}" for c in names)
+    points = groups.alias("a").join(parent.alias("b"), F.expr(same([*above, "ratio"]))).selectExpr("a.*", "b.bucket", "b.share")
+    points = points.alias("a").join(counts.alias("b"), F.expr(same([*by, "ratio", "bucket"])), "left").selectExpr("a.*", "coalesce(b.n, 0) AS n")
+    upto = points.withColumn("upto", F.sum("n").over(group.orderBy("bucket")))
+    return upto.select(*by, "ratio", "bucket", F.expr(f"(upto + {PRIOR_TEXTS} * share) / (texts + {PRIOR_TEXTS})").alias("share"))
 
 
 def fences(sketch: DataFrame) -> DataFrame:
-    """(lang, source, low_<ratio>, high_<ratio>...): one row per (lang, source) of the sketches."""
-    own = _quartiles(sketch, ["lang", "source"]).alias("o")
-    lang = _quartiles(sketch, ["lang"]).alias("l")
-    everything = _quartiles(sketch, []).alias("e")
-    best = own.join(lang, F.expr("o.lang <=> l.lang AND o.ratio = l.ratio")).join(everything, F.expr("o.ratio = e.ratio"))
-    pick = "CASE WHEN o.texts >= {n} THEN o.{q} WHEN l.texts >= {n} THEN l.{q} ELSE e.{q} END AS {q}"
-    best = best.selectExpr("o.lang", "o.source", "o.ratio", *(pick.format(n=LEAST_TEXTS, q=q) for q in ("q1", "q3")))
+    """(lang, source, low_<ratio>, high_<ratio>...): one row per (lang, source) of the sketches.
+
+    A group has a row for each bucket in use anywhere (2,000 are the most that
+    there can be), whatever the number of its texts.
+    """
+    everything = _shares(sketch, [], None, [])
+    own = _shares(sketch, ["lang", "source"], _shares(sketch, ["lang"], everything, []), ["lang"])
+    first = lambda x: F.min(F.when(F.col("share") >= x, F.col("bucket")))
+    best = own.groupBy("lang", "source", "ratio").agg(first(0.25).alias("q1"), first(0.75).alias("q3"))
     margin = "CASE ratio " + " ".join(f"WHEN '{r}' THEN {m}" for r, m in MARGINS.items()) + " END"
     best = best.selectExpr("lang", "source", "ratio", f"greatest({RANGES} * (q3 - q1), {margin}) AS beyond", "q1", "q3")
     columns = []
