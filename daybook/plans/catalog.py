@@ -36,10 +36,14 @@ from daybook.operators.scd2 import (
 from daybook.operators.windows import city_count_by_hour, first_tx_in_hour
 from daybook.plans import oracle as O
 from daybook.plans.daily import DailyFeeds, Dimensions, initial_state, run_days
-from daybook.schemas import BLACKLIST, BLACKLIST_KEYS, TERMINAL_ATTRS, TERMINAL_KEYS, TERMINALS
+from daybook.schemas import BLACKLIST, BLACKLIST_KEYS, TERMINAL_ATTRS, TERMINAL_KEYS, TERMINALS, history_schema
 from daybook.sources.fixtures import Fixtures, batch_date
 from daybook.sources.store import materialize
 from daybook.sources.delimited import read_feed, write_delimited
+from daybook.sources.feeds import read_drop
+from daybook.sources.seeds import SEED_TABLES, read_dimensions, register_dimensions
+from daybook.sources.staging import Staging
+from daybook.sources.tables import HISTORY_DEFAULTS, create_table, insert_partial
 from daybook.sources.workbook import read_workbooks, write_workbooks
 from daybook.functions.coerce import coerce_by_name
 from daybook.functions.filenames import batch_date_from_name
@@ -477,6 +481,116 @@ def q_src_workbook(spark, sf_dir):
     return read_workbooks(spark, folder, TERMINALS, glob="*terminals*.xlsx")
 
 
+@register(
+    "feed_routing_drop",
+    O.with_fixtures(
+        body="""select 'transactions' as feed, cast(transaction_id as varchar) as key, terminal as detail from transactions
+            union all select 'terminals', terminal_id, terminal_city from terminals_d2
+            union all select 'blacklist', passport, cast(cast(date as date) as varchar) from blacklist_d2""",
+    ),
+)
+def q_feed_routing(spark, sf_dir):
+    """Several files of one feed, of both extensions, and files of no feed in one drop: each goes where its name says."""
+    fx = Fixtures(spark, sf_dir)
+    folder = scratch_path(spark, f"daybook/routing/{uuid.uuid4().hex}")
+    day, tx = batch_date(2), fx.transactions()
+    write_drop(folder, day, tx.where("transaction_id % 3 > 0"), fx.terminals(2).where("terminal_type = 'ATM'"), fx.blacklist(2), terminals_as_workbook=False)
+    write_delimited(fx.terminals(2).where("terminal_type <> 'ATM'"), f"{folder}/pos_terminals_{day:%d%m%Y}.txt")
+    write_delimited(tx.where("transaction_id % 3 = 0"), f"{folder}/more_transactions_{day:%d%m%Y}.csv")
+    write_delimited(fx.blacklist(1), f"{folder}/passports_{batch_date(1):%d%m%Y}.txt")
+    write_delimited(fx.terminals(1), f"{folder}/notes.txt")
+    feeds, found = read_drop(spark, folder)
+    if found != day:
+        raise ValueError(f"batch date {found}, expected {day}")
+    rows = feeds.transactions.selectExpr("'transactions' AS feed", "CAST(transaction_id AS STRING) AS key", "terminal AS detail")
+    rows = rows.union(feeds.terminals.selectExpr("'terminals'", "terminal_id", "terminal_city"))
+    return rows.union(feeds.blacklist.selectExpr("'blacklist'", "passport", "CAST(CAST(date AS DATE) AS STRING)"))
+
+
+@register(
+    "staging_replace",
+    O.with_fixtures(
+        body=f"""select {O.T_COLS}, passport from terminals_d2 full join blacklist_d3 on passport = 'PS' || substr(terminal_id, 2)""",
+    ),
+)
+def q_staging(spark, sf_dir):
+    """Terminals staged twice and the black list three times; statements over the staged names see the last ones."""
+    fx = Fixtures(spark, sf_dir)
+    with Staging(spark) as stage:
+        for n in (1, 2, 3):
+            stage.replace("blacklist", fx.blacklist(n))
+            if n < 3:
+                stage.replace("terminals", fx.terminals(n))
+        joined = spark.sql("SELECT t.*, passport FROM stg_terminals t FULL JOIN stg_blacklist ON passport = 'PS' || substr(terminal_id, 2)")
+        return materialize(joined, "staging_replace")
+
+
+@register(
+    "seed_dimensions",
+    O.with_fixtures(
+        body="""select card_num, cards.account, valid_to, client_id, last_name, first_name, patronymic, passport_num, passport_valid_to, phone
+            from cards full join accounts on accounts.account = cards.account full join clients on client_id = client""",
+    ),
+)
+def q_seeds(spark, sf_dir):
+    """The three seed dimensions from delimited files with declared schemas, joined under their warehouse names."""
+    fx = Fixtures(spark, sf_dir)
+    root = scratch_path(spark, f"daybook/seeds/{uuid.uuid4().hex}")
+    for name, rows in zip(SEED_TABLES, (fx.cards(), fx.accounts(), fx.clients()), strict=True):
+        rows.write.option("header", True).option("sep", ";").csv(f"{root}/{name}")
+    register_dimensions(read_dimensions(spark, root, "csv", header=True, sep=";"))
+    return spark.sql(
+        "SELECT card_num, c.account, valid_to, client_id, last_name, first_name, patronymic, passport_num, passport_valid_to, phone "
+        "FROM dwh_dim_cards c FULL JOIN dwh_dim_accounts a ON a.account = c.account FULL JOIN dwh_dim_clients ON client_id = client"
+    )
+
+
+@register(
+    "insert_with_defaults",
+    O.with_fixtures(
+        body=f"""select {O.T_COLS}, timestamp '2024-01-10 00:00:00' as effective_from, {O.OPEN} as effective_to, 0 as deleted_flg from terminals_d1
+            union all select terminal_id, null, null, null, timestamp '2024-01-20 00:00:00', {O.OPEN}, 1
+            from terminals_d1 anti join terminals_d2 using (terminal_id)""",
+    ),
+)
+def q_defaults(spark, sf_dir):
+    """New terminals, then tombstones, inserted into a catalog table by parts of its columns; the rest comes from its defaults."""
+    fx = Fixtures(spark, sf_dir)
+    name = f"daybook_{uuid.uuid4().hex}"
+    place = scratch_path(spark, f"daybook/tables/{name}")
+    create_table(spark, name, history_schema(TERMINAL_KEYS, TERMINAL_ATTRS, TERMINALS), place, HISTORY_DEFAULTS)
+    insert_partial(fx.terminals(1).withColumn("effective_from", F.expr("TIMESTAMP_NTZ '2024-01-10 00:00:00'")), name)
+    gone = fx.terminals(1).join(fx.terminals(2), TERMINAL_KEYS, "left_anti").select(*TERMINAL_KEYS)
+    insert_partial(gone.selectExpr(*TERMINAL_KEYS, "TIMESTAMP_NTZ '2024-01-20 00:00:00' AS effective_from", "1 AS deleted_flg"), name)
+    rows = spark.table(name).select(*HIST_T)
+    spark.sql(f"DROP TABLE {name}")  # the files stay
+    return spark.read.schema(rows.schema).parquet(place)
+
+
+@register(
+    "surrogate_ids_stable",
+    O.with_fixtures(
+        *O.history_chain("t", 3, "open_only"),
+        body=f"select {O.HIST_T_COLS}, true as same_id, cast(1 as bigint) as rows_of_id from h_t3",
+    ),
+)
+def q_surrogate(spark, sf_dir):
+    """Ids of the history, and of one built again from rows dealt otherwise: one row an id, and the same id a row."""
+    fx = Fixtures(spark, sf_dir)
+
+    def history(deal) -> DataFrame:
+        h = empty_history(spark, TERMINAL_KEYS, TERMINAL_ATTRS, TERMINALS)
+        for n in (1, 2, 3):
+            h = materialize(scd2_apply(h, deal(fx.terminals(n)), TERMINAL_KEYS, TERMINAL_ATTRS, batch_date(n)), "surrogate_ids")
+        return h
+
+    once, again = history(lambda rows: rows), history(lambda rows: rows.repartition(7, "terminal_city").orderBy(F.desc("terminal_id")))
+    key = [*TERMINAL_KEYS, "effective_from", "deleted_flg"]
+    uses = once.groupBy("id").agg(F.count("*").alias("rows_of_id"))
+    both = once.join(again.select(*key, F.col("id").alias("id_again")), key, "left").join(uses, "id")
+    return both.select(*HIST_T, F.expr("id <=> id_again").alias("same_id"), "rows_of_id")
+
+
 # --- type-1 dimension ---------------------------------------------------------------
 _CLIENT_BATCH_SQL = """client_batch as (
       select client_id, last_name, first_name, patronymic, passport_num, passport_valid_to,
