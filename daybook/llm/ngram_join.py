@@ -47,6 +47,8 @@ PROBE, INDEX = 1, 2
 #: What is left open is paired at once if that makes at most this many pairs for each listed row; else another star comes first.
 PAIRS_PER_ROW = 4
 MAX_STARS = 4
+#: Bits (of pages of PAGE bits) that tell which texts verification wants: 2 MB to broadcast, however many they are.
+WANTED_BITS, PAGE = 1 << 24, 1 << 15
 #: Members of a list that are compared in one group at most (twice that, from two tiles).
 TILE = 4096
 
@@ -131,8 +133,8 @@ def signatures(shingles: np.ndarray, bands: Bands) -> tuple[np.ndarray, int, int
 
 
 def parity(shingles: np.ndarray) -> bytes:
-    """Bitmap of shingle parities, four to eight bits for each shingle (a power of two), so that few differences meet."""
-    bits = max(64, 4 << max(0, int(len(shingles) - 1)).bit_length())
+    """Bitmap of shingle parities, one or two bits for each shingle (a power of two), so that few differences meet."""
+    bits = max(64, 1 << max(0, int(len(shingles) - 1)).bit_length())
     at = np.bincount((mix(shingles ^ U64(0x2545F4914F6CDD1D)) >> U64(20)).astype(np.int64) & (bits - 1), minlength=bits) & 1
     return np.packbits(at.astype(np.uint8)).tobytes()
 
@@ -254,6 +256,21 @@ class _Tables:
         delete_path(self.spark, self.root)
 
 
+def _marked(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``docs`` without most of the rows that ``wanted`` (d, h) doesn't name, so that few texts are exchanged for the join.
+
+    The wanted rows' hashes are marked in a bitmap of fixed size.  It is only a
+    filter: a row that is wanted is marked, and the join drops what else is.
+    """
+    place = f"pmod(xxhash64({{}}, {{}}), {WANTED_BITS}L)"
+    marks = wanted.selectExpr(f"{place.format('d', 'h')} AS place").selectExpr(f"place DIV {PAGE} AS page", f"place % {PAGE} AS bit")
+    pages = marks.repartition("page").groupBy("page").agg(F.expr("bitmap_construct_agg(bit)").alias("bits"))
+    placed = docs.withColumn("place", F.expr(place.format("doc_id", "text_hash"))).withColumn("page", F.expr(f"place DIV {PAGE}"))
+    byte = f"CAST(conv(hex(substring(bits, CAST(place % {PAGE} DIV 8 AS INT) + 1, 1)), 16, 10) AS INT)"
+    found = placed.join(F.broadcast(pages), "page").where(f"getbit({byte}, CAST(place % 8 AS INT)) = 1")
+    return found.select("doc_id", "text_hash", "text")
+
+
 def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, percent: int, k: int, tables: _Tables) -> DataFrame:
     """The pairs (a, b), each of nodes with their sizes, that truly link."""
     sized = pairs.where(f"100 * least(a_size, b_size) >= {percent} * greatest(a_size, b_size)")
@@ -267,7 +284,8 @@ def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, percent: int,
     near = sized.join(side[0], "a").join(side[1], "b").select("a", "b", "an", "am", "bn", "bm", "a_doc", "a_hash", "b_doc", "b_hash")
     near = tables.write(near.mapInArrow(_near(percent), ends), "near")
     wanted = near.selectExpr("a AS node", "a_doc AS d", "a_hash AS h").union(near.select("b", "b_doc", "b_hash")).distinct()
-    texts = docs.join(wanted, docs["doc_id"].eqNullSafe(wanted["d"]) & (docs["text_hash"] == wanted["h"])).select("node", "text")
+    some = _marked(docs, wanted)
+    texts = some.join(wanted, some["doc_id"].eqNullSafe(wanted["d"]) & (some["text_hash"] == wanted["h"])).select("node", "text")
     texts = tables.write(texts.dropDuplicates(["node"]), "texts")
     both = near.join(texts.toDF("a", "a_text"), "a").join(texts.toDF("b", "b_text"), "b")
     links = both.select("a", "b", "a_text", "b_text").mapInArrow(_close(percent, k), "a long, b long")
@@ -287,12 +305,15 @@ def _across(members: DataFrame, roots: DataFrame, tables: _Tables) -> DataFrame:
     Lists without a probe, and those of two members, which their star has settled, are left out.
     """
     named = members.join(roots.toDF("node", "root"), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    named = tables.write(named, "named")  # read twice
     counts = named.groupBy("key", "root").agg(F.count("*").alias("n"), F.max(F.expr(f"role & {PROBE}")).alias("p"))
     lists = counts.groupBy("key").agg(
         F.max(F.struct("n", "root")).alias("top"), F.sum("n").alias("all"), F.count("*").alias("roots"), F.max("p").alias("p")
     )
     open_lists = tables.write(lists.where("roots > 1 AND all > 2 AND p > 0").selectExpr("key", "top.root AS top", "all"), "lists")
-    return tables.write(named.join(open_lists, "key").withColumn("big", F.expr("root = top")), "open")
+    left = tables.write(named.join(open_lists, "key").withColumn("big", F.expr("root = top")), "open")
+    tables.drop("named")
+    return left
 
 
 def _tiles(left: DataFrame, nodes: DataFrame) -> DataFrame:
