@@ -21,7 +21,10 @@ one-deletion neighbourhoods where v_i = 1, misses no link.
   as a star around one member; members that are linked, directly or through
   others, need no further check within it.  What remains are pairs across the
   components of a list: its members outside the largest component against all
-  others, compared by their bitmaps in tiles of bounded size.
+  others, compared by their bitmaps in tiles of bounded size.  A tile doesn't
+  write these pairs: members that candidates join to each other make a group,
+  one row each, and equal groups of several lists are one.  The texts of a
+  group meet in one place, which finds the links that join its components.
 * **Verification.**  A parity bitmap of each set (its weight of difference
   never exceeds the true difference) drops most false candidates; the rest is
   decided on the shingle sets of the texts themselves.
@@ -44,13 +47,13 @@ from daybook.session import scratch_path
 from daybook.sources.store import delete_path, materialize
 
 PROBE, INDEX = 1, 2
-#: What is left open is paired at once if that makes at most this many pairs for each listed row; else another star comes first.
-PAIRS_PER_ROW = 4
+#: What is left open is compared in tiles if that is at most so many comparisons of bitmaps for each listed row; else another star comes first.
+COMPARED_PER_ROW = 256
 MAX_STARS = 4
 #: Bits (of pages of PAGE bits) that tell which texts verification wants: 2 MB to broadcast, however many they are.
 WANTED_BITS, PAGE = 1 << 24, 1 << 15
-#: Members of a list that are compared in one group at most (twice that, from two tiles).
-TILE = 4096
+#: Members of a list, and their shingles, that are about a tile; two tiles are compared in one group.
+TILE, TILE_SHINGLES = 4096, 1 << 20
 
 
 class Bands:
@@ -135,8 +138,12 @@ def signatures(shingles: np.ndarray, bands: Bands) -> tuple[np.ndarray, int, int
 def parity(shingles: np.ndarray) -> bytes:
     """Bitmap of shingle parities, one or two bits for each shingle (a power of two), so that few differences meet."""
     bits = max(64, 1 << max(0, int(len(shingles) - 1)).bit_length())
+    return np.packbits(_parities(shingles, bits)).tobytes()
+
+
+def _parities(shingles: np.ndarray, bits: int) -> np.ndarray:
     at = np.bincount((mix(shingles ^ U64(0x2545F4914F6CDD1D)) >> U64(20)).astype(np.int64) & (bits - 1), minlength=bits) & 1
-    return np.packbits(at.astype(np.uint8)).tobytes()
+    return at.astype(np.uint8)
 
 
 def _describe(k: int, percent: int):
@@ -202,6 +209,11 @@ def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    shared = len(np.intersect1d(x, y, assume_unique=True))
+    return 100 * shared >= percent * (len(x) + len(y) - shared) and shared > 0
+
+
 def _close(percent: int, k: int):
     """Whether the texts of each row have similar shingle sets."""
 
@@ -209,8 +221,7 @@ def _close(percent: int, k: int):
         for batch in batches:
             good = []
             for x, y in zip(shingle_sets(batch.column("a_text"), k), shingle_sets(batch.column("b_text"), k), strict=True):
-                shared = len(np.intersect1d(x, y, assume_unique=True))
-                good.append(100 * shared >= percent * (len(x) + len(y) - shared) and shared > 0)
+                good.append(_linked(x, y, percent))
             keep = pa.array(good, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column("a").filter(keep), batch.column("b").filter(keep)], ["a", "b"])
 
@@ -271,6 +282,13 @@ def _marked(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return found.select("doc_id", "text_hash", "text")
 
 
+def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(node, text) for the rows of ``wanted`` (node, d, h)."""
+    some = _marked(docs, wanted)
+    texts = some.join(wanted, some["doc_id"].eqNullSafe(wanted["d"]) & (some["text_hash"] == wanted["h"])).select("node", "text")
+    return texts.dropDuplicates(["node"])
+
+
 def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, percent: int, k: int, tables: _Tables) -> DataFrame:
     """The pairs (a, b), each of nodes with their sizes, that truly link."""
     sized = pairs.where(f"100 * least(a_size, b_size) >= {percent} * greatest(a_size, b_size)")
@@ -284,9 +302,7 @@ def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, percent: int,
     near = sized.join(side[0], "a").join(side[1], "b").select("a", "b", "an", "am", "bn", "bm", "a_doc", "a_hash", "b_doc", "b_hash")
     near = tables.write(near.mapInArrow(_near(percent), ends), "near")
     wanted = near.selectExpr("a AS node", "a_doc AS d", "a_hash AS h").union(near.select("b", "b_doc", "b_hash")).distinct()
-    some = _marked(docs, wanted)
-    texts = some.join(wanted, some["doc_id"].eqNullSafe(wanted["d"]) & (some["text_hash"] == wanted["h"])).select("node", "text")
-    texts = tables.write(texts.dropDuplicates(["node"]), "texts")
+    texts = tables.write(_texts(docs, wanted), "texts")
     both = near.join(texts.toDF("a", "a_text"), "a").join(texts.toDF("b", "b_text"), "b")
     links = both.select("a", "b", "a_text", "b_text").mapInArrow(_close(percent, k), "a long, b long")
     links = tables.write(links, "links")
@@ -304,24 +320,27 @@ def _across(members: DataFrame, roots: DataFrame, tables: _Tables) -> DataFrame:
 
     Lists without a probe, and those of two members, which their star has settled, are left out.
     """
-    named = members.join(roots.toDF("node", "root"), "node", "left").withColumn("root", F.coalesce("root", "node"))
-    named = tables.write(named, "named")  # read twice
-    counts = named.groupBy("key", "root").agg(F.count("*").alias("n"), F.max(F.expr(f"role & {PROBE}")).alias("p"))
+    named = tables.write(members.join(roots.select("node", "root"), "node"), "named")  # read twice
+    counts = named.groupBy("key", "root").agg(F.count("*").alias("n"), F.max(F.expr(f"role & {PROBE}")).alias("p"), F.sum("size").alias("weight"))
     lists = counts.groupBy("key").agg(
-        F.max(F.struct("n", "root")).alias("top"), F.sum("n").alias("all"), F.count("*").alias("roots"), F.max("p").alias("p")
+        F.max(F.struct("n", "root")).alias("top"),
+        F.sum("n").alias("all"),
+        F.sum("weight").alias("weight"),
+        F.count("*").alias("roots"),
+        F.max("p").alias("p"),
     )
-    open_lists = tables.write(lists.where("roots > 1 AND all > 2 AND p > 0").selectExpr("key", "top.root AS top", "all"), "lists")
+    open_lists = lists.where("roots > 1 AND all > 2 AND p > 0").selectExpr("key", "top.root AS top", "all", "weight")
     left = tables.write(named.join(open_lists, "key").withColumn("big", F.expr("root = top")), "open")
     tables.drop("named")
     return left
 
 
 def _tiles(left: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Open lists cut into tiles of about TILE members; each two tiles of a list meet in one group of rows (key, ta, tb)."""
-    tiles = f"CAST(all DIV {TILE} AS INT) + 1"
+    """Open lists cut into tiles; each two tiles of a list meet in one group of rows (key, ta, tb)."""
+    tiles = f"CAST(greatest(all DIV {TILE}, weight DIV {TILE_SHINGLES}) AS INT) + 1"
     own = left.withColumn("tiles", F.expr(tiles)).withColumn("tile", F.expr("pmod(xxhash64(node, 7), tiles)"))
     met = own.withColumn("other", F.explode(F.expr("sequence(0, tiles - 1)")))
-    met = met.selectExpr("key", "least(tile, other) AS ta", "greatest(tile, other) AS tb", "node", "root", "size", "role", "big", "all")
+    met = met.selectExpr("key", "least(tile, other) AS ta", "greatest(tile, other) AS tb", "node", "root", "size", "role", "big")
     met = met.join(nodes.select("node", "bitmap"), "node")
     return met.repartition("key", "ta", "tb").sortWithinPartitions("key", "ta", "tb")
 
@@ -344,8 +363,12 @@ def _groups(batches: Iterator[pa.RecordBatch], by: list[str]) -> Iterator[pa.Tab
         yield rest
 
 
-def _tile_pairs(percent: int):
-    """Pairs of each group across components, of roles and sizes that fit, whose folded bitmaps allow a link."""
+def _candidate_groups(percent: int):
+    """Members of each tile group that may link across components, by group of those that candidate pairs join (group, node, root).
+
+    A candidate pair has roles and sizes that fit and folded bitmaps that allow a link.  A group is
+    named by its members; should two names meet, they are verified as one.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _groups(batches, ["key", "ta", "tb"]):
@@ -354,24 +377,79 @@ def _tile_pairs(percent: int):
             )
             bitmaps = table.column("bitmap").to_pylist()
             new = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (ta[1:] != ta[:-1]) | (tb[1:] != tb[:-1])]))
-            out: set[tuple[int, int, int, int]] = set()
+            name, chosen = [], []
             for x, y in zip(new, [*new[1:], len(key)], strict=True):
                 width = min(len(b) for b in bitmaps[x:y])
                 bits = np.stack([_folded(b, width) for b in bitmaps[x:y]])
-                n, r, s, q = node[x:y], root[x:y], size[x:y], role[x:y]
+                r, s, q = root[x:y], size[x:y], role[x:y]
+                group = np.arange(y - x)
                 for i in np.flatnonzero(~big[x:y]):
                     roles = ((q[i] & PROBE) * (q & INDEX)) | ((q[i] & INDEX) * (q & PROBE))
                     fit = (r != r[i]) & (roles > 0) & (100 * np.minimum(s, s[i]) >= percent * np.maximum(s, s[i]))
                     at = np.flatnonzero(fit)
                     apart = np.bitwise_count(bits[at] ^ bits[i]).sum(axis=1, dtype=np.int64)
                     at = at[apart <= (100 - percent) * (s[at] + s[i]) // (100 + percent)]
-                    out.update((int(n[i]), int(s[i]), int(n[j]), int(s[j])) if n[i] < n[j] else (int(n[j]), int(s[j]), int(n[i]), int(s[i])) for j in at)
-            columns = list(zip(*out, strict=True)) or [(), (), (), ()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["a", "a_size", "b", "b_size"])
+                    joined = np.zeros(y - x, bool)
+                    joined[group[at]] = joined[group[i]] = True
+                    group[joined[group]] = group[i]
+                at = np.flatnonzero(np.bincount(group, minlength=y - x)[group] > 1)
+                total = np.zeros(y - x, U64)
+                np.add.at(total, group[at], mix(node[x:y][at].view(U64)))
+                name.append(total[group[at]].view(np.int64))
+                chosen.append(x + at)
+            at = np.concatenate(chosen)
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(name)), pa.array(node[at]), pa.array(root[at])], ["group", "node", "root"])
 
     return run
 
 
+def _joining(sets: list[np.ndarray], root: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """Roots of links between the sets, enough of them to join all components that links join."""
+    values, own = np.unique(root, return_inverse=True)
+    order = np.argsort(own == np.bincount(own).argmax(), kind="stable")  # the largest component comes last
+    sets, root, own = [sets[i] for i in order], root[order], own[order]
+    label, n = own.copy(), np.array([len(x) for x in sets])
+    width = max(64, 8 << int(n.max() - 1).bit_length())
+    bits = np.stack([np.packbits(_parities(x, width)) for x in sets])
+    found = []
+    for i in np.flatnonzero(own != own[-1]):
+        fit = (label[i + 1 :] != label[i]) & (100 * np.minimum(n[i + 1 :], n[i]) >= percent * np.maximum(n[i + 1 :], n[i]))
+        at = i + 1 + np.flatnonzero(fit)
+        apart = np.bitwise_count(bits[at] ^ bits[i]).sum(axis=1, dtype=np.int64)
+        for j in at[apart <= (100 - percent) * (n[at] + n[i]) // (100 + percent)]:
+            if label[j] != label[i] and _linked(sets[i], sets[j], percent):
+                found.append((int(root[i]), int(root[j])))
+                label[label == label[j]] = label[i]
+    return found
+
+
+def _join_groups(percent: int, k: int):
+    """Links (a, b) of roots that join the components of each group of texts (rows sorted by group)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _groups(batches, ["group"]):
+            group, root = table.column("group").to_numpy(), table.column("root").to_numpy()
+            sets = [x for chunk in table.column("text").chunks for x in shingle_sets(chunk, k)]
+            new = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
+            found = {link for x, y in zip(new, [*new[1:], len(group)], strict=True) for link in _joining(sets[x:y], root[x:y], percent)}
+            columns = list(zip(*found, strict=True)) or [(), ()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["a", "b"])
+
+    return run
+
+
+def _verified_groups(left: DataFrame, nodes: DataFrame, docs: DataFrame, percent: int, k: int, tables: _Tables) -> DataFrame:
+    """Links (a, b) between roots that join the components of the open lists."""
+    groups = _tiles(left, nodes).mapInArrow(_candidate_groups(percent), "group long, node long, root long")
+    groups = tables.write(groups.distinct(), "groups")
+    named = groups.join(nodes.selectExpr("node", "rep.doc_id AS d", "rep.text_hash AS h"), "node")
+    texts = tables.write(_texts(docs, named.select("node", "d", "h").distinct()), "texts")
+    met = groups.join(texts, "node").select("group", "root", "text").repartition("group").sortWithinPartitions("group")
+    links = tables.write(met.mapInArrow(_join_groups(percent, k), "a long, b long"), "links")
+    tables.drop("texts")
+    return links
+
+
 def jaccard_classes(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id.
 
@@ -397,8 +475,9 @@ def jaccard_classes(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFrame
     known = tables.write(described.select("doc_id", "node", "n_shingles"), "known")
     tables.drop("sets")  # the keys are most of what has been written
 
-    links = _verified(_pairs(stars, "center", "node"), nodes, docs, percent, k, tables)
-    roots = connected_components(links)
+    links = connected_components(_verified(_pairs(stars, "center", "node"), nodes, docs, percent, k, tables))
+    roots = nodes.select("node", "least_id").join(links, "node", "left").select("node", "least_id", F.coalesce("root", "node").alias("root"))
+    roots = tables.write(roots, "roots")
     members = (
         stars.select("key", "node", "size", "role")
         .union(stars.select("key", "center", "center_size", "center_role"))
@@ -409,25 +488,29 @@ def jaccard_classes(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFrame
     for turn in range(MAX_STARS + 1):
         left = _across(members, roots, tables)
         members = left.select("key", "node", "size", "role")  # a list that is settled stays so
-        few, pairs = left.where("NOT big").agg(F.count("*"), F.sum("all")).first()
+        few, compared = left.where("NOT big").agg(F.count("*"), F.sum("all")).first()
         if not few:
             break
-        last = turn == MAX_STARS or pairs <= PAIRS_PER_ROW * listed_rows or before is not None and few > 0.8 * before
+        last = turn == MAX_STARS or compared <= COMPARED_PER_ROW * listed_rows or before is not None and few > 0.8 * before
         before = few
         if last:
-            pairs = _tiles(left, nodes).mapInArrow(_tile_pairs(percent), "a long, a_size long, b long, b_size long")
+            links = _verified_groups(left, nodes, docs, percent, k, tables)
         else:  # another member of the largest component as the center
             center = left.where("big").groupBy("key").agg(F.min(F.struct(F.xxhash64("node", F.lit(turn)), "node", "size")).alias("c"))
             pairs = left.where("NOT big").join(center, "key").selectExpr("c.node AS a", "c.size AS a_size", "node AS b", "size AS b_size")
-        links = links.union(_verified(pairs, nodes, docs, percent, k, tables))
-        roots = connected_components(links)
+            links = _verified(pairs, nodes, docs, percent, k, tables)
+            for end in "ab":
+                links = links.join(roots.selectExpr(f"node AS {end}", f"root AS {end}_root"), end)
+            links = links.selectExpr("a_root AS a", "b_root AS b")
+        # Only the roots of components are joined: what is linked already isn't gone through again.
+        joined = connected_components(links).toDF("root", "now")
+        roots = roots.join(joined, "root", "left").select("node", "least_id", F.coalesce("now", "root").alias("root"))
         if last:
             break
-    # A component's least id, by its nodes (each with the least id of its copies); only nodes with links have a root.
-    linked = roots.toDF("node", "root").join(nodes.select("node", "least_id"), "node")
-    least = linked.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    named = linked.join(least, "root").select("node", "component_id")
-    named = nodes.select("node", "least_id").join(named, "node", "left").select("node", F.coalesce("component_id", "least_id").alias("component_id"))
+        roots = tables.write(roots, "roots")
+    # A component's least id, by its nodes (each with the least id of its copies).
+    least = roots.groupBy("root").agg(F.min("least_id").alias("component_id"))
+    named = roots.join(least, "root").select("node", "component_id")
     classes = known.join(named, "node", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
     classes = materialize(classes, "jaccard/classes")
     tables.drop_all()
