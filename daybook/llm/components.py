@@ -2,8 +2,8 @@
 
 Each step is a grouped minimum and a join back, so a node with very many links
 is pre-aggregated before the shuffle and its rows can be split by the
-adaptive join.  Every round is written to the shared folder; only a row count
-and a checksum reach the driver.
+adaptive join.  Every round is written to the shared folder; only the number
+of nodes that still point elsewhere than at their root reaches the driver.
 """
 
 from __future__ import annotations
@@ -21,17 +21,15 @@ def connected_components(links: DataFrame) -> DataFrame:
     once; an empty table gives an empty result.
     """
     edges = links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    state = None
     while True:
         edges = materialize(edges, "components")
-        now = edges.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first()
-        if state == tuple(now) or now[0] == 0:
-            return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).union(edges.select("b", "b").distinct())
-        state = tuple(now)
         both = edges.selectExpr("a AS u", "b AS v").union(edges.selectExpr("b AS u", "a AS v"))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).selectExpr("u", "least(u, m) AS m")
-        large = both.join(least, "u").where("v > u").selectExpr("v AS a", "m AS b").distinct()
+        ends = both.groupBy("u").agg(F.min("v").alias("m"), F.count_if(F.expr("v < u")).alias("lower"), F.count_if(F.expr("v > u")).alias("higher"))
+        # A component is a star around its smallest node: each other node has one link, and it leads there.
+        if not ends.agg(F.count_if(F.expr("lower > 1 OR lower = 1 AND higher > 0"))).first()[0]:
+            return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).union(edges.select("b", "b").distinct())
+        least = ends.selectExpr("u", "least(u, m) AS m")
+        large = both.join(least, "u").where("v > u").selectExpr("v AS a", "m AS b")
         low = large.groupBy("a").agg(F.min("b").alias("m"))
-        edges = (
-            large.join(low, "a").where("b <> m").selectExpr("b AS a", "m AS b").union(low.selectExpr("a", "m AS b")).distinct()
-        )
+        small = large.join(low, "a").selectExpr("explode(IF(b <> m, array(a, b), array(a))) AS a", "m AS b")
+        edges = small.distinct()

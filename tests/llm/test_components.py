@@ -4,6 +4,7 @@ import random
 
 import pytest
 
+from daybook.llm import components
 from daybook.llm.components import connected_components
 
 
@@ -39,3 +40,12 @@ CASES = {
 def test_components(spark, case):
     got = connected_components(spark.createDataFrame(CASES[case], "a long, b long")).collect()
     assert len(got) == len({r.node for r in got}) and {r.node: r.root for r in got} == brute(CASES[case])
+
+
+def test_a_star_is_written_once(spark, monkeypatch):
+    written = []
+    write = components.materialize
+    monkeypatch.setattr(components, "materialize", lambda *a: written.append(a) or write(*a))
+    star = spark.createDataFrame([(0, i) for i in range(1, 50)], "a long, b long")
+    assert {tuple(r) for r in connected_components(star).collect()} == {(i, 0) for i in range(50)}
+    assert len(written) == 1
