@@ -11,8 +11,8 @@
   its neighbours' pairs are pushed, and stale entries are skipped, so a run of
   n bytes takes O(n log n).
 
-Tasks hold the tables as a broadcast of fixed size (the vocabulary), and
-nothing that grows with the corpus but a bounded memo of the pre-tokens met.
+Tasks hold the tables as a broadcast of fixed size (the vocabulary), a bounded
+memo of the pre-tokens met, and the pre-tokens of one small group of texts.
 """
 
 from __future__ import annotations
@@ -34,8 +34,10 @@ from daybook.llm.arrow import by_bytes, text_column, with_text
 MEMO = 300_000
 #: Displacements tried at once.
 TRIES = 64
+#: Texts are encoded and handed on in groups of about this many bytes: cut into pre-tokens, a byte takes some fifty.
+ENCODED_BYTES = 1 << 18
 #: Texts are decoded and handed on in batches of about this many ids.
-DECODED_IDS = 1 << 20
+DECODED_IDS = 1 << 17
 
 
 class PerfectHash:
@@ -188,7 +190,7 @@ class Encoder:
 def _encoding(coder):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in by_bytes(whole):
+            for batch in by_bytes(whole, ENCODED_BYTES):
                 ids, offsets = coder.value.encode([t or "" for t in text_column(batch).to_pylist()])
                 column = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids))
                 yield pa.RecordBatch.from_arrays([batch.column("row"), column], ["row", "ids"])

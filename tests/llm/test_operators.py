@@ -3,9 +3,12 @@
 import base64
 import hashlib
 import random
+import tracemalloc
+from types import SimpleNamespace
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from tokenizers import Tokenizer
@@ -56,6 +59,21 @@ def test_bpe_equals_the_library_and_returns(documents):
     assert bpe.encode(documents([]), path, public_tokenizers.PATTERN).count() == 0
 
 
+def test_bpe_takes_a_large_batch_in_small_groups():
+    coder = SimpleNamespace(value=bpe.Encoder(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN))
+    texts = [prose(i % 3, 400) for i in range(1500)]
+    batch = pa.RecordBatch.from_pylist([{"row": {"doc_id": i}, "text": t} for i, t in enumerate(texts)])
+    encoded = pa.Table.from_batches(bpe._encoding(coder)([batch])).combine_chunks().to_batches()
+    for run, given in ((bpe._encoding(coder), [batch]), (bpe._decoding(coder), encoded)):
+        tracemalloc.start()
+        rows = sum(b.num_rows for b in run(given))
+        most = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert rows == len(texts) and most < 16_000_000
+    decoded = [t for b in bpe._decoding(coder)(encoded) for t in b.column("decoded").to_pylist()]
+    assert decoded == [t.encode() for t in texts]
+
+
 @pytest.mark.parametrize("n", [0, 1, 7, 1000])
 def test_perfect_hash_is_minimal(n):
     table = bpe.PerfectHash(keys := [b"k%d" % i for i in range(n)])
