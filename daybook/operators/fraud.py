@@ -17,7 +17,9 @@ Plans, at scale
   shuffle (they are never flagged), removing the one certain hot key.
 * ``rep_fraud``: both rule families in the *same* aggregation, so the fact
   table is scanned and joined once and shuffled once (after map-side
-  combine); a small DISTINCT over the flagged output gives day grain.
+  combine); people and hits travel in one set, groups without an event are
+  dropped before anything is made of their sets, and a small DISTINCT over
+  the flagged output gives day grain.
 """
 
 from __future__ import annotations
@@ -78,24 +80,22 @@ def fraud_static(enriched: DataFrame, only: str | None = None) -> DataFrame:
 
 
 def _hour_groups(enriched: DataFrame, with_static: bool) -> DataFrame:
-    """One row per (passport, day, clock hour) with the city range and people."""
+    """One row per (passport, day, clock hour) with the city range and people.
+
+    ``with_static``: a person is there once for each static label of theirs, NULL included.
+    """
     cols = [
         "passport_num",
         F.to_date("transaction_date").alias("tx_day"),
         F.hour("transaction_date").alias("tx_hour"),
         "terminal_city",
-        F.struct("fio", "phone").alias("person"),
+        F.struct("fio", "phone", *([static_event_type().alias("event_type")] if with_static else [])).alias("person"),
     ]
-    if with_static:
-        ev = static_event_type()
-        cols.append(F.when(ev.isNotNull(), F.struct("fio", "phone", ev.alias("event_type"))).alias("hit"))
     aggs = [
         F.min("terminal_city").alias("city_lo"),
         F.max("terminal_city").alias("city_hi"),
         F.collect_set("person").alias("people"),
     ]
-    if with_static:
-        aggs.append(F.collect_set("hit").alias("hits"))
     return enriched.select(*cols).groupBy("passport_num", "tx_day", "tx_hour").agg(*aggs)
 
 
@@ -130,24 +130,17 @@ def fraud_different_cities(enriched: DataFrame) -> DataFrame:
 
 def rep_fraud(enriched: DataFrame) -> DataFrame:
     """The fraud report (static rules and different cities) in one aggregation."""
-    groups = _hour_groups(enriched, with_static=True)
-    cities = F.when(
-        _city_flag(),
-        F.transform(
-            "people",
-            lambda p: F.struct(
-                p["fio"].alias("fio"), p["phone"].alias("phone"), F.lit(EVENT_DIFFERENT_CITIES).alias("event_type")
-            ),
-        ),
-    ).otherwise(F.array().cast("array<struct<fio:string,phone:string,event_type:string>>"))
-    hits = F.explode(F.concat(cities, F.col("hits"))).alias("h")
+    # Most groups are one person without a label in one city: the cheap test leaves them out first.
+    eventful = _city_flag() | (F.size("people") > 1) | F.col("people")[0]["event_type"].isNotNull()
+    people = (
+        _hour_groups(enriched, with_static=True)
+        .filter(eventful)
+        .select("tx_day", "passport_num", F.when(_city_flag(), F.lit(EVENT_DIFFERENT_CITIES)).alias("cities"), F.explode("people").alias("p"))
+    )
+    events = F.filter(F.array("cities", "p.event_type"), lambda e: e.isNotNull())
     return (
-        groups.select("tx_day", "passport_num", hits)
-        .select(
-            *_report_row(
-                F.col("tx_day"), F.col("passport_num"), F.col("h.fio"), F.col("h.phone"), F.col("h.event_type")
-            )
-        )
+        people.select("tx_day", "passport_num", "p.fio", "p.phone", F.explode(events).alias("event"))
+        .select(*_report_row(F.col("tx_day"), F.col("passport_num"), F.col("fio"), F.col("phone"), F.col("event")))
         .distinct()
         .select(*REP_FRAUD_COLS)
     )

@@ -12,6 +12,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, replace
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,7 +49,7 @@ from daybook.sources.workbook import read_workbooks, write_workbooks
 from daybook.functions.coerce import coerce_by_name
 from daybook.functions.filenames import batch_date_from_name
 from daybook.operators.scd1 import scd1_upsert
-from daybook.session import scratch_path
+from daybook.session import scratch_path, together
 from daybook.schemas import REP_FRAUD_COLS, TRANSACTIONS
 from daybook.plans.daily import StateRoots, run_day_stored
 from daybook.plans.versioned import bank_warehouse, publish_current, run_day_versioned
@@ -101,6 +102,11 @@ def blacklist_hist(fx: Fixtures, days: int, mode: str) -> DataFrame:
     return h
 
 
+def _written_dimensions(fx: Fixtures) -> Dimensions:
+    written = {"cards": fx.cards(), "accounts": fx.accounts(), "clients": fx.clients()}
+    return Dimensions(*together(fx.spark, *(partial(materialize, rows, name) for name, rows in written.items())))
+
+
 def fixture_enriched(fx: Fixtures, tx: DataFrame | None = None) -> DataFrame:
     """Whole events table, black list of day 1 (first load), terminals of day 3.
 
@@ -668,9 +674,7 @@ def q_stream_drop(spark, sf_dir):
     roots = StateRoots(
         f"{base}/terminals", f"{base}/blacklist", f"{base}/transactions", f"{base}/report", fact_buckets=8
     )
-    dims = Dimensions(
-        materialize(fx.cards(), "cards"), materialize(fx.accounts(), "accounts"), materialize(fx.clients(), "clients")
-    )
+    dims = _written_dimensions(fx)
     q = daily_drop_stream(spark, incoming, roots, dims, f"{base}/_checkpoint", archive_dir=f"{base}/archive")
     q.awaitTermination()
     return ReportStore(spark, roots.report).read().select(*REP_FRAUD_COLS)
@@ -702,9 +706,7 @@ def q_stored_run_av(spark, sf_dir):
     roots = StateRoots(
         f"{base}/terminals", f"{base}/blacklist", f"{base}/transactions", f"{base}/report", fact_buckets=8
     )
-    dims = Dimensions(
-        materialize(fx.cards(), "cards"), materialize(fx.accounts(), "accounts"), materialize(fx.clients(), "clients")
-    )
+    dims = _written_dimensions(fx)
     for n in (1, 2, 3):
         feeds = DailyFeeds(fx.transactions(n), fx.terminals(n), fx.blacklist(n))
         run_day_stored(spark, roots, feeds, dims, batch_date(n), close=CLOSE_ALL_VERSIONS)
@@ -715,9 +717,7 @@ def q_stored_run_av(spark, sf_dir):
 def _versioned(spark, sf_dir, name, close=CLOSE_OPEN_ONLY):
     """A warehouse below a scratch folder, the fixture's dimensions, and feeds by day."""
     fx = Fixtures(spark, sf_dir)
-    dims = Dimensions(
-        materialize(fx.cards(), "cards"), materialize(fx.accounts(), "accounts"), materialize(fx.clients(), "clients")
-    )
+    dims = _written_dimensions(fx)
     feeds = {n: DailyFeeds(fx.transactions(n), fx.terminals(n), fx.blacklist(n)) for n in (1, 2, 3)}
     return bank_warehouse(spark, _scratch(spark, name), close, buckets=16), dims, feeds
 

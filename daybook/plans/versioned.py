@@ -30,6 +30,7 @@ from daybook.operators.fraud import rep_fraud
 from daybook.operators.scd2 import blacklist_current, history_columns, terminals_current
 from daybook.plans.daily import TX_KEYS, DailyFeeds, Dimensions
 from daybook.schemas import BLACKLIST, BLACKLIST_KEYS, REP_FRAUD, TERMINAL_ATTRS, TERMINAL_KEYS, TERMINALS, TRANSACTIONS, history_schema
+from daybook.session import together
 from daybook.sources.histories import OPEN, apply_all_versions, apply_open_only
 from daybook.sources.warehouse import Run, Warehouse, publish
 
@@ -77,18 +78,31 @@ def run_day_versioned(
     day = batch_date.isoformat()
     if not (newest and newest.batch_date == batch_date and not replace_done and not initial):
         with warehouse.begin(batch_date, initial) as run:
-            run.put("transactions", day, unseen(_near(run, feeds.transactions), feeds.transactions, TX_KEYS))
-            for table, snapshot in (("terminals", feeds.terminals), ("blacklist", feeds.blacklist)):
-                _apply(run, table, snapshot)
-            black = blacklist_current(run.read_new("blacklist", _current_parts(run, "blacklist")))
-            holders = run.work(card_holders(dims.cards, dims.accounts, dims.clients, black), "card_holders")
-            places = terminals_current(run.read_new("terminals", _current_parts(run, "terminals")))
+            _, places, holders = together(
+                warehouse.spark,
+                lambda: run.put("transactions", day, unseen(_near(run, feeds.transactions), feeds.transactions, TX_KEYS)),
+                lambda: _places(run, feeds.terminals),
+                lambda: _holders(run, feeds.blacklist, dims),
+            )
             run.files = sorted(files or ())
             run.put("report", day, rep_fraud(enrich_transactions(feeds.transactions, holders, places)))
         newest = run.manifest
     return warehouse.read("report", newest.version, [day])
 
 
+def _places(run: Run, snapshot: DataFrame) -> DataFrame:
+    """The current terminals after the day's snapshot."""
+    _apply(run, "terminals", snapshot)
+    return terminals_current(run.read_new("terminals", _current_parts(run, "terminals")))
+
+
+def _holders(run: Run, snapshot: DataFrame, dims: Dimensions) -> DataFrame:
+    """The holders of the cards after the day's black list."""
+    _apply(run, "blacklist", snapshot)
+    black = blacklist_current(run.read_new("blacklist", _current_parts(run, "blacklist")))
+    return run.work(card_holders(dims.cards, dims.accounts, dims.clients, black), "card_holders")
+
+
 def _near(run: Run, batch: DataFrame) -> DataFrame:
     """The stored transactions whose id is in the range of the batch's: the scan skips all other row groups by their statistics."""
     key = TX_KEYS[0]

@@ -10,6 +10,10 @@ from __future__ import annotations
 import os
 import tempfile
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
 # Settings every run of this library relies on.  The zone is pinned so that
@@ -71,6 +75,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(ensure_checkpoint_dir(spark), name)
 
 
+def together(spark: SparkSession, *steps: Callable[[], object]) -> list:
+    """The results of steps that don't need each other, their jobs submitted side by side.
+
+    Small jobs then share the cores with large ones.  All steps have ended when
+    this returns or raises the error of the first one that failed.
+    """
+    with ThreadPoolExecutor(len(steps)) as pool:
+        running = [pool.submit(inheritable_thread_target(spark)(step)) for step in steps]
+    return [step.result() for step in running]
+
+
 def cluster_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
     """Settings sized for a cluster run over ``input_bytes`` of input.
 

@@ -137,3 +137,38 @@ def test_fused_report_equals_union_of_rules(spark):
     assert fused == union
     kinds = {r[4] for r in fused}
     assert kinds == {EVENT_DIFFERENT_CITIES, EVENT_EXPIRED_PASSPORT, EVENT_BLACKLISTED, EVENT_INVALID_CONTRACT}
+
+
+def test_report_of_shared_passports_and_missing_keys_carries_one_set(spark):
+    """Three people of one passport in one hour, rows that no group may hold, and a plan with one set per group."""
+    people = [(f"C{i}", name, "A", None, "P9", None, f"+{i}") for i, name in ((7, "One"), (8, "Two"), (9, "Three"))]
+    cl, ac, ca = dims(
+        spark,
+        CLIENTS + people,
+        ACCOUNTS + [(f"A{i}", d("2030-01-01"), f"C{i}") for i in (7, 8, 9)],
+        CARDS + [(f"K{i}", f"A{i}") for i in (7, 8, 9)],
+    )
+    bl = spark.createDataFrame([(ts("2024-01-01T00:00:00"), "P2")], BLACKLIST).withColumnRenamed("date", "effective_from")
+    tx = [
+        (1, ts("2024-01-09T10:00:00"), "K7", "T1"),
+        (2, ts("2024-01-09T10:30:00"), "K8", "T2"),
+        (3, ts("2024-01-09T10:40:00"), "K9", "T3"),  # no city: in the group, and so flagged
+        (4, ts("2024-01-09T11:00:00"), "K9", "T1"),  # the next hour: one city
+        (5, ts("2024-01-09T10:00:00"), "K5", "T1"),  # no passport, contract ended
+        (6, ts("2024-01-09T10:10:00"), "K5", "T2"),
+        (7, ts("2024-01-09T10:10:00"), "K6", "T2"),
+        (8, None, "K2", "T1"),  # no time: black list only
+        (9, None, "K2", "T2"),
+        (10, None, "K7", "T1"),
+        (11, None, "K7", "T2"),
+    ]
+    e = enrich_transactions(tx_frame(spark, tx), card_holders(ca, ac, cl, bl), spark.createDataFrame(TERMS, TERMINALS))
+    report = fraud.rep_fraud(e)
+    assert rows(report, "event_dt", "passport", "phone", "event_type") == sorted(
+        [(d("2024-01-09"), "P9", f"+{i}", EVENT_DIFFERENT_CITIES) for i in (7, 8, 9)]
+        + [(d("2024-01-09"), None, None, EVENT_INVALID_CONTRACT), (None, "P2", "+2", EVENT_BLACKLISTED)],
+        key=repr,
+    )
+    assert rows(report) == rows(fraud.rep_fraud_union(e).select(*fraud.REP_FRAUD_COLS))
+    plan = report._jdf.queryExecution().executedPlan().toString()
+    assert plan.split("== Initial Plan ==")[-1].count("partial_collect_set(") == 1
