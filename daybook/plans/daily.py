@@ -35,6 +35,7 @@ from daybook.schemas import (
     TRANSACTIONS,
     empty_frame,
 )
+from daybook.session import together
 
 TX_KEYS = ["transaction_id"]
 
@@ -206,12 +207,17 @@ def run_day_stored(
         log.add(batch_date, "begun")
     else:
         log.begin(batch_date)
-    facts.append_unseen(staged_tx)
-    term_open = term_store.apply(feeds.terminals, batch_date)
-    black_open = black_store.apply(feeds.blacklist, batch_date, from_col="date")
     working = f"{roots.report}_work/card_holders"
-    holders = materialize(
-        card_holders(dims.cards, dims.accounts, dims.clients, blacklist_current(black_open)), "card_holders", path=working
+
+    def holders_today() -> DataFrame:
+        black = blacklist_current(black_store.apply(feeds.blacklist, batch_date, from_col="date"))
+        return materialize(card_holders(dims.cards, dims.accounts, dims.clients, black), "card_holders", path=working)
+
+    _, term_open, holders = together(
+        spark,
+        lambda: facts.append_unseen(staged_tx),
+        lambda: term_store.apply(feeds.terminals, batch_date),
+        holders_today,
     )
     reports.write(rep_fraud(enrich_transactions(staged_tx, holders, terminals_current(term_open))), batch_date)
     delete_path(spark, working)
