@@ -123,9 +123,10 @@ def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     hashed = F.crc32(F.col("doc_id").cast("string").cast("binary"))
-    cut = _documents(spark, sf_dir).select("doc_id", "text", hashed.alias("h"), F.expr(r"regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+', 0)").alias("w"))
-    # Of a tenth of the texts the words from a on become copies of p of them.
-    tail = cut.withColumn("n", F.size("w")).selectExpr("*", "h div 10 % n AS a", "h div 10 % 8 + 3 AS parts").selectExpr("*", "1 + (n - a) div parts AS p")
+    docs = _documents(spark, sf_dir).select("doc_id", "text", hashed.alias("h"))
+    # Of a tenth of the texts the words from a on become copies of p of them; only those are cut, and one without words stays.
+    cut = docs.withColumn("w", F.expr(r"IF(h % 10 = 0, regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+', 0), NULL)")).withColumn("n", F.size("w"))
+    tail = cut.selectExpr("*", "h div 10 % nullif(n, 0) AS a", "h div 10 % 8 + 3 AS parts").selectExpr("*", "1 + (n - a) div parts AS p")
     text = "IF(h % 10 = 0 AND n > 0, array_join(transform(w, (x, i) -> IF(i < a, x, w[CAST(a + (i - a) % p AS INT)])), ' '), text) AS text"
     found = periodic.periodic_runs(tail.selectExpr("doc_id", text), ["doc_id"])
     first = "CASE WHEN {0} < {1} THEN -1 WHEN {0} > {1} THEN 1 ELSE 0 END"
